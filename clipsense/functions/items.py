@@ -16,7 +16,7 @@ def parse_tags(tags: Column) -> Column:
     return (
         F.when(tags.isNull() | (tags == ""), F.array().cast("array<string>"))
         .when(tags.contains("|"), F.split(tags, r"\|"))
-        .when(tags.contains(","), F.transform(F.split(tags, ","), F.trim))
+        .when(tags.contains(","), F.transform(F.split(tags, ","), lambda part: F.trim(part)))
         .otherwise(F.array(tags))
     )
 

@@ -6,13 +6,16 @@ from pyspark.sql import functions as F
 from clipsense.functions.items import media_url
 
 
-def media_files(spark: SparkSession, folder: str, pattern: str = "*.mp4") -> DataFrame:
+STEM = r"([^/]+)\.[^./]+$"
+
+
+def media_files(spark: SparkSession, folder: str, pattern: str = "*.mp4", id_pattern: str = STEM) -> DataFrame:
     """Id (the file stem) and size; file contents are pruned and never read."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .load(folder)
-        .select(F.regexp_extract("path", r"([^/]+)\.[^./]+$", 1).alias("video_id"), "length")
+        .select(F.regexp_extract("path", id_pattern, 1).alias("video_id"), "length")
     )
 
 
