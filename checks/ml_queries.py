@@ -135,12 +135,12 @@ def user_clusters(spark, sf):
     return clusters.segments(visit_profiles(spark, sf)).select("user_id", "segment_no", "user_segment", "user_score")
 
 
-def _cosine(source: str) -> str:
+def _cosine(source: str, threshold: float = 0.3) -> str:
     return f"""w AS (SELECT video_id, user_id, sum(weight) AS weight FROM {source} GROUP BY 1, 2),
 n AS (SELECT video_id, sqrt(sum(weight * weight)) AS norm FROM w GROUP BY 1),
 d AS (SELECT a.video_id, b.video_id AS similar_id, sum(a.weight * b.weight) AS dot FROM w a JOIN w b ON a.user_id = b.user_id AND a.video_id < b.video_id GROUP BY 1, 2),
 co AS (SELECT d.video_id, similar_id, dot / (x.norm * y.norm) AS cosine FROM d JOIN n x ON x.video_id = d.video_id JOIN n y ON y.video_id = d.similar_id)
-SELECT video_id, similar_id, {r('cosine', 'cosine')} FROM co WHERE cosine >= 0.3::DOUBLE"""
+SELECT video_id, similar_id, {r('cosine', 'cosine')} FROM co WHERE cosine >= {threshold}::DOUBLE"""
 
 
 @query("item_cosine", f"WITH {I.IX}, {_cosine('ix')}")
@@ -148,9 +148,10 @@ def item_cosine(spark, sf):
     return similarity.item_cosine(I.interactions(spark, sf))
 
 
-@query("item_cosine_sparse", f"WITH {I.BUY}, {_cosine('buy')}")
+@query("item_cosine_sparse", f"WITH {I.BUY}, {_cosine('buy', 0.15)}")
 def item_cosine_sparse(spark, sf):
-    return similarity.item_cosine(I.purchases(spark, sf))
+    """Parts are seldom bought together: no pair reaches the default of 0.3."""
+    return similarity.item_cosine(I.purchases(spark, sf), threshold=0.15)
 
 
 @query("item_factor_similarity")
