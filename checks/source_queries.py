@@ -166,10 +166,11 @@ def media_stats(spark, sf):
     return media.media_stats(_category_files(spark, sf))
 
 
-@query("src_sequence_tsv", f"""WITH {I.IX} SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_time, event_id) - 1 AS pos, video_id FROM ix""")
+@query("src_sequence_tsv", f"""WITH {I.VISITS} SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_time, event_id) - 1 AS pos, video_id FROM vis""")
 def src_sequence_tsv(spark, sf):
-    ix = I.interactions(spark, sf)
-    lines = ix.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_time", "event_id", "video_id"))).alias("s"))
+    """The format keeps a user's whole history in one line; visits keep lines short."""
+    visits = I.visits(spark, sf)
+    lines = visits.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("event_time", "event_id", "video_id"))).alias("s"))
     path = scratch_path(spark, "sequence")
     _lines(lines.select("user_id", F.array_join("s.video_id", " ").alias("v")), "user_id", "v").write.text(path)
     return files.sequence_tsv(spark, path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clipsense.operators.pairs import HOLDER_LIMIT, light_products, top_partners
+from clipsense.operators.pairs import HOLDER_LIMIT, all_products, top_partners
 
 
 def user_video_counts(events: DataFrame, distinct: bool = False) -> DataFrame:
@@ -21,9 +21,13 @@ def user_video_counts(events: DataFrame, distinct: bool = False) -> DataFrame:
     )
 
 
-def common_counts(events: DataFrame) -> DataFrame:
-    """Common count of every two users with a common video."""
-    return light_products(user_video_counts(events), ordered=False).select(
+def common_counts(events: DataFrame, limit: int = HOLDER_LIMIT) -> DataFrame:
+    """Common count of every two users with a common video.
+
+    The result itself holds all pairs; ``top_neighbours`` is the form that
+    stays small when one video is everybody's.
+    """
+    return all_products(user_video_counts(events), limit).select(
         F.col("left").alias("user_id"), F.col("right").alias("neighbour_id"),
         F.col("product").cast("bigint").alias("common"),
     )

@@ -26,23 +26,33 @@ from clipsense.session import staged
 HOLDER_LIMIT = 2_000
 BLOCK_ENTITIES = 2_048
 BROADCAST_ROWS = 100_000
+PAIRS_AT_LEAST = 100_000  # per task, below the usual number of tasks
+PAIRS_AT_MOST = 4_000_000  # per task, above it
 
 _VECTOR = "array<struct<feature:string,value:double>>"
 
 
-def split_by_holders(cells: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None]:
-    """Cells of features within the limit, and of those beyond it (or None).
+def split_by_holders(cells: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None, int]:
+    """Cells of features within the limit, cells beyond it (or None), and the
+    number of tasks for joining the former with themselves.
 
-    There are at most (cells / limit) features beyond it. They are counted
-    first: a short list is broadcast, a long one is joined like any table.
+    That number follows the pairs to come, not the size of the cells: a small
+    table can have very many pairs. Features beyond the limit are counted
+    first; a short list is broadcast, a long one joined like any table.
     """
-    heavy = cells.groupBy("feature").agg(F.count("*").alias("n")).filter(F.col("n") > limit).select("feature")
-    heavy = staged(heavy)
-    count = heavy.count()
-    if count == 0:
-        return cells, None
-    side = F.broadcast(heavy) if count <= BROADCAST_ROWS else heavy
-    return cells.join(side, "feature", "left_anti"), cells.join(side, "feature", "left_semi")
+    holders = cells.groupBy("feature").agg(F.count("*").alias("n"))
+    heavy = F.col("n") > limit
+    sizes = holders.agg(
+        F.count_if(heavy).alias("heavy"),
+        F.coalesce(F.sum(F.when(~heavy, F.col("n") * F.col("n"))), F.lit(0)).alias("pairs"),
+    ).first()
+    usual = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(1, min(usual, sizes["pairs"] // PAIRS_AT_LEAST), sizes["pairs"] // PAIRS_AT_MOST)
+    if sizes["heavy"] == 0:
+        return cells, None, tasks
+    names = staged(holders.filter(heavy).select("feature"))
+    side = F.broadcast(names) if sizes["heavy"] <= BROADCAST_ROWS else names
+    return cells.join(side, "feature", "left_anti"), cells.join(side, "feature", "left_semi"), tasks
 
 
 def vectors(cells: DataFrame) -> DataFrame:
@@ -51,19 +61,27 @@ def vectors(cells: DataFrame) -> DataFrame:
     return cells.groupBy("entity").agg(items.cast(_VECTOR).alias("vector"))
 
 
-def light_products(cells: DataFrame, ordered: bool) -> DataFrame:
-    """(left, right, product) over the common features; each pair once if ordered."""
-    left = cells.select(F.col("entity").alias("left"), "feature", F.col("value").alias("left_value"))
-    right = cells.select(F.col("entity").alias("right"), "feature", F.col("value").alias("right_value"))
-    apart = F.col("left") < F.col("right") if ordered else F.col("left") != F.col("right")
+def light_products(cells: DataFrame, tasks: int) -> DataFrame:
+    """(left, right, product) over the common features, with left < right."""
+    placed = cells.repartition(tasks, "feature")
+    left = placed.select(F.col("entity").alias("left"), "feature", F.col("value").alias("left_value"))
+    right = placed.select(F.col("entity").alias("right"), "feature", F.col("value").alias("right_value"))
     return (
         left.join(right, "feature")
-        .filter(apart)
+        .filter(F.col("left") < F.col("right"))
         .groupBy("left", "right")
         .agg(F.sum(F.col("left_value") * F.col("right_value")).alias("product"))
     )
 
 
+def both_ways(pairs: DataFrame) -> DataFrame:
+    """Each pair and its mirror image."""
+    ends = F.array(
+        F.struct("left", "right"), F.struct(F.col("right").alias("left"), F.col("left").alias("right"))
+    )
+    return pairs.select(F.inline(ends), "product")
+
+
 def add_heavy(pairs: DataFrame, heavy_vectors: DataFrame) -> DataFrame:
     """Complete the products of given pairs by their heavy features."""
     left = heavy_vectors.select(F.col("entity").alias("left"), F.col("vector").alias("left_vector"))
@@ -179,13 +197,15 @@ def top_partners(cells: DataFrame, k: int, limit: int = HOLDER_LIMIT, block_enti
     not among the k best at all. Where both ways find a partner, the whole
     product is the larger one.
     """
-    light, heavy = split_by_holders(cells, limit)
-    pairs = light_products(light, ordered=False)
-    if heavy is not None:
+    light, heavy, tasks = split_by_holders(cells, limit)
+    pairs = light_products(light, tasks)
+    if heavy is None:
+        pairs = both_ways(pairs)
+    else:
         known = vectors(heavy)
         more = _heavy_partners(known, k, block_entities)
         pairs = (
-            add_heavy(pairs, known)
+            both_ways(add_heavy(pairs, known))
             .unionByName(more)
             .groupBy("left", "right")
             .agg(F.max("product").alias("product"))
@@ -193,14 +213,29 @@ def top_partners(cells: DataFrame, k: int, limit: int = HOLDER_LIMIT, block_enti
     return top_per_key(pairs, "left", [F.col("product").desc(), F.col("right")], k)
 
 
+def all_products(cells: DataFrame, limit: int = HOLDER_LIMIT, block_entities: int = BLOCK_ENTITIES) -> DataFrame:
+    """The product of every two entities with a common feature, both ways.
+
+    Here the pairs are the result; heavy features still go through the blocks,
+    so no task holds more than its pair of blocks. Values are positive.
+    """
+    light, heavy, tasks = split_by_holders(cells, limit)
+    pairs = light_products(light, tasks)
+    if heavy is not None:
+        known = vectors(heavy).select(F.col("entity").alias("id"), "vector")
+        more = block_products(known, known, at_least(np.nextafter(0, 1)), block_entities)
+        pairs = pairs.unionByName(more).groupBy("left", "right").agg(F.sum("product").alias("product"))
+    return both_ways(pairs)
+
+
 def similar_pairs(cells: DataFrame, threshold: float, limit: int = HOLDER_LIMIT, block_entities: int = BLOCK_ENTITIES) -> DataFrame:
     """Every pair of unit-length entities with a product of at least ``threshold``.
 
     By Cauchy-Schwarz, two entities that share heavy features only can reach
     the threshold only if the heavy part of each is at least that long.
     """
-    light, heavy = split_by_holders(cells, limit)
-    pairs = light_products(light, ordered=True)
+    light, heavy, tasks = split_by_holders(cells, limit)
+    pairs = light_products(light, tasks)
     if heavy is not None:
         known = vectors(heavy)
         pairs = add_heavy(pairs, known)

@@ -13,7 +13,7 @@ from clipsense.operators.neighbours import (
     exclude_seen,
     top_neighbours,
 )
-from clipsense.operators.pairs import HOLDER_LIMIT
+from clipsense.operators.pairs import HOLDER_LIMIT, split_by_holders
 from clipsense.operators.ranking import top_per_key
 
 
@@ -110,44 +110,92 @@ def recommendation_rows(recs: DataFrame, generated_at: Column, algorithm: str =
     )
 
 
-def by_content(preferred: DataFrame, interactions: DataFrame, catalog: DataFrame, n: int = 20) -> DataFrame:
+def by_content(preferred: DataFrame, interactions: DataFrame, catalog: DataFrame, n: int = 20, limit: int = HOLDER_LIMIT) -> DataFrame:
     """Unseen items whose tags the user prefers, by the sum of the tag counts.
 
-    Items with the same tag string score the same for everybody, so users
-    meet tag strings, not items. Per user only the strings that can still reach
-    the first n places are opened into items, and of each string only its first
-    n items plus as many as the user has seen of it.
+    A tag of at most ``limit`` items is joined item by item. Items are also
+    grouped by their set of more frequent tags; an item that meets a user in
+    frequent tags only scores like its whole group, so of each group only the
+    first items can make the list. An item found both ways has its whole score
+    from the first.
+    """
+    tagged = catalog.filter(F.col("tags").isNotNull())
+    cells = tagged.select(
+        F.col("video_id").alias("entity"), F.explode(F.array_distinct(F.split("tags", ","))).alias("feature")
+    )
+    prefs = preferred.select("user_id", F.col("tag").alias("feature"), "tag_count")
+    light, heavy, _ = split_by_holders(cells, limit)
+    scores = (
+        prefs.join(light, "feature")
+        .groupBy("user_id", F.col("entity").alias("video_id"))
+        .agg(F.sum("tag_count").alias("score"))
+    )
+    if heavy is not None:
+        groups = heavy.groupBy(F.col("entity").alias("video_id")).agg(
+            F.array_join(F.array_sort(F.collect_set("feature")), ",").alias("tags")
+        )
+        more = _first_of_groups(prefs, groups, interactions, n)
+        scores = (
+            _add_frequent_tags(scores, prefs, groups)
+            .unionByName(more)
+            .groupBy("user_id", "video_id")
+            .agg(F.max("score").alias("score"))
+        )
+    order = [F.col("score").desc(), F.col("video_id")]
+    return top_per_key(exclude_seen(scores, interactions), "user_id", order, n)
+
+
+def _add_frequent_tags(scores: DataFrame, prefs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Add the counts of an item's frequent tags; a user has few preferred tags."""
+    counts = prefs.groupBy("user_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("feature", "tag_count"))).alias("counts")
+    )
+    extra = F.aggregate(
+        F.split("tags", ","), F.lit(0).cast("bigint"),
+        lambda total, tag: total + F.coalesce(F.try_element_at("counts", tag), F.lit(0)),
+    )
+    return (
+        scores.join(groups, "video_id", "left")
+        .join(counts, "user_id")
+        .select("user_id", "video_id", (F.col("score") + F.coalesce(extra, F.lit(0))).alias("score"))
+    )
+
+
+def _first_of_groups(prefs: DataFrame, items: DataFrame, interactions: DataFrame, n: int) -> DataFrame:
+    """The items of each user's best tag groups that can be among the first n.
+
+    A group is out of reach once better groups hold n unseen items. Of a group
+    within reach the first n items and as many as the user has seen are enough.
     """
-    items = catalog.select("video_id", "tags").filter(F.col("tags").isNotNull())
     kinds = items.groupBy("tags").agg(F.count("*").alias("size"))
-    kind_tags = kinds.select("tags", "size", F.explode(F.array_distinct(F.split("tags", ","))).alias("tag"))
+    kind_tags = kinds.select("tags", "size", F.explode(F.split("tags", ",")).alias("feature"))
     seen = interactions.select("user_id", "video_id").distinct().join(items, "video_id")
     seen_kinds = seen.groupBy("user_id", "tags").agg(F.count("*").alias("seen"))
     scored = (
-        preferred.select("user_id", "tag", "tag_count")
-        .join(kind_tags, "tag")
+        prefs.join(kind_tags, "feature")
         .groupBy("user_id", "tags")
         .agg(F.sum("tag_count").alias("score"), F.max("size").alias("size"))
         .join(seen_kinds, ["user_id", "tags"], "left")
         .withColumn("seen", F.coalesce("seen", F.lit(0)))
+        .withColumn("unseen", F.col("size") - F.col("seen"))
     )
     better = Window.partitionBy("user_id").orderBy(F.col("score").desc()).rangeBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    unseen = F.col("size") - F.col("seen")
     peers = Window.partitionBy("user_id", "score")
     reachable = (
-        scored.withColumn("up_to_here", F.sum(unseen).over(better))
-        .withColumn("same_score", F.sum(unseen).over(peers))
-        .filter((F.col("up_to_here") - F.col("same_score") < n) & (unseen > 0))
+        scored.withColumn("up_to_here", F.sum("unseen").over(better))
+        .withColumn("same_score", F.sum("unseen").over(peers))
+        .filter((F.col("up_to_here") - F.col("same_score") < n) & (F.col("unseen") > 0))
         .select("user_id", "tags", "score", "seen")
     )
-    depth = n + (seen_kinds.agg(F.max("seen").alias("m")).first()["m"] or 0)
+    depth = n + (seen_kinds.agg(F.max("seen").alias("most")).first()["most"] or 0)
     places = top_per_key(items, "tags", ["video_id"], depth, "place")
-    opened = reachable.join(places, "tags").filter(F.col("place") <= n + F.col("seen"))
-    order = [F.col("score").desc(), F.col("video_id")]
-    fresh = exclude_seen(opened.select("user_id", "video_id", "score"), interactions)
-    return top_per_key(fresh, "user_id", order, n)
+    return (
+        reachable.join(places, "tags")
+        .filter(F.col("place") <= n + F.col("seen"))
+        .select("user_id", "video_id", "score")
+    )
 
 
 def mixed(parts: dict[str, tuple[DataFrame, float]], n: int = 20) -> DataFrame:

@@ -68,6 +68,14 @@ def test_similar_pairs_equals_brute_force(spark, seed, limit):
         assert row["product"] == pytest.approx(cosines[row["left"], row["right"]])
 
 
+@pytest.mark.parametrize("limit", [4, 1000])
+def test_all_products_equals_brute_force(spark, limit):
+    rows = cells_with_hot_features(7)
+    _, products = brute_products(rows)
+    found = pairs.all_products(spark.createDataFrame(rows, SCHEMA), limit, block_entities=7)
+    assert {(r["left"], r["right"]): r["product"] for r in found.collect()} == products
+
+
 def test_one_feature_held_by_everybody(spark):
     """Equal entities collapse: each gets the smallest other ids."""
     rows = [(f"e{i:03}", "all", 1.0) for i in range(60)]

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from clipsense.ml.ids import id_index
@@ -111,13 +112,14 @@ def test_serving_takes_the_first_tier_with_rows(spark):
     }
 
 
-def test_content_lists_equal_brute_force(spark):
+@pytest.mark.parametrize("limit", [3, 15, 1000])
+def test_content_lists_equal_brute_force(spark, limit):
     """Many items share one tag string, and users have seen the first of them."""
     random.seed(11)
-    tags = ["a", "b", "c", "a,b", "b,c"]
+    tags = ["a", "b", "c", "a,b", "b,c", "a,rare1", "b,rare2,c", "rare1"]
     catalog = [(f"{i:03}", "a,b" if i % 3 else random.choice(tags)) for i in range(120)]
     seen = {("u1", f"{i:03}") for i in range(30)} | {("u2", f"{random.randrange(120):03}") for _ in range(40)}
-    prefs = [("u1", "a", 5), ("u1", "c", 2), ("u2", "b", 3), ("u2", "c", 3), ("u3", "zzz", 1)]
+    prefs = [("u1", "a", 5), ("u1", "c", 2), ("u2", "b", 3), ("u2", "c", 3), ("u2", "rare2", 1), ("u1", "rare1", 3), ("u3", "zzz", 1)]
     expected = set()
     for user in ("u1", "u2", "u3"):
         mine = {t: n for u, t, n in prefs if u == user}
@@ -127,7 +129,7 @@ def test_content_lists_equal_brute_force(spark):
     found = recommend.by_content(
         spark.createDataFrame(prefs, "user_id string, tag string, tag_count long"),
         spark.createDataFrame(list(seen), "user_id string, video_id string"),
-        spark.createDataFrame(catalog, "video_id string, tags string"), n=8,
+        spark.createDataFrame(catalog, "video_id string, tags string"), n=8, limit=limit,
     )
     assert {(r.user_id, r.video_id, r.score, r["rank"]) for r in found.collect()} == expected
 
