@@ -228,10 +228,10 @@ def fill_features(spark, sf):
     return profiles.fill_features(visit_profiles(spark, sf)).select("user_id", *CLUSTER_FEATURES)
 
 
-@query("lookup_by_key", f"WITH {profile_sql('ix')} SELECT user_id, total_views, active_days FROM up WHERE user_id = '17'")
+@query("lookup_by_key", f"WITH {profile_sql('ix')} SELECT user_id, total_views, active_days FROM up WHERE user_id = '7'")
 def lookup_by_key(spark, sf):
     everyone = profiles.derived(profiles.user_profile(I.interactions(spark, sf), I.catalog(spark, sf)))
-    return cat.lookup_by_key(everyone, "user_id", "17").select("user_id", "total_views", "active_days")
+    return cat.lookup_by_key(everyone, "user_id", "7").select("user_id", "total_views", "active_days")
 
 
 @query("profile_or_default", f"""WITH {I.IX}, c AS (SELECT user_id, count(*) AS n, max(event_time) AS last FROM ix GROUP BY 1)
