@@ -161,7 +161,7 @@ BUY = """buy AS (
 
 def r(expression: str, name: str) -> str:
     """A double rounded as ``present`` rounds it."""
-    return f"round(CAST({expression} AS DOUBLE), 6) AS {name}"
+    return f"round(CAST({expression} AS DOUBLE), 9) AS {name}"
 
 
 def t(expression: str, name: str) -> str:

@@ -170,7 +170,7 @@ ni AS (SELECT video_id AS id, category FROM ccat WHERE video_id NOT IN (SELECT v
 a AS (SELECT id, video_id, score, row_number() OVER (PARTITION BY id ORDER BY score DESC, video_id) AS rank FROM nw, s20),
 c AS (SELECT video_id, category, engagement_score AS score, row_number() OVER (PARTITION BY category ORDER BY engagement_score DESC NULLS LAST, video_id) AS place FROM ccat),
 b AS (SELECT ni.id, c.video_id, score, row_number() OVER (PARTITION BY ni.id ORDER BY score DESC NULLS LAST, c.video_id) AS rank FROM ni JOIN c ON ni.category = c.category AND ni.id <> c.video_id WHERE place <= 21)
-SELECT 'user' AS kind, id, video_id, {r('score', 'score')}, rank FROM a UNION ALL SELECT 'video', id, video_id, round(score, 6), rank FROM b WHERE rank <= 20""")
+SELECT 'user' AS kind, id, video_id, {r('score', 'score')}, rank FROM a UNION ALL SELECT 'video', id, video_id, round(score, 9), rank FROM b WHERE rank <= 20""")
 def rec_cold_start(spark, sf):
     ix, now, catalog = I.interactions(spark, sf), I.as_of(spark, sf), I.counted_catalog(spark, sf)
     new_users = users(spark, sf).join(ix.select("user_id").distinct(), "user_id", "left_anti")

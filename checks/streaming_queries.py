@@ -133,7 +133,7 @@ def stream_video_counters(spark, sf):
 
 
 @query("stream_sessions", f"""WITH {I.IX}, {SESSIONS} SELECT user_id, {t('started_at', 'started_at')}, events, {r('watch_time', 'watch_time')},
-  {r("epoch_us(ended_at) / 1000000.0::DOUBLE - epoch_us(started_at) / 1000000.0::DOUBLE", 'duration_seconds')} FROM ss""")
+  {r("(epoch_us(ended_at) - epoch_us(started_at)) / 1000000.0::DOUBLE", 'duration_seconds')} FROM ss""")
 def stream_sessions(spark, sf):
     return _complete(spark, jobs.user_sessions(_stream(spark, sf)), "sessions")
 

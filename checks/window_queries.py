@@ -58,6 +58,6 @@ SESSIONS = """ss AS (SELECT user_id, no + 1 AS session_no, min(event_time) AS st
 
 
 @query("sessions", f"""WITH {I.IX}, {SESSIONS} SELECT user_id, CAST(session_no AS BIGINT) AS session_no, {t('started_at', 'started_at')}, events, {r('watch_time', 'watch_time')},
-  {r("epoch_us(ended_at) / 1000000.0::DOUBLE - epoch_us(started_at) / 1000000.0::DOUBLE", 'duration_seconds')} FROM ss""")
+  {r("(epoch_us(ended_at) - epoch_us(started_at)) / 1000000.0::DOUBLE", 'duration_seconds')} FROM ss""")
 def sessions(spark, sf):
     return recency.sessions(I.interactions(spark, sf))

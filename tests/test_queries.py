@@ -51,3 +51,25 @@ def test_entry_has_rows(spark):
 
     assert entry.entry(spark).count() > 0
     assert entry.queries().keys() == QUERIES.keys() and entry.oracle_sql() == ORACLES
+
+
+def _rows(df):
+    return sorted(tuple(round(v, 7) if isinstance(v, float) else v for v in row) for row in df.collect())
+
+
+def test_results_do_not_depend_on_the_holder_limit(spark):
+    """Small limits send nearly everything through blocks and groups."""
+    from checks import inputs as I
+    from checks.table_queries import preferred, quality
+    from clipsense.ml.similarity import item_cosine
+    from clipsense.operators import recommend
+
+    ix, q = I.interactions(spark, SF_DIR), quality(spark, SF_DIR)
+    for build in (
+        lambda **limit: recommend.by_likes(ix, q, **limit),
+        lambda **limit: recommend.by_watch(ix, q, **limit),
+        lambda **limit: item_cosine(ix, **limit),
+        lambda **limit: recommend.by_content(preferred(spark, SF_DIR), I.visits(spark, SF_DIR), I.catalog(spark, SF_DIR), **limit),
+    ):
+        usual = _rows(build())
+        assert usual and _rows(build(limit=4)) == usual
