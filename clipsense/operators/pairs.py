@@ -170,22 +170,35 @@ def at_least(threshold: float):
     return pick
 
 
-def _heavy_partners(heavy_vectors: DataFrame, k: int, block_entities: int) -> DataFrame:
-    """k best partners of each entity by heavy features alone.
+def _unsettled(found: DataFrame, heavy: DataFrame, k: int) -> DataFrame:
+    """Entities whose k best so far a partner by heavy features could still enter.
+
+    No such partner has a larger product than the entity's heavy values times
+    the largest value of each heavy feature.
+    """
+    most = heavy.groupBy("feature").agg(F.max("value").alias("most"))
+    reach = heavy.join(most, "feature").groupBy("entity").agg(F.sum(F.col("value") * F.col("most")).alias("reach"))
+    kth = found.filter(F.col("rank") == k).select(F.col("left").alias("entity"), F.col("product").alias("kth"))
+    open_ended = F.col("kth").isNull() | (F.col("kth") <= F.col("reach") + 1e-9)
+    return reach.join(kth, "entity", "left").filter(open_ended).select("entity")
+
+
+def _heavy_partners(known: DataFrame, unsettled: DataFrame, k: int, block_entities: int) -> DataFrame:
+    """k best partners by heavy features alone, for the unsettled entities.
 
     Entities with equal vectors have equal products with everybody. Of each
     such group only the k + 1 smallest ids can be among anyone's k best (one
     may be the entity itself), and one member can ask for all of them.
     """
-    group = F.sha2(F.to_json("vector"), 256)
-    grouped = heavy_vectors.withColumn("kind", group)
+    grouped = known.withColumn("kind", F.sha2(F.to_json("vector"), 256))
+    members = grouped.join(unsettled, "entity", "left_semi").select(F.col("entity").alias("left"), "kind")
     front = staged(top_per_key(grouped, "kind", ["entity"], k + 1, "place"))
-    askers = front.filter("place = 1").select(F.col("kind").alias("id"), "vector")
+    first = front.filter("place = 1").join(members.select("kind").distinct(), "kind", "left_semi")
+    askers = staged(first.select(F.col("kind").alias("id"), "vector"))
     offers = front.select(F.col("entity").alias("id"), "vector")
     found = block_products(askers, offers, best_per_row(k + 1), block_entities)
     order = [F.col("product").desc(), F.col("right")]
     best = top_per_key(found, "left", order, k + 1, "place").select(F.col("left").alias("kind"), "right", "product")
-    members = grouped.select(F.col("entity").alias("left"), "kind")
     return members.join(best, "kind").filter(F.col("left") != F.col("right")).select("left", "right", "product")
 
 
@@ -199,18 +212,14 @@ def top_partners(cells: DataFrame, k: int, limit: int = HOLDER_LIMIT, block_enti
     """
     light, heavy, tasks = split_by_holders(cells, limit)
     pairs = light_products(light, tasks)
+    order = [F.col("product").desc(), F.col("right")]
     if heavy is None:
-        pairs = both_ways(pairs)
-    else:
-        known = vectors(heavy)
-        more = _heavy_partners(known, k, block_entities)
-        pairs = (
-            both_ways(add_heavy(pairs, known))
-            .unionByName(more)
-            .groupBy("left", "right")
-            .agg(F.max("product").alias("product"))
-        )
-    return top_per_key(pairs, "left", [F.col("product").desc(), F.col("right")], k)
+        return top_per_key(both_ways(pairs), "left", order, k)
+    known = vectors(heavy)
+    found = staged(top_per_key(both_ways(add_heavy(pairs, known)), "left", order, k))
+    more = _heavy_partners(known, _unsettled(found, heavy, k), k, block_entities)
+    every = found.drop("rank").unionByName(more).groupBy("left", "right").agg(F.max("product").alias("product"))
+    return top_per_key(every, "left", order, k)
 
 
 def all_products(cells: DataFrame, limit: int = HOLDER_LIMIT, block_entities: int = BLOCK_ENTITIES) -> DataFrame:

@@ -107,3 +107,18 @@ def test_repeats_multiply_unless_distinct(spark):
     once = {(r.user_id, r.neighbour_id): r.common for r in neighbours.top_neighbours(likes, 10, distinct=True).collect()}
     assert bag == {("a", "b"): 6, ("b", "a"): 6}
     assert once == {("a", "b"): 1, ("b", "a"): 1}
+
+
+def test_settled_entities_do_not_ask(spark):
+    """A strong light partner settles an entity; a weak one does not."""
+    rows = [(f"e{i:02}", "hot", 1.0) for i in range(20)]
+    rows += [("e00", "cold", 3.0), ("e01", "cold", 3.0), ("e02", "mild", 0.1), ("e03", "mild", 0.1)]
+    cells = spark.createDataFrame(rows, SCHEMA)
+    light, heavy, tasks = pairs.split_by_holders(cells, 10)
+    known = pairs.vectors(heavy)
+    ranked = pairs.top_per_key(pairs.both_ways(pairs.light_products(light, tasks)), "left", ["product"], 1)
+    asking = {r.entity for r in pairs._unsettled(ranked, heavy, 1).collect()}
+    assert "e00" not in asking and "e01" not in asking and {"e02", "e03", "e19"} <= asking
+    assert known.count() == 20
+    best = {r["left"]: (r["right"], r["product"]) for r in pairs.top_partners(cells, 1, 10).collect()}
+    assert best["e00"] == ("e01", 10.0) and best["e02"] == ("e03", pytest.approx(1.01)) and best["e19"] == ("e00", 1.0)
