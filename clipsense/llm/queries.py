@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipsense.llm import quality_rules, secret_scan
+from clipsense.llm import packing, quality_rules, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,8 +26,13 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(documents(spark, sf_dir))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "op5_quality_rules": op5_quality_rules,
     "op7_secret_scans": op7_secret_scans,
+    "op9_best_fit_packing": op9_best_fit_packing,
 }
 ORACLES: dict[str, str] = {}
