@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipsense.llm import packing, quality_rules, secret_scan
+from clipsense.llm import mixing, packing, quality_rules, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_counts(documents(spark, sf_dir))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.clean_lines(documents(spark, sf_dir)).withColumn(
         "cleaned_sha256", F.sha2("cleaned", 256)
@@ -31,6 +35,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_mixing": op2_mixing,
     "op5_quality_rules": op5_quality_rules,
     "op7_secret_scans": op7_secret_scans,
     "op9_best_fit_packing": op9_best_fit_packing,

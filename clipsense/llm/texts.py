@@ -7,6 +7,7 @@ characters, ``bytes.lower()`` lowers A-Z only.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
@@ -29,6 +30,15 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+_WORD = re.compile(WORD)
+
+
+def word_spans(text: str) -> tuple[list[int], list[int]]:
+    """Starts and ends of the words, in code points."""
+    spans = [m.span() for m in _WORD.finditer(text)]
+    return [s for s, _ in spans], [e for _, e in spans]
+
+
 def row_key(columns: Sequence[str]) -> Column:
     """The same number for equal rows; it joins results back without multiplying repeated rows."""
     return F.xxhash64(*[F.struct(F.col(c).isNull(), F.col(c)) for c in columns])
