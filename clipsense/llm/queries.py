@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipsense.llm import mixing, packing, quality_rules, secret_scan
+from clipsense.llm import kd_shards, mixing, packing, quality_rules, secret_scan
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(documents(spark, sf_dir))
 
 
+def op4_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards.shard(documents(spark, sf_dir))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.clean_lines(documents(spark, sf_dir)).withColumn(
         "cleaned_sha256", F.sha2("cleaned", 256)
@@ -36,6 +40,7 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
+    "op4_kd_sharding": op4_kd_sharding,
     "op5_quality_rules": op5_quality_rules,
     "op7_secret_scans": op7_secret_scans,
     "op9_best_fit_packing": op9_best_fit_packing,
