@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipsense.llm import kd_shards, mixing, packing, quality_rules, secret_scan
+from clipsense.llm import kd_shards, mixing, packing, quality_rules, secret_scan, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,11 +38,18 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(documents(spark, sf_dir)).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
     "op4_kd_sharding": op4_kd_sharding,
     "op5_quality_rules": op5_quality_rules,
     "op7_secret_scans": op7_secret_scans,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 ORACLES: dict[str, str] = {}
