@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipsense.llm import kd_shards, mixing, packing, quality_rules, secret_scan, simhash
+from clipsense.llm import kd_shards, mixing, packing, quality_rules, secret_scan, simhash, spotsigs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +20,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(documents(spark, sf_dir))
 
 
+def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.fingerprint_edits(documents(spark, sf_dir))
+
+
 def op4_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards.shard(documents(spark, sf_dir))
 
@@ -46,6 +50,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_mixing": op2_mixing,
+    "op3_spotsigs": op3_spotsigs,
     "op4_kd_sharding": op4_kd_sharding,
     "op5_quality_rules": op5_quality_rules,
     "op7_secret_scans": op7_secret_scans,
