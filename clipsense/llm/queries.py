@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipsense.llm import kd_shards, mixing, packing, quality_rules, secret_scan, simhash, spotsigs
+from clipsense.llm import (
+    kd_shards,
+    language_id,
+    mixing,
+    packing,
+    quality_rules,
+    secret_scan,
+    simhash,
+    spotsigs,
+    token_counts,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,10 +44,18 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("cleaned")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_secrets(documents(spark, sf_dir))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(documents(spark, sf_dir))
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -53,7 +71,9 @@ QUERIES: dict[str, Query] = {
     "op3_spotsigs": op3_spotsigs,
     "op4_kd_sharding": op4_kd_sharding,
     "op5_quality_rules": op5_quality_rules,
+    "op6_language_id": op6_language_id,
     "op7_secret_scans": op7_secret_scans,
+    "op8_token_counts": op8_token_counts,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }

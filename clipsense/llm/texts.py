@@ -39,6 +39,11 @@ def word_spans(text: str) -> tuple[list[int], list[int]]:
     return [s for s, _ in spans], [e for _, e in spans]
 
 
+def split_words(text: str) -> list[str]:
+    """The words; ``str.split()`` would also split at other white space, which belongs to words here."""
+    return [word.decode() for word in text.encode().split()]
+
+
 def row_key(columns: Sequence[str]) -> Column:
     """The same number for equal rows; it joins results back without multiplying repeated rows."""
     return F.xxhash64(*[F.struct(F.col(c).isNull(), F.col(c)) for c in columns])
