@@ -16,6 +16,7 @@ from clipsense.llm import (
     secret_scan,
     simhash,
     spotsigs,
+    substring_dedup,
     token_counts,
 )
 
@@ -26,6 +27,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_digests(documents(spark, sf_dir))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_counts(documents(spark, sf_dir))
 
@@ -67,6 +72,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_mixing": op2_mixing,
     "op3_spotsigs": op3_spotsigs,
     "op4_kd_sharding": op4_kd_sharding,
