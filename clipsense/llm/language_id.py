@@ -27,10 +27,10 @@ from math import log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from clipsense.llm.texts import per_row, split_words
+from clipsense.llm.texts import per_row, split_words, with_value
 from clipsense.llm.unigram import marked, matcher, piece_vocabulary_path
 
 UNDETERMINED = "und"
@@ -129,11 +129,11 @@ def train(documents: DataFrame, path: str, sample_docs: int = SAMPLE_DOCS) -> tu
     return [row["lang"] for row in rows], np.array([np.frombuffer(row["table"]) for row in rows])
 
 
-def predict(documents: DataFrame, languages: list[str], tables: np.ndarray, path: str) -> DataFrame:
-    """doc_id, lang_pred and score of every document."""
-    shared = documents.sparkSession.sparkContext.broadcast((languages, tables))
+def predictor(spark: SparkSession, languages: list[str], tables: np.ndarray, path: str) -> Callable:
+    """What a task calls to get a function from a text to its language and score."""
+    shared = spark.sparkContext.broadcast((languages, tables))
 
-    def make() -> Callable[..., tuple]:
+    def make() -> Callable[[str | None], tuple[str, float]]:
         names, numbers = shared.value
         probabilities = [row.tolist() for row in numbers]
         known: dict[str, int] = {}
@@ -148,24 +148,46 @@ def predict(documents: DataFrame, languages: list[str], tables: np.ndarray, path
             logs[at] = forward(marked(word), probabilities, path)
             return at
 
-        def apply(doc_id: int | None, text: str | None, held: bool) -> tuple:
+        def apply(text: str | None) -> tuple[str, float]:
             if not names or not text or not any(map(str.isalpha, text)):
-                return doc_id, held, UNDETERMINED, 0.0
+                return UNDETERMINED, 0.0
             if len(known) >= most:
                 known.clear()
             words = split_words(text)
             at = [known[word] if word in known else number(word) for word in words]
             total = logs[at].sum(axis=0)
             top = int(total.argmax())
-            return doc_id, held, names[top], 1.0 / float(np.exp(total - total[top]).sum())
+            return names[top], 1.0 / float(np.exp(total - total[top]).sum())
 
         return apply
 
-    rows = documents.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out"))
-    return per_row(rows, ["doc_id", "text", "held_out"], make, "doc_id bigint, held_out boolean, lang_pred string, score double")
+    return make
 
 
 def identify(documents: DataFrame, vocabulary_path: str | None = None, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """Fit on the labelled documents that are not held out, and predict all."""
+    """doc_id, held_out, lang_pred and score of every document, by a fit on those that are not held out."""
     path = vocabulary_path or piece_vocabulary_path()
-    return predict(documents, *train(documents, path, sample_docs), path)
+    make = predictor(documents.sparkSession, *train(documents, path, sample_docs), path)
+
+    def rows() -> Callable[..., tuple]:
+        apply = make()
+        return lambda doc_id, text, held: (doc_id, held, *apply(text))
+
+    return per_row(
+        documents.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")), ["doc_id", "text", "held_out"],
+        rows, "doc_id bigint, held_out boolean, lang_pred string, score double",
+    )
+
+
+def determined(documents: DataFrame, vocabulary_path: str | None = None, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """The documents, with all columns, whose language can be told."""
+    path = vocabulary_path or piece_vocabulary_path()
+    make = predictor(documents.sparkSession, *train(documents, path, sample_docs), path)
+
+    def told() -> Callable[[str | None], bool]:
+        apply = make()
+        return lambda text: apply(text)[0] != UNDETERMINED
+
+    rows = documents.select(F.struct(*[c for c in documents.columns if c != "text"]).alias("rest"), "text")
+    kept = with_value(rows, ["text"], told, "told", "boolean").filter("told")
+    return kept.select(*[F.col("text") if c == "text" else F.col("rest")[c].alias(c) for c in documents.columns])

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipsense.llm.numbering import buckets_for, running
-from clipsense.llm.texts import n_words, per_row, word_spans
+from clipsense.llm.texts import n_words, with_value, word_spans
 from clipsense.session import staged
 
 #: The weights of the sources in order, repeating.
@@ -184,31 +184,34 @@ def mix_counts(documents: DataFrame, **settings) -> DataFrame:
 
 
 def mix_texts(documents: DataFrame, **settings) -> DataFrame:
-    """doc_id, text_hash and the text the mix takes of each document it takes something of.
+    """The documents the mix takes something of, with all columns; the text is what it takes.
 
     Runs of words are kept as they stand, pass after pass, joined by line
-    breaks. Equal rows with one id come as one row that has what is taken of all.
+    breaks. Equal texts with one id come as one row that has what is taken of all.
     """
     _, takings = mix(documents, **settings)
-    runs = takings.groupBy(F.col("doc_id").alias("_doc_id"), F.col("text_hash").alias("_text_hash")).agg(
+    runs = takings.groupBy("doc_id", "text_hash").agg(
         F.sort_array(F.collect_list(F.struct("from_word", "pass", "first", "taken"))).alias("runs")
-    )
-    texts = documents.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).dropDuplicates(["doc_id", "text_hash"])
-    joined = texts.join(
-        runs, F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("text_hash").eqNullSafe(F.col("_text_hash"))
-    )
-
-    def apply(doc_id, text_hash, text, runs):
-        starts, ends = word_spans(text)
-        merged: list[list[int]] = []
-        passed = None
-        for run in runs:
-            key = (run["from_word"], run["pass"])
-            if merged and passed == key and merged[-1][1] == run["first"]:
-                merged[-1][1] += run["taken"]
-            else:
-                merged.append([run["first"], run["first"] + run["taken"]])
-            passed = key
-        return doc_id, text_hash, "\n".join(text[starts[a] : ends[b - 1]] for a, b in merged)
-
-    return per_row(joined, ["doc_id", "text_hash", "text", "runs"], lambda: apply, "doc_id bigint, text_hash bigint, text string")
+    ).select(F.col("doc_id").alias("taken_id"), F.col("text_hash").alias("taken_hash"), "runs")
+    rows = documents.select(
+        F.struct(*[c for c in documents.columns if c != "text"]).alias("rest"), "text",
+        F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_hash"),
+    ).dropDuplicates(["own_id", "own_hash"])
+    joined = rows.join(runs, F.col("own_id").eqNullSafe(F.col("taken_id")) & (F.col("own_hash") == F.col("taken_hash")))
+    mixed = with_value(joined.select("rest", "text", "runs"), ["text", "runs"], lambda: taken_text, "mixed", "string")
+    return mixed.select(*[F.col("mixed").alias(c) if c == "text" else F.col("rest")[c].alias(c) for c in documents.columns])
+
+
+def taken_text(text: str, runs: list[dict]) -> str:
+    """The runs of words of a text, those that follow each other in one pass as one."""
+    starts, ends = word_spans(text)
+    merged: list[list[int]] = []
+    before = None
+    for run in runs:
+        turn = (run["from_word"], run["pass"])
+        if before == turn and merged[-1][1] == run["first"]:
+            merged[-1][1] += run["taken"]
+        else:
+            merged.append([run["first"], run["first"] + run["taken"]])
+        before = turn
+    return "\n".join(text[starts[a] : ends[b - 1]] for a, b in merged)

@@ -26,8 +26,9 @@ import zlib
 from bisect import bisect_right
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from clipsense.llm.texts import per_row
+from clipsense.llm.texts import per_row, with_value
 
 KINDS = ("assign", "access", "hex")
 ASSIGN = re.compile(
@@ -228,5 +229,8 @@ def scan_secrets(documents: DataFrame) -> DataFrame:
     )
 
 
-def redact_secrets(text: str | None) -> str | None:
-    return None if text is None else redact(text)
+def redact_secrets(documents: DataFrame) -> DataFrame:
+    """The documents, with all columns, with a mark in place of every secret."""
+    rows = documents.select(F.struct(*[c for c in documents.columns if c != "text"]).alias("rest"), "text")
+    clean = with_value(rows, ["text"], lambda: lambda text: None if text is None else redact(text), "clean", "string")
+    return clean.select(*[F.col("clean").alias(c) if c == "text" else F.col("rest")[c].alias(c) for c in documents.columns])

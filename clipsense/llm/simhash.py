@@ -68,14 +68,18 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed number."""
+    """doc_id, text_hash and fp, the fingerprint as a signed number."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            found = np.array([fingerprint(text, shingle) for text in part.column(1).to_pylist()], dtype="<u8")
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found.view("<i8"))], names=["doc_id", "fp"])
+            found = np.array([fingerprint(text, shingle) for text in part.column(2).to_pylist()], dtype="<u8")
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array(found.view("<i8"))], names=["doc_id", "text_hash", "fp"]
+            )
 
-    return documents.select("doc_id", "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    return documents.select("doc_id", F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        run, "doc_id bigint, text_hash bigint, fp bigint"
+    )
 
 
 def _variants(bits: list[int]) -> list[tuple[int, list[int]]]:
@@ -188,7 +192,7 @@ def _links_in_groups(met: DataFrame) -> DataFrame:
 
 
 def near_groups(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp and component_id, the least doc_id that links lead to, for every document."""
+    """doc_id, text_hash, fp, component and component_id, the least doc_id that links lead to, for every document."""
     prints = staged(fingerprints(documents, shingle))
     nodes = staged(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     found = staged(components(link_fingerprints(nodes), "a", "b"))
@@ -196,5 +200,17 @@ def near_groups(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         "fp", F.coalesce("component", "fp").alias("component"), "least"
     )
     ids = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_print = labelled.join(ids, "component").select(F.col("fp").alias("_fp"), "component_id")
+    by_print = labelled.join(ids, "component").select(F.col("fp").alias("_fp"), "component", "component_id")
     return prints.join(by_print, F.col("fp") == F.col("_fp")).drop("_fp")
+
+
+def one_of_each(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The documents with the least id of their component, one row for each component, with all columns."""
+    groups = near_groups(documents, shingle)
+    kept = groups.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("own"))
+    own = kept.select(F.col("own.doc_id").alias("kept_id"), F.col("own.text_hash").alias("kept_hash"))
+    rows = documents.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_hash"))
+    return (
+        rows.join(own, F.col("own_id").eqNullSafe(F.col("kept_id")) & (F.col("own_hash") == F.col("kept_hash")), "left_semi")
+        .dropDuplicates(["own_id", "own_hash"]).select("row.*")
+    )

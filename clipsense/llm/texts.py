@@ -73,3 +73,18 @@ def per_row(df: DataFrame, columns: Sequence[str], make: Callable[[], RowFunctio
             )
 
     return df.select(*columns).mapInArrow(run, schema)
+
+
+def with_value(df: DataFrame, columns: Sequence[str], make: Callable[[], Callable], name: str, kind: str) -> DataFrame:
+    """All columns of ``df`` and one more, computed in Python from the given ones."""
+    at = [df.columns.index(c) for c in columns]
+    schema = StructType([*df.schema.fields, *StructType.fromDDL(f"`{name}` {kind}").fields])
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apply = make()
+        for part in slices(batches):
+            values = [apply(*row) for row in zip(*(part.column(i).to_pylist() for i in at))]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values, arrow[-1].type)], names=arrow.names)
+
+    return df.mapInArrow(run, schema)
