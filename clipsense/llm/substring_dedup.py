@@ -218,7 +218,7 @@ class SuffixAutomaton:
                 matched = self.length[state]
             if word in self.next[state]:
                 state, matched = self.next[state][word], matched + 1
-            while self.length[self.link[state]] >= window:
+            while state and self.length[self.link[state]] >= window:
                 state = self.link[state]
                 matched = self.length[state]
             if i >= window - 1:
