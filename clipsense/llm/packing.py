@@ -22,7 +22,6 @@ empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 import json
-import os
 import re
 import struct
 import zlib
@@ -31,9 +30,12 @@ from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
+import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from clipsense.llm.numbering import buckets_for, running
 from clipsense.llm.texts import slices
@@ -53,11 +55,22 @@ _BREAK = re.compile(r"(?<=\S) (?=\S)")
 
 
 def byte_bpe_path() -> str:
-    import public_tokenizers
-
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def byte_pairs(tokenizer: Tokenizer) -> tiktoken.Encoding:
+    """The tokenizer's vocabulary in the library that merges new words fastest; its ids are in merge order."""
+    plain = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    # Bytes that are not printable stand in the vocabulary as the characters from 256 on.
+    others = [b for b in range(256) if b not in plain]
+    byte_of = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
+    special = {token.content for token in tokenizer.get_added_tokens_decoder().values()}
+    ranks = {
+        bytes(byte_of[c] for c in token): i for token, i in tokenizer.get_vocab().items() if token not in special
+    }
+    return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 @lru_cache(maxsize=2)
 def chunk_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
     """A function from text to its ids as little-endian 32-bit numbers.
@@ -66,19 +79,17 @@ def chunk_encoder(tokenizer_path: str) -> Callable[[str], bytes]:
     tokenizer begins anew anyway, and the ids of chunks are remembered, for all
     tasks of a worker.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
-    from tokenizers import Tokenizer
-
     tokenizer = Tokenizer.from_file(tokenizer_path)
-    tokenizer.encode_special_tokens = True
     split = json.loads(tokenizer.pre_tokenizer.__getstate__()) if tokenizer.pre_tokenizer else {}
     if split.get("type") != "ByteLevel" or split.get("add_prefix_space") or tokenizer.normalizer is not None:
         raise ValueError("chunks are only known to be independent for a plain byte-level tokenizer")
     known: dict[str, bytes] = {}
 
+    pair_merger = byte_pairs(tokenizer)
+
     def ids_of(texts: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [struct.pack(f"<{len(x.ids)}I", *x.ids) for x in found]
+        found = map(pair_merger.encode_ordinary, texts)
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in found]
 
     def encode(text: str) -> bytes:
         first, *rest = text.split(" ")
