@@ -76,10 +76,10 @@ def split_level(points: DataFrame, leaves: dict[int, int]) -> tuple[DataFrame, d
     for row in spread:
         d = max(dims, key=lambda i: (row[f"high{i}"] - row[f"low{i}"]) >> 32)
         k = leaves[row["node"]]
-        state[row["node"]] = [d + 1, row[f"low{d}"], (row[f"high{d}"] - row[f"low{d}"]).bit_length(), row["bytes"] * (k // 2) / k, 0]
+        state[row["node"]] = [d + 1, row[f"low{d}"], (row[f"high{d}"] - row[f"low{d}"]).bit_length(), row["bytes"] * (k // 2) // k, 0]
     cuts: dict[int, int] = {}
     while state:
-        rows = [(n, d, low, bits, max(0, bits - BIN_BITS), int(want), left) for n, (d, low, bits, want, left) in state.items()]
+        rows = [(n, d, low, bits, max(0, bits - BIN_BITS), want, left) for n, (d, low, bits, want, left) in state.items()]
         open_nodes = _table(spark, "node, dim, low, bits, shift, want, left_of", rows)
         bins = (
             points.join(open_nodes, "node").withColumn("rest", code - F.col("low"))

@@ -50,8 +50,9 @@ LONG_LINE = 12
 MARKS_A_WORD = 0.5
 #: The most separators for each word of a line.
 SEPARATORS_A_WORD = 0.3
-#: The share of its word characters that a document must keep.
+#: The share of its word characters that a document must keep, unless it loses a few words only.
 LEAST_KEPT = 0.5
+FEW_WORDS = 20
 
 SCHEMA = (
     "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
@@ -95,7 +96,7 @@ def judge(doc_id: int | None, text: str | None) -> tuple:
     all_words: list[str] = []
     seen: set[str] = set()
     good: list[str] = []
-    dup_lines = lines = failed = kept_chars = 0
+    dup_lines = lines = failed = kept_chars = lost_words = 0
     for line in text.split("\n"):
         words = _split(line)
         if not words:
@@ -109,6 +110,7 @@ def judge(doc_id: int | None, text: str | None) -> tuple:
             seen.add(line)
         if line_fails(line, words):
             failed += 1
+            lost_words += len(words)
         else:
             good.append(line)
             kept_chars += sum(map(len, words))
@@ -120,7 +122,7 @@ def judge(doc_id: int | None, text: str | None) -> tuple:
     share = kept_chars / chars if chars else 0.0
     return (
         doc_id, n, chars, symbols, dup_lines, repeats, base_failed,
-        not base_failed and share >= LEAST_KEPT, lines, failed, share, "\n".join(good),
+        not base_failed and (share >= LEAST_KEPT or lost_words <= FEW_WORDS), lines, failed, share, "\n".join(good),
     )
 
 
