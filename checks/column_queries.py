@@ -153,7 +153,8 @@ def search_catalog(spark, sf):
 
 @query("comment_length", f"WITH {I.COM} SELECT user_id, video_id, length(comment_content) AS comment_length FROM com")
 def comment_length(spark, sf):
-    return I.comments(spark, sf).select("user_id", "video_id", F.length("comment_content").alias("comment_length"))
+    text = F.col("comment_content")
+    return I.comments(spark, sf).select("user_id", "video_id", E.comment_length(F.lit(None).cast("int"), text).alias("comment_length"))
 
 
 def profile_sql(source: str) -> str:

@@ -117,18 +117,18 @@ CCAT = f"""{CAT}, {LV}, ccat AS (
 
 
 def comments(spark: SparkSession, sf: str) -> DataFrame:
-    """User turns as comments; tabs and line breaks become blanks, as in a TSV."""
-    return table(spark, sf, "conversations").filter(F.col("role") == "user").select(
-        F.col("conv_id").cast("string").alias("user_id"),
+    """All turns as comments of the speakers; tabs and line breaks become blanks, as in a TSV."""
+    return table(spark, sf, "conversations").select(
+        F.concat_ws("-", F.col("conv_id").cast("string"), "role").alias("user_id"),
         F.col("turn").cast("string").alias("video_id"),
         F.regexp_replace("text", "[\\t\\r\\n]+", " ").alias("comment_content"),
     )
 
 
 COM = """com AS (
-  SELECT CAST(conv_id AS VARCHAR) AS user_id, CAST(turn AS VARCHAR) AS video_id,
+  SELECT concat_ws('-', CAST(conv_id AS VARCHAR), role) AS user_id, CAST(turn AS VARCHAR) AS video_id,
          regexp_replace(text, '[\\t\\r\\n]+', ' ', 'g') AS comment_content
-  FROM conversations WHERE role = 'user')"""
+  FROM conversations)"""
 
 
 def pairs(spark: SparkSession, sf: str) -> DataFrame:

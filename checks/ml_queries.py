@@ -2,19 +2,38 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import inputs as I
 from checks.column_queries import PROFILE, visit_profiles
 from checks.inputs import draw, r
 from checks.recommend_queries import users
-from checks.registry import query
+from checks.registry import ORACLES, query
+from checks.table_queries import BLOCK_LIMIT
 from clipsense.ml import als, clusters, evaluation, similarity
 from clipsense.operators import items, recommend
-from clipsense.session import scratch_path
+from clipsense.session import scratch_path, staged
 
-# Settings of the check runs only; the library defaults are rank 64, 15 iterations.
-SMALL = {"rank": 10, "maxIter": 5}
+# Fitted numbers have no SQL form. The queries below return facts about whole
+# fits, with the library's own settings, that SQL can state.
+def _gapless():
+    return (F.max("rank") == F.count("*")).alias("gapless")
+
+
+def _listed(recs, n):
+    """Per user: rows, and whether ranks have no gap, scores fall and videos differ."""
+    falls = F.coalesce(F.lag("score").over(Window.partitionBy("user_id").orderBy("rank")) >= F.col("score"), F.lit(True))
+    return recs.withColumn("falls", falls).groupBy("user_id").agg(
+        F.count("*").alias("rows"), _gapless(), F.bool_and("falls").alias("falling"),
+        (F.count_distinct("video_id") == F.count("*")).alias("different"),
+    )
+
+
+def _listed_sql(n: int) -> str:
+    return f"""SELECT user_id, least({n}, (SELECT count(DISTINCT video_id) FROM ix)) AS rows, true AS gapless, true AS falling, true AS different
+FROM (SELECT DISTINCT user_id FROM ix)"""
 
 
 def _rows(spark, sf):
@@ -31,54 +50,75 @@ def train_test_split(spark, sf):
     return train.select("event_id", F.lit("train").alias("side")).unionByName(test.select("event_id", F.lit("test").alias("side")))
 
 
-@query("als_train")
+@query("als_train", f"""WITH {I.IX}, tr AS (SELECT * FROM ix WHERE {draw('split42', 'event_id')} < 0.8::DOUBLE)
+SELECT count(DISTINCT user_id) AS users, count(DISTINCT video_id) AS videos, CAST(64 AS BIGINT) AS least_rank, CAST(64 AS BIGINT) AS most_rank, true AS nonnegative FROM tr""")
 def als_train(spark, sf):
     """Size of the fitted factors."""
-    model = als.train(_split(spark, sf)[0].drop("event_id"), **SMALL)
-    counts = model.model.userFactors.agg(F.count("*").alias("users"), F.min(F.size("features")).alias("rank"))
-    return counts.withColumn("videos", model.model.itemFactors.agg(F.count("*")).scalar())
+    model = als.train(_split(spark, sf)[0].drop("event_id")).model
+    every = model.userFactors.select("features", F.lit("user").alias("of")).unionByName(model.itemFactors.select("features", F.lit("video").alias("of")))
+    size = F.size("features")
+    return every.agg(
+        F.count_if(F.col("of") == "user").alias("users"), F.count_if(F.col("of") == "video").alias("videos"),
+        F.min(size).alias("least_rank"), F.max(size).alias("most_rank"), F.bool_and(F.array_min("features") >= 0).alias("nonnegative"),
+    )
 
 
-@query("als_rmse")
+@query("als_rmse", f"""WITH {I.IX}, sp AS (SELECT *, {draw('split42', 'event_id')} < 0.8::DOUBLE AS train FROM ix)
+SELECT count(*) AS rows, true AS plausible FROM sp WHERE NOT train AND user_id IN (SELECT user_id FROM sp WHERE train) AND video_id IN (SELECT video_id FROM sp WHERE train)""")
 def als_rmse(spark, sf):
+    """Test rows with a prediction; the error lies between nothing and that of the largest weight."""
     train, test = _split(spark, sf)
-    model = als.train(train.drop("event_id"), **SMALL)
-    error = (F.col("prediction") - F.col("weight")) * (F.col("prediction") - F.col("weight"))
-    return model.predictions(test).agg(F.count("*").alias("rows"), F.sqrt(F.avg(error)).alias("rmse"))
+    model = als.train(train.drop("event_id"))
+    rmse = model.rmse(test)
+    return model.predictions(test).agg(F.count("*").alias("rows"), F.lit(0.0 < rmse < 17.0).alias("plausible"))
 
 
-@query("als_cv")
+@query("als_cv", f"WITH {I.IX}, pt AS (SELECT unnest(range(0, 27)) AS point) SELECT point, true AS finite, true AS best_is_least, (SELECT count(DISTINCT user_id) FROM ix WHERE event_type <> 'skip') AS users FROM pt")
 def als_cv(spark, sf):
+    """All 27 points of the grid in three folds; the chosen model has the least error."""
     rated = items.ratings(I.interactions(spark, sf)).select("user_id", "video_id", "rating")
-    grid = {"rank": [5, 10]}
-    fitted, best = als.cross_validate(rated, grid=grid, folds=2, parallelism=2, maxIter=3)
-    scores = F.array(*[F.struct(F.lit(k).alias("rank"), F.lit(m).alias("rmse")) for k, m in zip(grid["rank"], fitted.avgMetrics)])
-    return best.users.agg(F.count("*").alias("users")).select("users", F.explode(scores).alias("s")).select("users", "s.*")
-
-
-@query("als_for_users")
+    fitted, best = als.cross_validate(rated)
+    maps, errors = fitted.getEstimatorParamMaps(), fitted.avgMetrics
+    least = {p.name: v for p, v in maps[min(range(len(errors)), key=errors.__getitem__)].items()}
+    chosen = best.model.rank == least["rank"]
+    points = F.array(*[F.struct(F.lit(i).alias("point"), F.lit(0.0 < e < float("inf")).alias("finite")) for i, e in enumerate(errors)])
+    return best.users.agg(F.count("*").alias("users")).select("users", F.explode(points).alias("p")).select("p.*", F.lit(chosen).alias("best_is_least"), "users")
+
+
+@query("als_for_users", f"""WITH {I.IX}, us AS (SELECT CAST(c_custkey AS VARCHAR) AS user_id FROM customer),
+s10 AS (SELECT video_id, sum(weight) AS score FROM ix WHERE event_time >= {I.AS_OF} - INTERVAL 24 HOURS GROUP BY 1 ORDER BY score DESC, video_id LIMIT 10)
+SELECT user_id, video_id, {r('score', 'score')}, CAST(1 AS BIGINT) AS rows, 'trending' AS method FROM us, s10 WHERE user_id NOT IN (SELECT user_id FROM ix)
+UNION ALL SELECT user_id, NULL, NULL, least(10, (SELECT count(DISTINCT video_id) FROM ix)), 'distributed_als' FROM us WHERE user_id IN (SELECT user_id FROM ix)""")
 def als_for_users(spark, sf):
+    """Rows of the users the model does not know, and the number of rows of the others."""
     ix = I.interactions(spark, sf)
-    model = als.train(_rows(spark, sf), **SMALL)
-    return als.for_users_or_trending(model, users(spark, sf), items.trending(ix, I.as_of(spark, sf)), 10)
+    model = als.train(_rows(spark, sf))
+    shown = als.for_users_or_trending(model, users(spark, sf), items.trending(ix, I.as_of(spark, sf)), 10)
+    mine = F.col("method") == "distributed_als"
+    return shown.groupBy(
+        "user_id", F.when(~mine, F.col("video_id")).alias("video_id"), F.when(~mine, F.col("score")).alias("score"), "method"
+    ).agg(F.count("*").alias("rows"))
 
 
-@query("als_for_all")
+@query("als_for_all", f"WITH {I.IX} {_listed_sql(20)}")
 def als_for_all(spark, sf):
-    return als.train(_rows(spark, sf), **SMALL).for_all(20)
+    return _listed(als.train(_rows(spark, sf)).for_all(20), 20)
 
 
-@query("sink_model")
+@query("sink_model", f"WITH {I.IX} SELECT user_id, least(5, (SELECT count(DISTINCT video_id) FROM ix)) AS rows, true AS same FROM (SELECT DISTINCT user_id FROM ix)")
 def sink_model(spark, sf):
-    """Save, load, and recommend with what was loaded."""
+    """Save, load, and recommend with what was loaded: the lists of the model that was saved."""
     path = scratch_path(spark, "model")
-    als.train(_rows(spark, sf), **SMALL).save(path)
-    return als.Recommender.load(spark, path).for_all(5)
+    model = als.train(_rows(spark, sf))
+    model.save(path)
+    loaded = als.Recommender.load(spark, path).for_all(5).withColumnRenamed("score", "loaded")
+    both = model.for_all(5).join(loaded, ["user_id", "video_id", "rank"], "full")
+    return both.groupBy("user_id").agg(F.count("*").alias("rows"), F.bool_and(F.coalesce(F.col("score") == F.col("loaded"), F.lit(False))).alias("same"))
 
 
-@query("model_metadata", f"""WITH {I.IX} SELECT 'als' AS model_type, CAST(10 AS BIGINT) AS rank, count(DISTINCT user_id) AS users, count(DISTINCT video_id) AS videos, '1' AS version FROM ix""")
+@query("model_metadata", f"""WITH {I.IX} SELECT 'als' AS model_type, CAST(64 AS BIGINT) AS rank, count(DISTINCT user_id) AS users, count(DISTINCT video_id) AS videos, '1' AS version FROM ix""")
 def model_metadata(spark, sf):
-    model = als.train(_rows(spark, sf), **SMALL)
+    model = als.train(_rows(spark, sf))
     return als.model_metadata(model, "als", F.current_timestamp(), "1").drop("trained_at")
 
 
@@ -102,7 +142,7 @@ def _popular_for_test_users(spark, sf):
     popular = train.groupBy("video_id").agg(F.count("*").cast("double").alias("score"))
     actual = evaluation.actual_items(test)
     none = train.select("user_id", "video_id", F.col("weight").alias("score")).filter("false")
-    return actual, first_tier(actual.select("user_id").distinct(), [("own", none)], popular, "popular", 10)
+    return actual, first_tier(actual.select("user_id").distinct(), [("own", none)], [("popular", popular)], 10)
 
 
 @query("ranking_eval", f"WITH {_EVAL} SELECT count(*) AS users, {r('avg(p)', 'precision_at_k')}, {r('avg(rc)', 'recall_at_k')}, {r('avg(ap)', 'map_at_k')}, {r('avg(nd)', 'ndcg_at_k')} FROM um")
@@ -130,9 +170,24 @@ def cluster_features(spark, sf):
     return clusters.scaled_columns(visit_profiles(spark, sf))
 
 
-@query("user_clusters")
+@query("user_clusters", f"WITH {PROFILE} SELECT count(*) AS users, CAST(5 AS BIGINT) AS segments, true AS nearest, true AS in_order, true AS named FROM up")
 def user_clusters(spark, sf):
-    return clusters.segments(visit_profiles(spark, sf)).select("user_id", "segment_no", "user_segment", "user_score")
+    """Every user is at the nearest centre, and segments are numbered by mean activity."""
+    model, filled = clusters.fit(visit_profiles(spark, sf))
+    found = clusters.named(model, filled)
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.stages[-1].clusterCenters()])
+    here = vector_to_array("scaled_features")
+    distances = F.transform(centres, lambda c: F.aggregate(F.zip_with(c, here, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
+    near = F.element_at(distances, F.col("prediction") + 1) <= F.array_min(distances) + 1e-9
+    sizes = found.withColumn("near", near).groupBy("segment_no").agg(
+        F.count("*").alias("n"), F.bool_and("near").alias("near"), F.count_distinct("user_segment").alias("names"),
+        F.avg(F.col("total_views") + F.col("total_likes") + F.col("total_comments")).alias("activity"),
+    )
+    by_number = sizes.withColumn("rises", F.coalesce(F.lag("activity").over(Window.orderBy("segment_no")) <= F.col("activity"), F.lit(True)))
+    return by_number.agg(
+        F.sum("n").alias("users"), F.count("*").alias("segments"), F.bool_and("near").alias("nearest"),
+        F.bool_and("rises").alias("in_order"), F.bool_and(F.col("names") == 1).alias("named"),
+    )
 
 
 def _cosine(source: str, threshold: float = 0.3) -> str:
@@ -154,14 +209,52 @@ def item_cosine_sparse(spark, sf):
     return similarity.item_cosine(I.purchases(spark, sf), threshold=0.15)
 
 
-@query("item_factor_similarity")
+@query("item_cosine_blocks", ORACLES["item_cosine"])
+def item_cosine_blocks(spark, sf):
+    """The same with a limit that sends nearly all users through blocks."""
+    return similarity.item_cosine(I.interactions(spark, sf), limit=BLOCK_LIMIT)
+
+
+@query("item_cosine_sparse_blocks", ORACLES["item_cosine_sparse"])
+def item_cosine_sparse_blocks(spark, sf):
+    return similarity.item_cosine(I.purchases(spark, sf), threshold=0.15, limit=BLOCK_LIMIT)
+
+
+@query("item_factor_similarity", f"WITH {I.IX}, v AS (SELECT DISTINCT video_id FROM ix) SELECT video_id, least(10, (SELECT count(*) - 1 FROM v)) AS rows, true AS gapless, true AS exact FROM v")
 def item_factor_similarity(spark, sf):
-    return similarity.item_factor_similarity(als.train(_rows(spark, sf), **SMALL))
+    """The ten nearest of each video; their cosines are those of the factors, and no other video is nearer."""
+    model = als.train(_rows(spark, sf))
+    found = similarity.item_factor_similarity(model)
+    lists = model.model.itemFactors.join(model.videos, F.col("id") == F.col("video_idx")).select("video_id", "features")
+    other = lists.select(F.col("video_id").alias("similar_id"), F.col("features").alias("others"))
+
+    def dot(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+
+    tenth = found.groupBy("video_id").agg(F.min("cosine").alias("last"), F.count("*").alias("rows"), _gapless())
+    shown = found.join(lists, "video_id").join(other, "similar_id")
+    cosine = dot("features", "others") / F.sqrt(dot("features", "features") * dot("others", "others"))
+    exact = shown.groupBy("video_id").agg(F.bool_and(F.abs(cosine - F.col("cosine")) < 1e-6).alias("exact"))
+    return tenth.join(exact, "video_id").select("video_id", "rows", "gapless", "exact")
 
 
-@query("rec_als_itemcf")
+@query("rec_als_itemcf", f"WITH {I.IX} SELECT user_id, least(20, (SELECT count(DISTINCT video_id) FROM ix)) AS rows, true AS gapless, true AS falling, true AS different, true AS exact FROM (SELECT DISTINCT user_id FROM ix)")
 def rec_als_itemcf(spark, sf):
+    """The mixed lists, and whether their scores are those of the two lists they were mixed from."""
     ix = I.interactions(spark, sf)
-    model = als.train(_rows(spark, sf), **SMALL)
-    item_cf = similarity.by_similar_items(ix, similarity.item_cosine(ix))
-    return recommend.mixed({"als": (model.for_all(20), 0.5), "item_cf": (item_cf, 0.5)})
+    parts = {
+        "als": staged(als.train(_rows(spark, sf)).for_all(20)),
+        "item_cf": staged(similarity.by_similar_items(ix, similarity.item_cosine(ix))),
+    }
+    mixed = staged(recommend.mixed({name: (recs, 0.5) for name, recs in parts.items()}))
+    again = None
+    for recs in parts.values():
+        ends = recs.groupBy("user_id").agg(F.min("score").alias("low"), F.max("score").alias("high"))
+        unit = F.when(F.col("high") > F.col("low"), (F.col("score") - F.col("low")) / (F.col("high") - F.col("low"))).otherwise(1.0)
+        part = recs.join(ends, "user_id").select("user_id", "video_id", (unit * 0.5).alias("expected"))
+        again = part if again is None else again.unionByName(part)
+    sums = again.groupBy("user_id", "video_id").agg(F.sum("expected").alias("expected"))
+    exact = mixed.join(sums, ["user_id", "video_id"]).groupBy("user_id").agg(
+        F.bool_and(F.abs(F.col("score") - F.col("expected")) < 1e-9).alias("exact")
+    )
+    return _listed(mixed, 20).join(exact, "user_id")

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from checks import inputs as I
 from checks.column_queries import METHOD_WEIGHTS, profile_sql, visit_profiles
 from checks.inputs import r, t
-from checks.registry import query
-from checks.table_queries import AFFINITY, QUALITY, preferred, quality
+from checks.registry import ORACLES, query
+from checks.table_queries import AFFINITY, BLOCK_LIMIT, QUALITY, preferred, quality
 from checks.window_queries import score_sql
 from clipsense.operators import items, recommend, serving
 from clipsense.operators.recency import recent_video_scores
@@ -135,6 +135,12 @@ def rec_content(spark, sf):
     return recommend.by_content(preferred(spark, sf), I.visits(spark, sf), I.catalog(spark, sf))
 
 
+@query("rec_content_groups", ORACLES["rec_content"])
+def rec_content_groups(spark, sf):
+    """The same with a limit that sends nearly all tags through groups."""
+    return recommend.by_content(preferred(spark, sf), I.visits(spark, sf), I.catalog(spark, sf), limit=BLOCK_LIMIT)
+
+
 _USERS = "us AS (SELECT CAST(c_custkey AS VARCHAR) AS user_id FROM customer)"
 
 
@@ -147,21 +153,20 @@ _TREND = f"""s20 AS (SELECT video_id, sum(weight) AS score FROM ix WHERE event_t
 
 
 @query("rec_serving", f"""WITH {_Q}, {I.CAT}, {score_sql()}, {_comments('ix')}, {_USERS}, {_TREND},
-t0 AS (SELECT user_id, video_id, final_score AS score, 'hybrid' AS method, 0 AS tier FROM cr WHERE user_id IN (SELECT user_id FROM ix GROUP BY 1 HAVING count(*) % 2 = 0)),
+t0 AS (SELECT user_id, video_id, final_score AS score, 'hybrid' AS method, 0 AS tier FROM cr),
 al AS (SELECT * FROM t0 UNION ALL SELECT user_id, video_id, score, 'cached', 1 FROM rvs
   UNION ALL SELECT user_id, video_id, score, 'trending', 2 FROM us, s20),
 b AS (SELECT user_id, min(tier) AS tier FROM al GROUP BY 1),
 p AS (SELECT al.*, row_number() OVER (PARTITION BY user_id ORDER BY score DESC NULLS LAST, video_id) AS rank FROM al JOIN b USING (user_id, tier) JOIN us USING (user_id))
 SELECT user_id, video_id, {r('score', 'score')}, method, rank, title FROM p LEFT JOIN cat USING (video_id) WHERE rank <= 20""")
 def rec_serving(spark, sf):
-    """Users with an even number of events have stored lists."""
+    """Users who comment have stored lists, the other users with events cached ones, new users trending videos."""
     from clipsense.operators.catalog import enrich_recommendations
 
     ix, now = I.interactions(spark, sf), I.as_of(spark, sf)
-    even = ix.groupBy("user_id").agg(F.count("*").alias("n")).filter("n % 2 = 0").select("user_id")
-    stored = recommend.by_comments(ix, quality(spark, sf)).join(even, "user_id", "left_semi").withColumnRenamed("final_score", "score")
+    stored = recommend.by_comments(ix, quality(spark, sf)).withColumnRenamed("final_score", "score")
     tiers = [("hybrid", stored), ("cached", recent_video_scores(ix, now))]
-    shown = serving.first_tier(users(spark, sf), tiers, items.trending(ix, now), "trending")
+    shown = serving.first_tier(users(spark, sf), tiers, [("trending", items.trending(ix, now))])
     return enrich_recommendations(shown, I.catalog(spark, sf), ("title",)).select("user_id", "video_id", "score", "method", "rank", "title")
 
 
@@ -175,9 +180,31 @@ def rec_cold_start(spark, sf):
     ix, now, catalog = I.interactions(spark, sf), I.as_of(spark, sf), I.counted_catalog(spark, sf)
     new_users = users(spark, sf).join(ix.select("user_id").distinct(), "user_id", "left_anti")
     no_rows = ix.select("user_id", "video_id", F.col("weight").alias("score")).filter("false")
-    for_users = serving.first_tier(new_users, [("stored", no_rows)], items.trending(ix, now), "trending")
+    for_users = serving.first_tier(new_users, [("stored", no_rows)], [("trending", items.trending(ix, now))])
     new_items = catalog.join(ix.select("video_id").distinct(), "video_id", "left_anti")
     for_items = serving.similar_in_category(new_items, catalog)
     return for_users.select(F.lit("user").alias("kind"), F.col("user_id").alias("id"), "video_id", "score", "rank").unionByName(
         for_items.select(F.lit("video").alias("kind"), F.col("video_id").alias("id"), F.col("similar_id").alias("video_id"), "score", "rank")
     )
+
+
+_QUIET = f"""{I.IX}, {I.CCAT}, {_USERS},
+pv AS (SELECT video_id, CAST(count(*) FILTER (event_type = 'view') AS DOUBLE) AS score FROM ix GROUP BY 1),
+pc AS (SELECT * FROM pv ORDER BY score DESC, video_id LIMIT 20),
+pe AS (SELECT video_id, coalesce(engagement_score, 0) AS score FROM ccat ORDER BY score DESC, video_id LIMIT 20)"""
+
+
+@query("rec_quiet_day", f"""WITH {_QUIET} SELECT 'views' AS kind, user_id, video_id, {r('score', 'score')}, 'popular' AS method FROM us, pc
+UNION ALL SELECT 'no views', user_id, video_id, {r('score', 'score')}, 'engagement' FROM us, pe""")
+def rec_quiet_day(spark, sf):
+    """A week after the last event nothing trends: the most viewed videos stand in, without views the best engagement scores."""
+    ix, catalog = I.interactions(spark, sf), I.counted_catalog(spark, sf)
+    later = I.as_of(spark, sf) + F.expr("INTERVAL 7 DAYS")
+    own = [("stored", ix.select("user_id", "video_id", F.col("weight").alias("score")).filter("false"))]
+    engaging = serving.by_engagement(catalog)
+
+    def shown(events, kind):
+        shared = [("trending", items.trending(events, later)), ("popular", serving.by_views(events)), ("engagement", engaging)]
+        return serving.first_tier(users(spark, sf), own, shared).select(F.lit(kind).alias("kind"), "user_id", "video_id", "score", "method")
+
+    return shown(ix, "views").unionByName(shown(ix.filter("false"), "no views"))

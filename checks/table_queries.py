@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 from checks import inputs as I
 from checks.column_queries import PROFILE, profile_sql, visit_profiles
 from checks.inputs import r, t
-from checks.registry import query
+from checks.registry import ORACLES, query
 from clipsense.ml.ids import id_index
 from clipsense.operators import catalog as cat
 from clipsense.operators import items, loading, neighbours, profiles
 from clipsense.operators.recency import interaction_counter, recent_interactions, video_counters
 
+#: Holders of a feature beyond which the second entry of a pair query takes blocks.
+BLOCK_LIMIT = 8
+
 # ------------------------------------------------------------------ joins
 
 
@@ -41,6 +44,12 @@ def neighbour_join(spark, sf):
     return neighbours.common_counts(I.interactions(spark, sf).filter(F.col("event_type") == "like"))
 
 
+@query("neighbour_join_blocks", ORACLES["neighbour_join"])
+def neighbour_join_blocks(spark, sf):
+    """The same with a limit that sends nearly all videos through blocks."""
+    return neighbours.common_counts(I.interactions(spark, sf).filter(F.col("event_type") == "like"), limit=BLOCK_LIMIT)
+
+
 @query("exclude_seen", f"""WITH {I.IX}, likes AS (SELECT DISTINCT event_type, video_id FROM ix), us AS (SELECT DISTINCT user_id, event_type FROM ix)
 SELECT DISTINCT us.user_id, likes.video_id FROM us JOIN likes USING (event_type)
 WHERE NOT EXISTS (SELECT 1 FROM ix WHERE ix.user_id = us.user_id AND ix.video_id = likes.video_id)""")
@@ -62,6 +71,11 @@ def top_neighbours(spark, sf):
     return neighbours.top_neighbours(I.interactions(spark, sf).filter(F.col("event_type") == "like"), 50)
 
 
+@query("top_neighbours_blocks", ORACLES["top_neighbours"])
+def top_neighbours_blocks(spark, sf):
+    return neighbours.top_neighbours(I.interactions(spark, sf).filter(F.col("event_type") == "like"), 50, limit=BLOCK_LIMIT)
+
+
 @query("candidate_join", f"WITH {_COMMON} SELECT user_id, video_id, events, common_sum, common_max FROM cd")
 def candidate_join(spark, sf):
     likes = I.interactions(spark, sf).filter(F.col("event_type") == "like")

@@ -124,7 +124,7 @@ def cross_validate(rows: DataFrame, label: str = "rating", grid: dict | None = N
 
 def for_users_or_trending(recommender: Recommender, users: DataFrame, trending: DataFrame, n: int = 20) -> DataFrame:
     """Model rows for known users, the trending list for the others."""
-    return first_tier(users, [("distributed_als", recommender.for_users(users, n))], trending, "trending", n)
+    return first_tier(users, [("distributed_als", recommender.for_users(users, n))], [("trending", trending)], n)
 
 
 def model_metadata(recommender: Recommender, model_type: str, trained_at, version: str) -> DataFrame:

@@ -189,13 +189,11 @@ def _first_of_groups(prefs: DataFrame, items: DataFrame, interactions: DataFrame
         .filter((F.col("up_to_here") - F.col("same_score") < n) & (F.col("unseen") > 0))
         .select("user_id", "tags", "score", "seen")
     )
+    # Each user asks for their own places of a group, so a hot user opens no group further for others.
+    asked = reachable.select("user_id", "tags", "score", F.explode(F.sequence(F.lit(1), (n + F.col("seen")).cast("int"))).alias("place"))
     depth = n + (seen_kinds.agg(F.max("seen").alias("most")).first()["most"] or 0)
     places = top_per_key(items, "tags", ["video_id"], depth, "place")
-    return (
-        reachable.join(places, "tags")
-        .filter(F.col("place") <= n + F.col("seen"))
-        .select("user_id", "video_id", "score")
-    )
+    return asked.join(places, ["tags", "place"]).select("user_id", "video_id", "score")
 
 
 def mixed(parts: dict[str, tuple[DataFrame, float]], n: int = 20) -> DataFrame:
@@ -204,12 +202,11 @@ def mixed(parts: dict[str, tuple[DataFrame, float]], n: int = 20) -> DataFrame:
     A list whose scores are all equal for a user scales to 1.
     """
     scaled = None
+    of_user = Window.partitionBy("user_id")
+    low, high = F.min("score").over(of_user), F.max("score").over(of_user)
+    unit = F.coalesce(F.try_divide(F.col("score") - low, high - low), F.lit(1.0))
     for name, (recs, weight) in parts.items():
-        ends = recs.groupBy("user_id").agg(F.min("score").alias("low"), F.max("score").alias("high"))
-        unit = F.coalesce(F.try_divide(F.col("score") - F.col("low"), F.col("high") - F.col("low")), F.lit(1.0))
-        part = recs.join(ends, "user_id").select(
-            "user_id", "video_id", (unit * weight).alias("score"), F.lit(name).alias("method")
-        )
+        part = recs.select("user_id", "video_id", (unit * weight).alias("score"), F.lit(name).alias("method"))
         scaled = part if scaled is None else scaled.unionByName(part)
     sums = scaled.groupBy("user_id", "video_id").agg(
         F.sum("score").alias("score"), F.array_sort(F.collect_set("method")).alias("methods")

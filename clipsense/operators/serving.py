@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipsense.operators.ranking import top_per_key
@@ -14,32 +14,50 @@ def _tier(recs: DataFrame, method: str, tier: int) -> DataFrame:
     return recs.select("user_id", "video_id", "score", F.lit(method).alias("method"), F.lit(tier).alias("tier"))
 
 
-def first_tier(users: DataFrame, tiers: list[tuple[str, DataFrame]], shared: DataFrame, shared_method: str, n: int = 20) -> DataFrame:
-    """Per user the first tier with rows, else the ``shared`` list.
+def first_tier(users: DataFrame, tiers: list[tuple[str, DataFrame]], shared: list[tuple[str, DataFrame]], n: int = 20) -> DataFrame:
+    """Per user the first tier with rows, else the first ``shared`` list that is not empty.
 
-    The shared list has at most n rows. It travels as one array value to the
-    users without rows of their own, so no user table is multiplied out.
+    A shared list has at most n rows. The one that is shown travels as one array
+    value to the users without rows of their own, so no user table is
+    multiplied out.
     """
     own = None
     for number, (method, recs) in enumerate(tiers):
         part = _tier(recs, method, number)
         own = part if own is None else own.unionByName(part)
     own = own.join(users.select("user_id"), "user_id", "left_semi")
-    lowest = own.groupBy("user_id").agg(F.min("tier").alias("tier"))
-    served = own.join(lowest, ["user_id", "tier"])
-    top_list = shared.select("video_id", F.col("score").cast("double").alias("score"))
-    as_array = top_list.orderBy(F.col("score").desc(), "video_id").limit(n).agg(
-        F.collect_list(F.struct("video_id", "score")).alias("list")
-    )
+    lowest = F.min("tier").over(Window.partitionBy("user_id"))
+    served = own.withColumn("lowest", lowest).filter("tier = lowest").select(*_COLUMNS)
+    lists = [
+        _tier(recs.select(F.lit("").alias("user_id"), "video_id", "score"), method, len(tiers) + number)
+        .orderBy(F.col("score").desc(), "video_id").limit(n)
+        for number, (method, recs) in enumerate(shared)
+    ]
+    every_list = lists[0]
+    for part in lists[1:]:
+        every_list = every_list.unionByName(part)
+    # At most n rows of each list.
+    shown = every_list.groupBy("tier").agg(F.collect_list(F.struct("video_id", F.col("score").cast("double").alias("score"), "method")).alias("list"))
+    as_array = shown.agg(F.min_by("list", "tier").alias("list"))
     fallback = (
         users.select("user_id")
-        .join(lowest, "user_id", "left_anti")
+        .join(own.select("user_id"), "user_id", "left_anti")
         .withColumn("item", F.explode(as_array.scalar()))
-        .select("user_id", "item.video_id", "item.score")
+        .select("user_id", "item.video_id", "item.score", "item.method", F.lit(len(tiers)).alias("tier"))
     )
-    every = served.select(*_COLUMNS).unionByName(_tier(fallback, shared_method, len(tiers)))
     order = [F.col("score").desc_nulls_last(), F.col("video_id")]
-    return top_per_key(every, "user_id", order, n)
+    return top_per_key(served.unionByName(fallback), "user_id", order, n)
+
+
+def by_views(interactions: DataFrame) -> DataFrame:
+    """Videos by their number of views, for days on which nothing trends."""
+    views = F.count(F.when(F.col("event_type") == "view", 1)).cast("double")
+    return interactions.groupBy("video_id").agg(views.alias("score"))
+
+
+def by_engagement(catalog: DataFrame) -> DataFrame:
+    """Videos by the engagement score of the catalog; none counts as zero."""
+    return catalog.select("video_id", F.coalesce("engagement_score", F.lit(0.0)).alias("score"))
 
 
 def similar_in_category(new_items: DataFrame, catalog: DataFrame, n: int = 20) -> DataFrame:

@@ -106,7 +106,7 @@ def test_serving_takes_the_first_tier_with_rows(spark):
     stored = spark.createDataFrame([("a", "1", 1.0), ("gone", "1", 1.0)], rec)
     cached = spark.createDataFrame([("a", "2", 9.0), ("b", "3", 2.0)], rec)
     hot = spark.createDataFrame([("7", 5.0), ("8", 6.0)], "video_id string, score double")
-    rows = serving.first_tier(users, [("stored", stored), ("cached", cached)], hot, "trending").collect()
+    rows = serving.first_tier(users, [("stored", stored), ("cached", cached)], [("none", hot.filter("false")), ("trending", hot)]).collect()
     assert {(r.user_id, r.video_id, r.method, r.rank) for r in rows} == {
         ("a", "1", "stored", 1), ("b", "3", "cached", 1), ("new", "8", "trending", 1), ("new", "7", "trending", 2),
     }
