@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,29 +38,37 @@ def _parse(values: DataFrame, schema: T.StructType) -> DataFrame:
     return values.select(F.col("value"), F.from_json("value", schema).alias("data"))
 
 
+def _empty(schema: T.StructType) -> Column:
+    """Whether a value was no JSON object, or held none of the fields."""
+    return F.coalesce(*[F.col(f"data.{f}").cast("string") for f in schema.names]).isNull()
+
+
 def rejects(values: DataFrame, schema: T.StructType = schemas.VIEW_EVENT) -> DataFrame:
-    """Values that are not JSON objects, or hold none of the fields."""
-    data = _parse(values, schema)
-    empty = F.coalesce(*[F.col(f"data.{f}").cast("string") for f in schema.names])
-    return data.filter(empty.isNull()).select("value")
+    """Values that are not JSON objects, or hold none of the fields, as they arrived."""
+    return _parse(values, schema).filter(_empty(schema)).select("value")
+
+
+def accepted(values: DataFrame, schema: T.StructType) -> DataFrame:
+    """The other values, parsed: value and data."""
+    return _parse(values, schema).filter(~_empty(schema))
 
 
 def view_events(values: DataFrame) -> DataFrame:
-    """Nine nullable columns of the view-event topic."""
-    return _parse(values, schemas.VIEW_EVENT).select("data.*")
+    """Nine nullable columns of the view-event topic; see ``rejects`` for what is left out."""
+    return accepted(values, schemas.VIEW_EVENT).select("data.*")
 
 
 def interaction_events(values: DataFrame) -> DataFrame:
     """Six columns of the interaction topic; the length may come from the text."""
     names = [n for n in schemas.INTERACTION_EVENT.names if not n.startswith("comment_")]
-    return _parse(values, schemas.INTERACTION_EVENT).select(
+    return accepted(values, schemas.INTERACTION_EVENT).select(
         *[f"data.{n}" for n in names],
         comment_length(F.col("data.comment_length"), F.col("data.comment_text")).alias("comment_length"),
     )
 
 
 def item_events(values: DataFrame) -> DataFrame:
-    return _parse(values, schemas.ITEM_METADATA_EVENT).select("data.*")
+    return accepted(values, schemas.ITEM_METADATA_EVENT).select("data.*")
 
 
 def timed(events: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clipsense import fixed_values as V
@@ -52,25 +53,41 @@ def run_console(df: DataFrame, checkpoint: str, name: str, rows: int = 5, once:
     return writer.format("console").option("truncate", "false").option("numRows", rows).start()
 
 
-def batch_folder_writer(path: str):
+def batch_folder(run: str, batch_id: int) -> str:
+    """The folder of one batch of one run.
+
+    A run is the life of one checkpoint: replaying its batch replaces that
+    batch's folder, and a new checkpoint counts its batches under a name of its own.
+    """
+    return f"run={run}/batch_id={batch_id}"
+
+
+def batch_folder_writer(path: str, run: str):
     """Each batch replaces its own folder, so a replayed batch is not added twice."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/{batch_folder(run, batch_id)}")
 
     return write
 
 
+#: The run name of compacted data.
+COMPACTED = "compacted"
+
+
 class ProfileTables:
     """Interactions, counters and last videos per user, kept up to date by a stream.
 
     A batch only adds what it changes: its rows, its counts per user, its last
-    rows per user, each to a folder named after the batch. Readers merge the
-    folders; ``compact`` folds them into one when they grow many.
+    rows per user, each to a folder named after the run and the batch. Give each
+    checkpoint a run name of its own, or a reset checkpoint replaces old batches.
+    Readers merge the folders; ``compact`` folds them into one when they grow many.
     """
 
-    def __init__(self, spark: SparkSession, path: str, keep: int = 100):
-        self.spark, self.path, self.keep = spark, path, keep
+    def __init__(self, spark: SparkSession, path: str, run: str, keep: int = 100):
+        if run == COMPACTED:
+            raise ValueError(f"{COMPACTED} is the name of compacted data")
+        self.spark, self.path, self.run, self.keep = spark, path, run, keep
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
         # Cached for this batch's three writes only; lost blocks are recomputed.
@@ -82,12 +99,12 @@ class ProfileTables:
                 "recent": top_per_key(batch, "user_id", latest_first(), self.keep).drop("rank"),
             }
             for name, df in parts.items():
-                df.write.mode("overwrite").parquet(f"{self.path}/{name}/batch_id={batch_id}")
+                df.write.mode("overwrite").parquet(f"{self.path}/{name}/{batch_folder(self.run, batch_id)}")
         finally:
             batch.unpersist()
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}").drop("batch_id")
+        return self.spark.read.parquet(f"{self.path}/{name}").drop("run", "batch_id")
 
     def interactions(self) -> DataFrame:
         return self._read("interactions")
@@ -101,9 +118,10 @@ class ProfileTables:
         return top_per_key(self._read("recent"), "user_id", latest_first(), self.keep)
 
     def compact(self, path: str) -> None:
-        """Write the merged counters and lists as batch 0 of a new location."""
-        self.counters().write.mode("overwrite").parquet(f"{path}/counters/batch_id=0")
-        self.recent().drop("rank").write.mode("overwrite").parquet(f"{path}/recent/batch_id=0")
+        """Write the merged rows, counters and lists to a new location, as a run that no stream has."""
+        parts = {"interactions": self.interactions(), "counters": self.counters(), "recent": self.recent().drop("rank")}
+        for name, df in parts.items():
+            df.write.mode("overwrite").parquet(f"{path}/{name}/{batch_folder(COMPACTED, 0)}")
 
 
 def trending_windows(events: DataFrame, length: str = "24 hours", slide: str | None = None, watermark: str = "1 hour") -> DataFrame:
@@ -179,11 +197,30 @@ def catalog_latest(changes: DataFrame, time: str = "event_time") -> DataFrame:
     return changes.groupBy("video_id").agg(F.max_by(F.struct(*rest), F.col(time)).alias("row")).select("video_id", "row.*")
 
 
-def ingest(path: str):
-    """Batch handler: valid events by topic, the others to a reject table."""
+def session_totals(events: DataFrame, watermark: str = "1 hour", length: str = "24 hours") -> DataFrame:
+    """Events and watch time of each session id that clients send, by time window."""
+    return (
+        events.withWatermark("event_time", watermark)
+        .filter(F.col("session_id").isNotNull())
+        .groupBy(F.window("event_time", length).alias("window"), "session_id")
+        .agg(
+            F.count("*").alias("events"), F.coalesce(F.sum("watch_time"), F.lit(0.0)).alias("watch_time"),
+            F.min("event_time").alias("started_at"), F.max("event_time").alias("ended_at"),
+        )
+        .select(F.col("window.start").alias("window_start"), "session_id", "events", "watch_time", "started_at", "ended_at")
+    )
+
+
+def ingest(path: str, schema: T.StructType, run: str):
+    """Batch handler for raw values: valid events by topic, the others, as they arrived, to ``rejected``.
+
+    Every row carries the time of its arrival.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        marked = batch.withColumn("topic", F.when(has_required_fields(), topic(F.col("event_type"))).otherwise("rejected"))
-        marked.write.mode("overwrite").partitionBy("topic").parquet(f"{path}/batch_id={batch_id}")
+        parsed = batch.select("value", F.from_json("value", schema).alias("data")).select("value", "data.*")
+        name = F.when(has_required_fields(), topic(F.col("event_type"))).otherwise("rejected")
+        marked = parsed.withColumn("topic", name).withColumn("received_at", F.current_timestamp())
+        marked.write.mode("overwrite").partitionBy("topic").parquet(f"{path}/{batch_folder(run, batch_id)}")
 
     return write

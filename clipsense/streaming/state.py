@@ -14,8 +14,8 @@ from clipsense.functions.rules import micros
 
 KEEP = 100
 _EVENT = "struct<event_us:bigint,video_id:string,weight:double>"
-_STATE = f"events array<{_EVENT}>"
-_OUTPUT = "user_id string, event_us bigint, video_id string, weight double, pos int, n int"
+_STATE = f"events array<{_EVENT}>, version bigint"
+_OUTPUT = "user_id string, event_us bigint, video_id string, weight double, pos int, n int, version bigint"
 _FIELDS = ["event_us", "video_id", "weight"]
 
 
@@ -32,7 +32,7 @@ def _after_last_pause(events: pd.DataFrame, ttl_us: int) -> pd.DataFrame:
 
 
 def recent_videos_state(events: DataFrame, ttl: int = V.RECENT_TTL, watermark: str = "1 hour") -> DataFrame:
-    """Emit a user's live list whenever it changes.
+    """Emit a user's live list, with a rising version, whenever it changes.
 
     The state is the last events by time. Which of them are live depends on
     these alone, so the order in which rows and batches arrive does not matter.
@@ -43,18 +43,21 @@ def recent_videos_state(events: DataFrame, ttl: int = V.RECENT_TTL, watermark: s
         if state.hasTimedOut:
             state.remove()
             return
-        held = pd.DataFrame([tuple(e) for e in state.get[0]] if state.exists else [], columns=_FIELDS)
+        before, version = state.get if state.exists else ([], 0)
+        held = pd.DataFrame([tuple(e) for e in before], columns=_FIELDS)
         for chunk in chunks:
             held = _latest(pd.concat([held, chunk[_FIELDS]]) if len(held) else chunk[_FIELDS])
         if held.empty:
             return
-        state.update(([tuple(e) for e in held.itertuples(index=False)],))
+        # Rises in a user's life, and from one life to the next, whose events are later by more than the timer.
+        version = max(version + 1, int(held["event_us"].iloc[0]))
+        state.update(([tuple(e) for e in held.itertuples(index=False)], version))
         expires_ms = int(held["event_us"].iloc[0] + ttl_us) // 1000
         if expires_ms > state.getCurrentWatermarkMs():
             state.setTimeoutTimestamp(expires_ms)
         live = _after_last_pause(held.reset_index(drop=True), ttl_us)
-        yield live.assign(user_id=key[0], pos=range(1, len(live) + 1), n=len(live))[
-            ["user_id", *_FIELDS, "pos", "n"]
+        yield live.assign(user_id=key[0], pos=range(1, len(live) + 1), n=len(live), version=version)[
+            ["user_id", *_FIELDS, "pos", "n", "version"]
         ]
 
     rows = events.withWatermark("event_time", watermark).select(
@@ -63,3 +66,9 @@ def recent_videos_state(events: DataFrame, ttl: int = V.RECENT_TTL, watermark: s
     return rows.groupBy("user_id").applyInPandasWithState(
         update, _OUTPUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
+
+
+def latest_lists(emitted: DataFrame) -> DataFrame:
+    """The last list of each user among all that a stream has written."""
+    last = emitted.groupBy("user_id").agg(F.max("version").alias("version"))
+    return emitted.join(last, ["user_id", "version"])

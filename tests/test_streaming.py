@@ -1,11 +1,12 @@
 """Replays, late rows, idle timers, and state across batches."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clipsense.functions.weights import event_weight
 from clipsense.sources import events
 from clipsense.streaming import jobs
-from clipsense.streaming.state import recent_videos_state
+from clipsense.streaming.state import latest_lists, recent_videos_state
 
 SHAPE = "event_id bigint, event_type string, user_id string, video_id string, timestamp string, watch_time double, completion_rate double"
 
@@ -37,7 +38,7 @@ def finish(query):
 
 
 def test_replayed_batch_is_counted_once(spark, tmp_path):
-    state = jobs.ProfileTables(spark, str(tmp_path / "state"), keep=2)
+    state = jobs.ProfileTables(spark, str(tmp_path / "state"), "a", keep=2)
     rows = [line(i, "u", str(i), f"2024-01-01T00:0{i}:00") for i in range(4)]
     df = stream(spark, tmp_path / "in", [rows[:2], rows[2:]])
     finish(jobs.run_batches(df, state.write_batch, str(tmp_path / "c"), "replay", once=True))
@@ -46,13 +47,18 @@ def test_replayed_batch_is_counted_once(spark, tmp_path):
     assert [tuple(r)[:2] for r in state.counters().collect()] == [("u", 4)]
     assert [r.video_id for r in state.recent().orderBy("rank").collect()] == ["3", "2"]
     state.compact(str(tmp_path / "packed"))
-    packed = jobs.ProfileTables(spark, str(tmp_path / "packed"), keep=2)
+    packed = jobs.ProfileTables(spark, str(tmp_path / "packed"), "b", keep=2)
     assert [tuple(r)[:2] for r in packed.counters().collect()] == [("u", 4)]
     assert [r.video_id for r in packed.recent().orderBy("rank").collect()] == ["3", "2"]
+    assert packed.interactions().count() == 4
+    # A stream that starts on compacted data with a new checkpoint adds to it, batch 0 included.
+    more = stream(spark, tmp_path / "more", [[line(9, "u", "9", "2024-01-02T00:00:00")]])
+    finish(jobs.run_batches(more, packed.write_batch, str(tmp_path / "c2"), "restart", once=True))
+    assert [tuple(r)[:2] for r in packed.counters().collect()] == [("u", 5)] and packed.interactions().count() == 5
 
 
 def test_rows_keep_type_and_watch_columns(spark, tmp_path):
-    state = jobs.ProfileTables(spark, str(tmp_path / "state"))
+    state = jobs.ProfileTables(spark, str(tmp_path / "state"), "a")
     df = stream(spark, tmp_path / "in", [[line(1, "u", "1", "2024-01-01T00:00:00")]])
     finish(jobs.run_batches(df, state.write_batch, str(tmp_path / "c"), "columns", once=True))
     row = state.interactions().first()
@@ -123,9 +129,28 @@ def test_idle_state_times_out(spark, tmp_path):
     assert lists[0] == ("u", ["1"]) and ("u", ["2"]) in lists and ("u", ["2", "1"]) not in lists
 
 
-def test_one_name_per_query_and_rejects(spark, tmp_path):
-    rows = [line(1, "u", "1", "2024-01-01T00:00:00"), '{"event_id":2,"event_type":"like","user_id":"u"}']
-    df = stream(spark, tmp_path / "in", [rows])
-    finish(jobs.run_batches(df, jobs.ingest(str(tmp_path / "out")), str(tmp_path / "c"), "ingest_test", once=True))
-    found = {(r.topic, r.event_id) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    assert found == {("user-views", 1), ("rejected", 2)}
+def test_ingest_keeps_rejects_as_they_arrived(spark, tmp_path):
+    rows = [line(1, "u", "1", "2024-01-01T00:00:00"), '{"event_id":2,"event_type":"like","user_id":"u"}', "{broken"]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "0.txt").write_text("\n".join(rows), encoding="utf-8")
+    values = events.file_topic(spark, str(folder))
+    handler = jobs.ingest(str(tmp_path / "out"), T.StructType.fromDDL(SHAPE), "a")
+    finish(jobs.run_batches(values, handler, str(tmp_path / "c"), "ingest_test", once=True))
+    found = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert {(r.topic, r.event_id, r.value) for r in found} == {("user-views", 1, rows[0]), ("rejected", 2, rows[1]), ("rejected", None, rows[2])}
+    assert all(r.received_at for r in found)
+
+
+def test_last_list_of_each_user_can_be_read_back(spark, tmp_path):
+    batches = [
+        [line(1, "u", "1", "2024-01-01T00:00:00"), line(5, "v", "5", "2024-01-01T00:00:00")],
+        [line(2, "u", "2", "2024-01-01T01:00:00")],
+        [line(3, "other", "9", "2024-01-10T00:00:00")],
+        [line(4, "other", "9", "2024-01-10T00:00:01")],
+        [line(6, "u", "6", "2024-01-10T00:00:02")],
+    ]
+    df = recent_videos_state(stream(spark, tmp_path / "in", batches))
+    finish(jobs.run(df, str(tmp_path / "out"), str(tmp_path / "c"), "lists", once=True))
+    last = latest_lists(spark.read.schema(df.schema).parquet(str(tmp_path / "out"))).orderBy("user_id", "pos").collect()
+    assert [(r.user_id, r.video_id) for r in last if r.user_id != "other"] == [("u", "6"), ("v", "5")]
