@@ -196,6 +196,30 @@ def src_flag_rows(spark, sf):
     return normalise.flag_events(files.flag_rows_csv(spark, path))
 
 
+@query("flag_attributes", f"""WITH {I.IX}, {I.CAT}, f AS (SELECT user_id, video_id, watch_time FROM ix WHERE watch_time > 3)
+SELECT f.user_id, f.video_id, cat.category AS tag_name, c_mktsegment AS fre_community_type,
+  {r('CASE WHEN duration > 0 THEN least(1.0::DOUBLE, watch_time / duration) END', 'completion_rate')}
+FROM f LEFT JOIN cat USING (video_id) LEFT JOIN customer ON f.user_id = CAST(c_custkey AS VARCHAR)""")
+def flag_attributes(spark, sf):
+    """Effective views with the attribute tables of the exposure format: parts as items, customers as users."""
+    folder = scratch_path(spark, "attributes")
+    none = F.lit(None).cast("string")
+    I.catalog(spark, sf).select(
+        F.col("video_id").alias("pid"), none.alias("category_level"), none.alias("category_id"), none.alias("parent_id"),
+        none.alias("root_id"), "duration", F.col("creator_id").alias("author_id"), none.alias("author_fans_count"),
+        F.col("category").alias("tag_name"), "title",
+    ).write.option("header", True).csv(f"{folder}/items")
+    I.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("user_id"), none.alias("gender"), none.alias("age"), none.alias("mod_price"),
+        none.alias("fre_city"), F.col("c_mktsegment").alias("fre_community_type"), none.alias("fre_city_level"),
+    ).write.option("header", True).csv(f"{folder}/users")
+    joined = normalise.with_attributes(
+        src_flag_rows(spark, sf).filter("watch_time IS NOT NULL"),
+        files.item_attributes_csv(spark, f"{folder}/items"), files.user_attributes_csv(spark, f"{folder}/users"),
+    )
+    return joined.select("user_id", "video_id", "tag_name", "fre_community_type", "completion_rate")
+
+
 # ------------------------------------------------------------------ sinks
 
 

@@ -8,6 +8,7 @@ from checks import inputs as I
 from checks.column_queries import PROFILE, profile_sql, visit_profiles
 from checks.inputs import r, t
 from checks.registry import ORACLES, query
+from clipsense import fixed_values as V
 from clipsense.ml.ids import id_index
 from clipsense.operators import catalog as cat
 from clipsense.operators import items, loading, neighbours, profiles
@@ -294,6 +295,12 @@ def video_counters_24h(spark, sf):
     return video_counters(I.interactions(spark, sf), I.as_of(spark, sf))
 
 
+@query("video_counters_7d", _counters(7 * 86_400))
+def video_counters_7d(spark, sf):
+    """With the timer of the ingest service."""
+    return video_counters(I.interactions(spark, sf), I.as_of(spark, sf), ttl=V.API_COUNTER_TTL)
+
+
 def _sparsity(source: str) -> str:
     return f"""c AS (SELECT count(DISTINCT user_id) AS users, count(DISTINCT video_id) AS videos, count(*) AS interactions,
   count(DISTINCT user_id || '|' || video_id) AS pairs FROM {source})
@@ -311,6 +318,17 @@ def item_user_pivot(spark, sf):
     return items.item_user_weights(I.purchases(spark, sf))
 
 
+_PIVOT_USERS = ("1", "2", "3")
+
+
+@query("item_user_pivot_dense", f"WITH {I.IX} SELECT video_id, " + ", ".join(
+    r(f"coalesce(sum(weight) FILTER (user_id = '{u}'), 0)", f"user_{u}") for u in _PIVOT_USERS) + " FROM ix GROUP BY 1")
+def item_user_pivot_dense(spark, sf):
+    """A column for each named user, a row for each video."""
+    wide = items.item_user_pivot(I.interactions(spark, sf), list(_PIVOT_USERS))
+    return wide.select("video_id", *[F.col(f"`{u}`").alias(f"user_{u}") for u in _PIVOT_USERS])
+
+
 # ---------------------------------------------------- top-k, set operations
 
 
@@ -329,6 +347,14 @@ def popular_by_category(spark, sf):
     return cat.popular_by_category(I.counted_catalog(spark, sf)).select("category", "video_id", "engagement_score", "rank")
 
 
+@query("popular_in_category", f"""WITH {I.CCAT}, k AS (SELECT * FROM ccat WHERE category = (SELECT min(category) FROM ccat))
+SELECT video_id, {r('engagement_score', 'engagement_score')} FROM k ORDER BY k.engagement_score DESC NULLS LAST, video_id LIMIT 20""")
+def popular_in_category(spark, sf):
+    catalog = I.counted_catalog(spark, sf)
+    first = catalog.agg(F.min("category")).first()[0]
+    return cat.popular_by_category(catalog, category=first).select("video_id", "engagement_score")
+
+
 @query("popular_fallback", f"WITH {I.CCAT} SELECT video_id, views FROM ccat ORDER BY views DESC NULLS LAST, video_id LIMIT 20")
 def popular_fallback(spark, sf):
     return cat.popular_by_views(I.counted_catalog(spark, sf)).select("video_id", "views")

@@ -1,9 +1,8 @@
 """Every number, label and name that results must agree on."""
 
-# Event and device names.
+# Event names.
 EVENT_TYPES = ("view", "like", "share", "comment", "skip")
 PROFILE_EVENT_TYPES = ("view", "like", "comment", "share", "collect")
-DEVICE_TYPES = ("mobile", "desktop", "tablet")
 REQUIRED_EVENT_FIELDS = ("event_type", "user_id", "video_id")
 
 # Streaming weight scale (completion bounds are strict).
@@ -95,6 +94,8 @@ METHOD_WEIGHTS_UNKNOWN = {"likes": 0.33, "comments": 0.33, "watch_patterns": 0.3
 # Item similarity and ALS.
 COSINE_THRESHOLD = 0.3
 ALS_SETTINGS = {"rank": 64, "maxIter": 15, "regParam": 0.01}
+ALS_GRID_START = {"maxIter": 10, "regParam": 0.1}
+ALS_METHOD = "distributed_als"
 ALS_GRID = {"rank": [10, 20, 30], "regParam": [0.01, 0.1, 0.5], "alpha": [1.0, 10.0, 40.0]}
 SPLIT_SHARE, SEED = 0.8, 42
 
@@ -105,3 +106,6 @@ API_COUNTER_TTL = 7 * 86_400
 TRENDING_TTL = 3_600
 PROFILE_TTL = 3_600
 SESSION_GAP = 1_800
+
+# What a snapshot of a hot profile holds.
+HOT_PROFILE_FIELDS = ("user_score", "user_type", "engagement_rate", "total_views", "total_likes")

@@ -110,7 +110,7 @@ def train(rows: DataFrame, label: str = "weight", **settings) -> Recommender:
 def cross_validate(rows: DataFrame, label: str = "rating", grid: dict | None = None, folds: int = 3, parallelism: int = 4, **settings) -> tuple[CrossValidatorModel, Recommender]:
     """Best model of a parameter grid by RMSE; the default grid has 27 points."""
     ratings, users, videos = prepare(rows, label)
-    als = estimator(label, **{"maxIter": 10, "regParam": 0.1, **settings})
+    als = estimator(label, **{**V.ALS_GRID_START, **settings})
     builder = ParamGridBuilder()
     for name, values in (grid or V.ALS_GRID).items():
         builder = builder.addGrid(als.getParam(name), values)
@@ -124,7 +124,7 @@ def cross_validate(rows: DataFrame, label: str = "rating", grid: dict | None = N
 
 def for_users_or_trending(recommender: Recommender, users: DataFrame, trending: DataFrame, n: int = 20) -> DataFrame:
     """Model rows for known users, the trending list for the others."""
-    return first_tier(users, [("distributed_als", recommender.for_users(users, n))], [("trending", trending)], n)
+    return first_tier(users, [(V.ALS_METHOD, recommender.for_users(users, n))], [("trending", trending)], n)
 
 
 def model_metadata(recommender: Recommender, model_type: str, trained_at, version: str) -> DataFrame:

@@ -93,7 +93,7 @@ def run_summary(interactions: DataFrame, quality: DataFrame) -> DataFrame:
         F.count("*").alias("videos_analyzed"),
     )
     sizes = interactions.agg(F.count_distinct("user_id").alias("users"), F.count("*").alias("interactions"))
-    return best.select("*", *[sizes.select(c).scalar().alias(c) for c in sizes.columns])
+    return best.withColumn("sizes", sizes.select(F.struct("*")).scalar()).select(*best.columns, "sizes.*")
 
 
 def sparsity(interactions: DataFrame) -> DataFrame:

@@ -7,10 +7,10 @@ holders, so it is only done for features with at most ``limit`` holders; that
 bounds the join at ``limit`` output rows per cell whatever the skew.
 
 The few features beyond the limit are multiplied block by block: holders are
-hashed into blocks, each feature's cells become one array per block, and an
-equi-join on the feature brings every pair of blocks that shares a feature
-together. A task adds up a small matrix for its pair of blocks and returns
-only the cells asked for, so the pairs of a hot feature never become rows.
+hashed into blocks, each feature's cells become one array per block, and each
+block is sent to all blocks of the other side. A task adds up a small matrix
+for its pair of blocks and returns only the cells asked for, so the pairs of a
+hot feature never become rows, and no shuffle key is the feature itself.
 """
 
 from __future__ import annotations
@@ -114,14 +114,17 @@ def _chunks(rows: DataFrame, blocks: int, side: str) -> DataFrame:
     )
 
 
-def _matrix(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _matrix(left: pd.DataFrame, right: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row ids, column ids (both ascending) and products of a pair of blocks."""
-    rows = np.unique(np.concatenate(pdf["left_ids"].to_list()))
-    columns = np.unique(np.concatenate(pdf["right_ids"].to_list()))
+    rows = np.unique(np.concatenate(left["left_ids"].to_list()))
+    columns = np.unique(np.concatenate(right["right_ids"].to_list()))
     products = np.zeros((len(rows), len(columns)))
-    for chunk in pdf.itertuples(index=False):
-        at = np.ix_(np.searchsorted(rows, chunk.left_ids), np.searchsorted(columns, chunk.right_ids))
-        products[at] += np.outer(chunk.left_values, chunk.right_values)
+    others = {chunk.feature: chunk for chunk in right.itertuples(index=False)}
+    for chunk in left.itertuples(index=False):
+        other = others.get(chunk.feature)
+        if other is not None:
+            at = np.ix_(np.searchsorted(rows, chunk.left_ids), np.searchsorted(columns, other.right_ids))
+            products[at] += np.outer(chunk.left_values, other.right_values)
     return rows, columns, products
 
 
@@ -129,21 +132,22 @@ def block_products(left: DataFrame, right: DataFrame, pick, block_entities: int
     """Products of (id, vector) rows, reduced by ``pick`` inside each block pair.
 
     ``pick(products, rows, columns)`` returns the row and column positions to keep.
+    A group holds the chunks of one block of each side, whatever the features.
     """
     left_blocks = -(-left.count() // block_entities) or 1
     right_blocks = -(-right.count() // block_entities) or 1
 
-    def multiply(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows, columns, products = _matrix(pdf)
+    def multiply(left_pdf: pd.DataFrame, right_pdf: pd.DataFrame) -> pd.DataFrame:
+        if left_pdf.empty or right_pdf.empty:
+            return pd.DataFrame({"left": [], "right": [], "product": []})
+        rows, columns, products = _matrix(left_pdf, right_pdf)
         i, j = pick(products, rows, columns)
         return pd.DataFrame({"left": rows[i], "right": columns[j], "product": products[i, j]})
 
-    return (
-        _chunks(left, left_blocks, "left")
-        .join(_chunks(right, right_blocks, "right"), "feature")
-        .groupBy("left_block", "right_block")
-        .applyInPandas(multiply, "left string, right string, product double")
-    )
+    pair = ["left_block", "right_block"]
+    sent = _chunks(left, left_blocks, "left").withColumn("right_block", F.explode(F.sequence(F.lit(0), F.lit(right_blocks - 1)).cast("array<bigint>")))
+    met = _chunks(right, right_blocks, "right").withColumn("left_block", F.explode(F.sequence(F.lit(0), F.lit(left_blocks - 1)).cast("array<bigint>")))
+    return sent.groupBy(*pair).cogroup(met.groupBy(*pair)).applyInPandas(multiply, "left string, right string, product double")
 
 
 def best_per_row(k: int):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipsense import fixed_values as V
@@ -151,15 +151,17 @@ def profile_view(profiles: DataFrame, ranked_tags: DataFrame, recent: DataFrame)
 
 def insights(profiles: DataFrame) -> DataFrame:
     """One row per user type, each with the overall means beside it."""
-    total = profiles.agg(
-        F.avg("user_score").alias("avg_user_score"),
-        F.avg("engagement_rate").alias("avg_engagement_rate"),
-        F.avg("total_views").alias("avg_views_per_user"),
-        F.count("user_id").alias("total_users"),
+    means = {"avg_user_score": "user_score", "avg_engagement_rate": "engagement_rate", "avg_views_per_user": "total_views"}
+    kinds = profiles.groupBy("user_type").agg(
+        F.count("*").alias("users"), F.count("user_id").alias("known"),
+        *[F.sum(c).alias(f"{name}_sum") for name, c in means.items()], *[F.count(c).alias(f"{name}_n") for name, c in means.items()],
     )
-    kinds = profiles.groupBy("user_type").agg(F.count("*").alias("users"))
+    # A handful of rows, one for each type.
+    every = Window.partitionBy()
     return kinds.select(
-        "user_type", "users", *[total.select(c).scalar().alias(c) for c in total.columns]
+        "user_type", "users",
+        *[F.try_divide(F.sum(f"{name}_sum").over(every), F.sum(f"{name}_n").over(every)).alias(name) for name in means],
+        F.sum("known").over(every).alias("total_users"),
     )
 
 

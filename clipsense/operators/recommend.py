@@ -15,6 +15,7 @@ from clipsense.operators.neighbours import (
 )
 from clipsense.operators.pairs import HOLDER_LIMIT, split_by_holders
 from clipsense.operators.ranking import top_per_key
+from clipsense.session import staged
 
 
 def _best(scored: DataFrame, n: int) -> DataFrame:
@@ -89,6 +90,9 @@ def hybrid_scores(weighted: DataFrame) -> DataFrame:
 
 
 def hybrid(interactions: DataFrame, profiles: DataFrame, quality: DataFrame, n: int = 20, limit: int = HOLDER_LIMIT) -> DataFrame:
+    # Three recommenders read both several times each.
+    interactions = staged(interactions.select("user_id", "video_id", "event_type", "completion_rate"))
+    quality = staged(quality.select("video_id", "quality_score"))
     lists = union_methods(
         by_likes(interactions, quality, n, limit=limit),
         by_comments(interactions, quality, n, limit=limit),

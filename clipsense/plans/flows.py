@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clipsense import fixed_values as V
 from clipsense.ml import als
 from clipsense.ml.clusters import segments
 from clipsense.operators import catalog as cat
@@ -51,7 +52,7 @@ def recommend_all(spark: SparkSession, interactions: DataFrame, catalog: DataFra
     stored_profiles = files.collection(spark, out, "user_profiles")
     model = als.train(interactions.select("user_id", "video_id", "weight"), **als_settings)
     flat = model.for_all(n).select(
-        "user_id", "video_id", "score", F.array(F.lit("distributed_als")).alias("methods"),
+        "user_id", "video_id", "score", F.array(F.lit(V.ALS_METHOD)).alias("methods"),
         generated_at.alias("generated_at"), F.lit("als").alias("algorithm"),
     )
     tables.append(flat, out, "recommendations", partition_by=["algorithm"])

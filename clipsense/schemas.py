@@ -43,6 +43,15 @@ FLAG_ROWS = _struct(
     effective_view=_B, hate=_B,
 )
 
+ITEM_ATTRIBUTES = _struct(
+    pid=_S, category_level=_I, category_id=_S, parent_id=_S, root_id=_S, duration=_D,
+    author_id=_S, author_fans_count=_L, tag_name=_S, title=_S,
+)
+
+USER_ATTRIBUTES = _struct(
+    user_id=_S, gender=_S, age=_I, mod_price=_D, fre_city=_S, fre_community_type=_S, fre_city_level=_S,
+)
+
 INTERACTION = _struct(
     user_id=_S, video_id=_S, event_type=_S, event_time=T.TimestampType(), weight=_D,
     watch_time=_D, total_duration=_D, completion_rate=_D,

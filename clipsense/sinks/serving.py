@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from clipsense import fixed_values as V
 from clipsense.functions.events import topic
 
-HOT_PROFILE_FIELDS = ("user_score", "user_type", "engagement_rate", "total_views", "total_likes")
-
 
 def _expires(as_of: Column, ttl: int) -> Column:
     return as_of + F.make_dt_interval(secs=F.lit(ttl).cast("decimal(18,6)"))
@@ -18,12 +16,12 @@ def _expires(as_of: Column, ttl: int) -> Column:
 def hot_profiles(profiles: DataFrame, as_of: Column, n: int = 1000) -> DataFrame:
     """Key, JSON value and expiry of the n highest-scored users."""
     return (
-        profiles.select("user_id", *HOT_PROFILE_FIELDS)
+        profiles.select("user_id", *V.HOT_PROFILE_FIELDS)
         .orderBy(F.col("user_score").desc(), "user_id")
         .limit(n)
         .select(
             F.concat(F.lit("profile:"), "user_id").alias("key"),
-            F.to_json(F.struct(*HOT_PROFILE_FIELDS)).alias("value"),
+            F.to_json(F.struct(*V.HOT_PROFILE_FIELDS)).alias("value"),
             _expires(as_of, V.PROFILE_TTL).alias("expires_at"),
         )
     )

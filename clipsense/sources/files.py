@@ -60,6 +60,14 @@ def sequence_tsv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def item_attributes_csv(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.ITEM_ATTRIBUTES).option("header", True).csv(path)
+
+
+def user_attributes_csv(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.USER_ATTRIBUTES).option("header", True).csv(path)
+
+
 def flag_rows_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.FLAG_ROWS).option("header", True).csv(path)
 

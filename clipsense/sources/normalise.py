@@ -93,3 +93,13 @@ def flag_events(rows: DataFrame) -> DataFrame:
             F.when(F.col("flag") == "effective_view", F.col("watch_time")).alias("watch_time"),
         )
     )
+
+
+def with_attributes(flagged: DataFrame, items: DataFrame, users: DataFrame) -> DataFrame:
+    """Flag events with the attributes of their items and users, one row for each id.
+
+    The duration of the item completes a watch time to a completion rate.
+    """
+    own_items = items.withColumnRenamed("pid", "video_id").dropDuplicates(["video_id"])
+    joined = flagged.join(own_items, "video_id", "left").join(users.dropDuplicates(["user_id"]), "user_id", "left")
+    return joined.withColumn("completion_rate", completion(F.col("watch_time"), F.col("duration")))
