@@ -83,4 +83,47 @@ QUERIES: dict[str, Query] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
-ORACLES: dict[str, str] = {}
+_WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
+
+
+def _op1_sql(window: int = substring_dedup.WINDOW) -> str:
+    """Brute force: every window of every document by the hash of its words."""
+    return f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+k AS (SELECT doc_id, i, w[i] AS word, CASE WHEN i + {window} - 1 <= len(w) THEN md5(array_to_string(w[i:i + {window} - 1], ' ')) END AS k FROM p),
+f AS (SELECT k, min(doc_id) AS first FROM k WHERE k IS NOT NULL GROUP BY 1),
+c AS (SELECT k.doc_id, i, word, coalesce(bool_or(first < k.doc_id) OVER (PARTITION BY k.doc_id ORDER BY i ROWS BETWEEN {window} - 1 PRECEDING AND CURRENT ROW), false) AS gone
+  FROM k LEFT JOIN f ON k.k = f.k),
+r AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM c GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN r USING (doc_id)"""
+
+
+def _op5_sql() -> str:
+    rules = quality_rules
+    phrases = ", ".join(f"'{p}'" for p in rules.BOILERPLATE)
+    separators = ", ".join(f"'{x}'" for x in sorted(rules.SEPARATORS))
+    marks = f"[{rules.SYMBOLS}]"
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, {_WORDS} AS w FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
+k AS (SELECT doc_id, i, CASE WHEN i + 4 <= len(w) THEN array_to_string(w[i:i + 4], ' ') END AS k FROM p),
+t AS (SELECT doc_id, i, k IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, k) > 1 AS twice FROM k),
+v AS (SELECT doc_id, bool_or(twice) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS covered FROM t),
+rp AS (SELECT doc_id, count(*) FILTER (covered) AS n_repeat_words FROM v GROUP BY 1),
+l0 AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d),
+l1 AS (SELECT *, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') AS w FROM l0),
+l2 AS (SELECT *, len(w) AS n, len(list_filter(w, lambda x: x IN ({separators}))) AS sep, len(regexp_extract_all(line, '{marks}')) + len(regexp_extract_all(line, '!')) AS marks FROM l1),
+l3 AS (SELECT *, n > 0 AND ((n >= 4 AND sep > {rules.SEPARATORS_A_WORD}::DOUBLE * n) OR (marks > {rules.MARKS_A_WORD}::DOUBLE * n AND marks > 3)
+  OR (n >= {rules.LONG_LINE} AND NOT regexp_matches(line, '{rules.SENTENCE_MARK.pattern}'))
+  OR len(list_filter([{phrases}], lambda x: contains(lower(line), x))) > 0) AS failed FROM l2),
+l4 AS (SELECT doc_id, count(*) FILTER (n > 0) AS n_lines, count(*) FILTER (n > 0) - count(DISTINCT line) FILTER (n > 0) AS n_dup_lines, count(*) FILTER (failed) AS n_failed_lines,
+  coalesce(sum(n) FILTER (failed), 0) AS lost_words, coalesce(sum(list_sum(list_transform(w, lambda x: len(x)))) FILTER (n > 0 AND NOT failed), 0) AS kept_chars,
+  coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT failed), '') AS cleaned FROM l3 GROUP BY 1),
+b AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: len(x))), 0) AS BIGINT) AS word_chars,
+  CAST(len(regexp_extract_all(text, '{marks}')) AS BIGINT) AS n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, n_lines, n_failed_lines, lost_words, kept_chars, cleaned
+  FROM d JOIN l4 USING (doc_id) LEFT JOIN rp USING (doc_id)),
+s AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, CASE WHEN word_chars > 0 THEN kept_chars / CAST(word_chars AS DOUBLE) ELSE 0.0::DOUBLE END AS kept_share FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND (kept_share >= {rules.LEAST_KEPT}::DOUBLE OR lost_words <= {rules.FEW_WORDS}) AS kept, n_lines, n_failed_lines, kept_share, sha256(cleaned) AS cleaned_sha256 FROM s"""
+
+
+ORACLES: dict[str, str] = {"op1_substring_dedup": _op1_sql(), "op5_quality_rules": _op5_sql()}

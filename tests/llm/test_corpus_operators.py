@@ -16,6 +16,7 @@ import pytest
 import xxhash
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
+from checks.run import connect
 from clipsense.llm import (
     components,
     kd_shards,
@@ -622,3 +623,13 @@ def test_registered_queries_are_the_dealt_ones():
     names = sorted(queries.QUERIES, key=lambda n: int(re.match(r"op(\d+)_", n)[1]))
     assert [int(re.match(r"op(\d+)_", n)[1]) for n in names] == list(range(1, 11))
     assert json.dumps(sorted(queries.ORACLES)) and set(queries.ORACLES) <= set(queries.QUERIES)
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_query_agrees_with_sql(spark, name):
+    cursor = connect(SF_DIR).execute(queries.ORACLES[name])
+    names = [c[0] for c in cursor.description]
+    expected = sorted(tuple(v for _, v in sorted(zip(names, row))) for row in cursor.fetchall())
+    df = queries.QUERIES[name](spark, SF_DIR)
+    assert sorted(df.columns) == sorted(names)
+    assert sorted(tuple(row[c] for c in sorted(names)) for row in df.collect()) == expected
