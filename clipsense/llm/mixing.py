@@ -165,7 +165,8 @@ def mix(
     ).select("n", "index", "doc_id", "text_hash", "from_word", "size")
     begin = F.greatest(F.col("index") * block, F.col("from_word"))
     end = F.least((F.col("index") + 1) * block, F.col("from_word") + F.col("size"))
-    takings = slots.select("n", "index", "shard", "slot", "pass").join(pieces, ["n", "index"]).select(
+    # Spark cannot see how many slots a count stands for; neither side may be broadcast.
+    takings = slots.select("n", "index", "shard", "slot", "pass").join(pieces.hint("merge"), ["n", "index"]).select(
         "n", "shard", "slot", "pass", "doc_id", "text_hash", "from_word",
         (begin - F.col("from_word")).alias("first"), (end - begin).alias("taken"),
     )
