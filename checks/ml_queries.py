@@ -105,6 +105,13 @@ def als_for_all(spark, sf):
     return _listed(als.train(_rows(spark, sf)).for_all(20), 20)
 
 
+@query("als_purchases", f"WITH {I.BUY} SELECT count(DISTINCT user_id) * least(20, count(DISTINCT video_id)) AS rows, count(DISTINCT user_id) AS listed_users FROM buy")
+def als_purchases(spark, sf):
+    """The sparse set with the library's settings: rank 64, 15 iterations."""
+    recs = als.train(I.purchases(spark, sf).select("user_id", "video_id", "weight")).for_all(20)
+    return recs.agg(F.count("*").alias("rows"), F.count_distinct("user_id").alias("listed_users"))
+
+
 @query("sink_model", f"WITH {I.IX} SELECT user_id, least(5, (SELECT count(DISTINCT video_id) FROM ix)) AS rows, true AS same FROM (SELECT DISTINCT user_id FROM ix)")
 def sink_model(spark, sf):
     """Save, load, and recommend with what was loaded: the lists of the model that was saved."""

@@ -1,7 +1,9 @@
-"""Session settings and the shared scratch folder."""
+"""Session settings, the package on the executors, and the shared scratch folder."""
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -18,20 +20,48 @@ SETTINGS = {
 }
 
 
-def build_session(app: str = "clipsense", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(app: str = "clipsense", master: str | None = None, scratch: str | None = None, **conf: str) -> SparkSession:
+    """A session with the library's settings and the package on its executors.
+
+    ``scratch`` is the folder for intermediate tables, which all executors must
+    reach; without it ``spark.checkpoint.dir`` has to name one.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    if scratch:
+        conf = {"spark.checkpoint.dir": scratch, **conf}
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+#: Applications that have the package, and the folder its archive is served from while the driver lives.
+_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the executors, which otherwise need it installed.
+
+    Tasks name functions of the package, they do not carry their code.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    folder = _SHIPPED[application] = tempfile.TemporaryDirectory(prefix="clipsense-package-")
+    package = os.path.dirname(os.path.abspath(__file__))
+    spark.sparkContext.addPyFile(
+        shutil.make_archive(os.path.join(folder.name, "clipsense"), "zip", os.path.dirname(package), os.path.basename(package))
+    )
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    A cluster names it in ``spark.checkpoint.dir``. Only a local master may
-    fall back on a temporary folder of the machine.
+    A cluster names it in ``spark.checkpoint.dir``. Only a local master, as in
+    tests, may fall back on a temporary folder of the machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -43,9 +73,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def run_folder(spark: SparkSession) -> str:
+    """All intermediate tables of one application lie below this folder."""
+    return f"{shared_folder(spark)}/clipsense/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/clipsense/{name}-{uuid.uuid4().hex}"
+    """A new, unused path below the application's folder."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clean_up(spark: SparkSession) -> bool:
+    """Delete the application's intermediate tables, once no result reads them any more."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def staged(df: DataFrame) -> DataFrame:
