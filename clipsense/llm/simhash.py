@@ -151,13 +151,14 @@ def link_fingerprints(nodes: DataFrame, group: int = GROUP) -> DataFrame:
             # Two paths may lead to one mask.
             indexed = staged(indexed.groupBy("key", "fp").agg(F.min("path").alias("path")))
         counts = staged(indexed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
-        met = staged(indexed.join(counts, "key"))
         last = depth == 2
-        found = _links_in_groups(met if last else met.filter(F.col("n") <= group))
+        # The keys that several share grow with the documents: merged at every size, never broadcast.
+        few, many = (counts.filter(c).hint("merge") for c in (F.lit(last) | (F.col("n") <= group), F.col("n") > group))
+        found = _links_in_groups(indexed.join(few, "key", "left_semi"))
         links = found if links is None else links.union(found)
-        if last or not counts.filter(F.col("n") > group).take(1):
+        if last or not many.take(1):
             break
-        level = met.filter(F.col("n") > group).select("fp", "path")
+        level = staged(indexed.join(many, "key", "left_semi").select("fp", "path"))
     return links.distinct()
 
 
