@@ -8,6 +8,13 @@ always have equal sets. The fingerprint writes the set out, eight hexadecimal
 digits a signature in ascending order; the likeness of two is their Jaccard
 coefficient.
 
+Near duplicates are found among different sets. Sets are put into classes by
+length, so wide that a pair at the threshold lies in one class or in two
+neighbouring ones, and under the rarest of their signatures, as many as such a
+pair cannot do without sharing one. A pair under one key is compared unless its
+lengths already rule it out, or links found before join it. A key of many sets
+is dealt to pairs of blocks, so that no task holds more than two blocks.
+
 Defined cases: a null text counts as empty; the empty text has the signature of
 the empty text; words are lower-cased and compared without the punctuation
 around them; repeated rows follow each other in the order of documents; rows
@@ -20,15 +27,19 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import islice
+from itertools import groupby, islice
+from math import log
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clipsense.llm.texts import SLICE, slices
+from clipsense.llm.components import components
+from clipsense.llm.texts import SLICE, slices, with_value
+from clipsense.session import staged
 
 #: Common words of English, German, French and Spanish.
 COMMON_WORDS = frozenset(
@@ -39,6 +50,9 @@ COMMON_WORDS = frozenset(
 )
 CHAIN = 2
 DISTANCE = 1
+THRESHOLD = 0.8
+#: Sets of a block: a task compares two blocks at most.
+BLOCK_SETS = 256
 #: Rows of a bucket of neighbouring ids, and the most buckets.
 BUCKET_ROWS = 4_000
 MOST_BUCKETS = 1_000
@@ -155,3 +169,85 @@ def fingerprint_edits(documents: DataFrame) -> DataFrame:
         "bucket", "extra", F.desc("order_id"), F.desc("text_hash")
     )
     return sorted_rows.mapInArrow(run, SCHEMA)
+
+
+def _class(n: Column, threshold: float) -> Column:
+    # A touch wider than the threshold asks, for rounding.
+    return F.floor(F.log(n) / (-log(threshold) * (1 + 1e-9))).cast("int")
+
+
+def set_links(sets: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK_SETS) -> DataFrame:
+    """Links a, b between sets, enough to connect all whose likeness reaches the threshold.
+
+    ``sets`` has set_id and signatures, a row for each different set.
+    """
+    tokens = sets.select("set_id", F.size("signatures").alias("n"), F.explode("signatures").alias("signature"))
+    frequency = tokens.groupBy("signature").agg(F.count("*").alias("times"))
+    # A set is one text's, and no longer than that.
+    rarest = tokens.join(frequency, "signature").groupBy("set_id", "n").agg(
+        F.array_sort(F.collect_list(F.struct("times", "signature"))).alias("order")
+    )
+    prefix = (F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).cast("int")
+    kind = _class(F.col("n"), threshold)
+    keys = staged(
+        rarest.select("set_id", F.explode(F.slice("order", F.lit(1), prefix)).alias("at"), F.array(kind, kind + 1).alias("kinds"))
+        .select("set_id", F.col("at.signature").alias("signature"), F.explode("kinds").alias("kind"))
+    )
+    sizes = keys.groupBy("signature", "kind").agg(F.count("*").alias("size")).filter("size > 1")
+    blocks = F.ceil(F.col("size") / block).cast("int")
+    own = F.pmod(F.xxhash64("set_id"), blocks).cast("int")
+    other = F.explode(F.sequence(F.lit(0), blocks - 1))
+    dealt = keys.join(sizes, ["signature", "kind"]).select("set_id", "signature", "kind", own.alias("own"), other.alias("other"))
+    placed = dealt.select(
+        "set_id", "signature", "kind", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+    ).join(sets, "set_id")
+    key = ["signature", "kind", "low", "high"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for part in slices(batches) for row in zip(*(c.to_pylist() for c in part.columns)))
+        for _, group in groupby(rows, key=itemgetter(0, 1, 2, 3)):
+            held = sorted(((len(s), i, np.array(s, dtype="u4")) for *_, i, s in group), key=itemgetter(0, 1))
+            links = spanning_links([s for *_, s in held], threshold)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([held[i][1] for i, _ in links], pa.int64()), pa.array([held[j][1] for _, j in links], pa.int64())], names=["a", "b"]
+            )
+
+    found = placed.select(*key, "set_id", "signatures").repartition(*key).sortWithinPartitions(*key)
+    return found.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
+def spanning_links(sets: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
+    """Links of a spanning forest of sets in order of length, by pruned Jaccard."""
+    root = list(range(len(sets)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    links = []
+    for i, shorter in enumerate(sets):
+        for j in range(i + 1, len(sets)):
+            if len(shorter) < threshold * len(sets[j]) - 1e-9:
+                break
+            if find(i) != find(j) and likeness(shorter, sets[j]) >= threshold:
+                root[find(i)] = find(j)
+                links.append((i, j))
+    return links
+
+
+def near_groups(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """doc_id, fingerprint and class_id, the least doc_id that links lead to, for every document."""
+    made = with_value(documents.select("doc_id", "text"), ["text"], lambda: lambda text: signatures(text or "").tolist(), "signatures", "array<bigint>")
+    prints = staged(made.select("doc_id", "signatures", F.xxhash64("signatures").alias("set_id")))
+    sets = staged(prints.groupBy("set_id").agg(F.first("signatures").alias("signatures"), F.min("doc_id").alias("least")))
+    found = staged(components(set_links(sets.select("set_id", "signatures"), threshold), "a", "b"))
+    labelled = sets.join(found, F.col("set_id") == F.col("node"), "left").select(
+        "set_id", "least", F.coalesce("component", "set_id").alias("component")
+    )
+    ids = labelled.groupBy("component").agg(F.min("least").alias("class_id"))
+    fingerprint = F.array_join(F.transform("signatures", lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
+    return prints.join(labelled.join(ids, "component").select("set_id", "class_id"), "set_id").select(
+        "doc_id", fingerprint.alias("fingerprint"), "class_id"
+    )

@@ -97,6 +97,7 @@ OPERATORS = {
     "op8": token_counts.count_tokens,
     "op9": packing.pack,
     "op10": simhash.near_groups,
+    "op3 groups": spotsigs.near_groups,
 }
 
 
@@ -258,6 +259,42 @@ def test_spots_are_anchors_with_their_chains():
     assert set(found.tolist()) == {zlib.crc32(c.encode()) for c in chains}
 
 
+@pytest.mark.parametrize("block", [3, 256])
+def test_set_links_connect_all_near_sets(spark, block):
+    draw = random.Random(6)
+    sets = {tuple(sorted(draw.sample(range(400), draw.randint(1, 30)))) for _ in range(60)}
+    for base in draw.sample(sorted(sets), 25):
+        for _ in range(4):
+            near = set(base) ^ set(draw.sample(range(400), draw.randint(0, 3)))
+            sets.add(tuple(sorted(near)) or (1,))
+    sets = sorted(sets)
+    links = spotsigs.set_links(spark.createDataFrame([(i, list(s)) for i, s in enumerate(sets)], "set_id bigint, signatures array<bigint>"), 0.8, block)
+    found = {r["node"]: r["component"] for r in components.components(links, "a", "b").collect()}
+    parent = list(range(len(sets)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if len(set(a) & set(b)) / len(set(a) | set(b)) >= 0.8:
+                parent[root(i)] = root(j)
+    own = [found.get(i, i) for i in range(len(sets))]
+    roots = [root(i) for i in range(len(sets))]
+    assert len(set(zip(roots, own))) == len(set(roots)) == len(set(own)) < len(sets)
+
+
+def test_spot_groups_join_copies(odd, small):
+    for df in (odd, small):
+        rows = spotsigs.near_groups(df).collect()
+        assert Counter(r["doc_id"] for r in rows) == Counter(d for d, _ in pairs_of(df))
+        classes = {}
+        for r in rows:
+            assert classes.setdefault(r["fingerprint"], r["class_id"]) == r["class_id"]
+
+
 # K-d tree shards
 
 
