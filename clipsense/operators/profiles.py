@@ -129,7 +129,7 @@ def preferred_tags(counts: DataFrame, k: int = 10) -> DataFrame:
 
 def as_list(ranked: DataFrame, name: str, *fields: str) -> DataFrame:
     """At most k ranked rows per user, as one array in rank order."""
-    items = F.array_sort(F.collect_list(F.struct("rank", *fields)))
+    items = F.array_sort(F.collect_list(F.struct("rank", *[f for f in fields if f != "rank"])))
     return ranked.groupBy("user_id").agg(items.alias("items")).select(
         "user_id",
         F.transform("items", lambda x: F.struct(*[x[f].alias(f) for f in fields])).alias(name),
@@ -138,7 +138,7 @@ def as_list(ranked: DataFrame, name: str, *fields: str) -> DataFrame:
 
 def full_profiles(profiles: DataFrame, ranked_tags: DataFrame, preferred: DataFrame) -> DataFrame:
     tops = as_list(ranked_tags.select("user_id", "rank", "tags", "tags_score"), "top_categories", "tags", "tags_score")
-    tags = as_list(preferred, "preferred_tags", "tag", "tag_count")
+    tags = as_list(preferred, "preferred_tags", "tag", "tag_count", "rank")
     return profiles.join(tops, "user_id", "left").join(tags, "user_id", "left")
 
 
