@@ -292,7 +292,8 @@ def window_answers(texts: DataFrame) -> DataFrame:
     windows = staged(texts.select("anchor", "passage", "doc", "words").mapInArrow(
         run, "anchor bigint, passage bigint, at int, doc bigint, window bigint"
     ))
-    firsts = windows.groupBy("window").agg(F.min("doc").alias("first_doc"))
+    # Written by itself, so that the join can split a window that very many passages have.
+    firsts = staged(windows.groupBy("window").agg(F.min("doc").alias("first_doc")))
     # A passage has at most RUN windows.
     return windows.join(firsts, "window").groupBy("anchor", "passage").agg(
         F.sort_array(F.collect_list(F.struct("at", F.lit(1).alias("n"), "first_doc"))).alias("answers")
