@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Rows that a bucket has on average.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 
 
 def buckets_for(rows: int) -> int:
