@@ -6,6 +6,7 @@ gzip or zlib data. What decodes becomes a new layer on the worklist, unless the
 same layer was seen before, so the work ends when nothing new unfolds. Every
 layer keeps, for each of its characters, where that stretch lies in the
 original text; a secret found below is reported as the stretch it came from.
+Every decoded layer is scanned and unwrapped further, readable or not.
 
 Kinds: ``assign``, ``access`` and ``hex`` in the text itself; below it the
 codecs in the order of unwrapping and the kind, such as ``base64>url>assign``.
@@ -122,14 +123,6 @@ def _base64(piece: str) -> bytes | None:
         return None
 
 
-def _readable(data: bytes) -> str | None:
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    return text if text and all(c.isprintable() or c in "\t\r\n" for c in text) else None
-
-
 def _unpacked(data: bytes) -> tuple[str, bytes] | None:
     """The codec and the data below gzip or zlib; data beyond the limit comes back one byte too long."""
     for codec, head, bits in (("gzip", b"\x1f\x8b", 31), ("zlib", b"\x78", 15)):
@@ -142,22 +135,23 @@ def _unpacked(data: bytes) -> tuple[str, bytes] | None:
 
 
 def _bytes_layers(data: bytes) -> list[tuple[str, str | None]]:
-    """Readable texts in decoded data, with the codecs passed; no text if it is too large."""
+    """Decoded data as texts, a character for each byte, with the codecs passed; no text if it is too large."""
+    found: list[tuple[str, str | None]] = []
     passed = ""
     seen: set[bytes] = set()
     while data not in seen:
         seen.add(data)
-        text = _readable(data)
-        if text is not None:
-            return [(passed, text)]
+        # All patterns are ASCII, so that other characters may stay in bytes, valid or not.
+        found.append((passed, data.decode("latin-1")))
         below = _unpacked(data)
         if below is None:
-            return []
+            break
         passed += f">{below[0]}"
         data = below[1]
         if len(data) > MOST_LAYER:
-            return [(passed, None)]
-    return []
+            found.append((passed, None))
+            break
+    return found
 
 
 def below(layer: Layer) -> tuple[list[Layer], list[Found]]:

@@ -484,6 +484,17 @@ def test_secrets_below_encodings_keep_their_place():
     assert (start, end, kind) == (2, 2 + len(twice), "url>url>assign")
 
 
+@pytest.mark.parametrize("mark", ["\xa0", "\u3000", "\u200b", "\ufeff", "\xad", "\f", "\0", b"\xff"])
+@pytest.mark.parametrize("packed", ["", "gzip>", "zlib>"])
+def test_layers_with_odd_characters_are_scanned(mark, packed):
+    mark = mark if isinstance(mark, bytes) else mark.encode()
+    data = b"mot de passe" + mark + b": password = hunter2hunter2"
+    data = {"": bytes, "gzip>": gzip.compress, "zlib>": zlib.compress}[packed](data)
+    code = base64.b64encode(data).decode()
+    assert secret_scan.scan(f"x {code} y")[1] == [(2, 2 + len(code), f"base64>{packed}assign")]
+    assert secret_scan.redact(f"x {code} y") == "x [secret] y"
+
+
 def test_scan_ends_on_layers_that_repeat():
     layer = secret_scan.Layer("%41", "", None, [])
     assert secret_scan.Layer("A", "url>", layer, [(0, 0, 3, False)]).repeats("%41")
