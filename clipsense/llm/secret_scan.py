@@ -6,7 +6,11 @@ gzip or zlib data. What decodes becomes a new layer on the worklist, unless the
 same layer was seen before, so the work ends when nothing new unfolds. Every
 layer keeps, for each of its characters, where that stretch lies in the
 original text; a secret found below is reported as the stretch it came from.
-Every decoded layer is scanned and unwrapped further, readable or not.
+Every decoded layer is scanned and unwrapped further, readable or not. Base64 on
+following lines is decoded as one stretch, and every stretch from each of its
+first four characters, so that it may follow others of its alphabet (a path, an
+underscore); gzip and zlib data may lie anywhere in it, in several members. A
+secret below it is reported as the lines that hold it.
 
 Kinds: ``assign``, ``access`` and ``hex`` in the text itself; below it the
 codecs in the order of unwrapping and the kind, such as ``base64>url>assign``.
@@ -25,6 +29,8 @@ import hashlib
 import re
 import zlib
 from bisect import bisect_right
+from collections.abc import Iterator
+from itertools import accumulate, pairwise
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +47,17 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 
 UNICODE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|&#([0-9]{2,7});|&#[xX]([0-9A-Fa-f]{2,6});")
 URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+RUN = re.compile(r"[A-Za-z0-9+/_-]+")
+#: Runs on following lines are one stretch; a single run is looked at from 16 characters on, as is what is joined.
+BASE64 = re.compile(
+    r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+|[A-Za-z0-9+/_-]++(?=[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]))"
+    r"(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)*+(?:(?:[ \t]*+\r?\n[ \t]*+)?=){0,2}"
+)
+LEAST_CODE = 16
+#: Heads of gzip and zlib data; zlib with a preset dictionary cannot be unpacked.
+HEAD = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
+#: Bytes unpacked at once.
+CHUNK = 65_536
 #: The most characters of one decoded layer.
 MOST_LAYER = 64_000_000
 
@@ -113,47 +129,113 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode, codec: str) -> Layer |
     return Layer("".join(parts), f"{layer.codecs}{codec}>", layer, pieces) if parts else None
 
 
-def _base64(piece: str) -> bytes | None:
-    body = piece.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
-    except (binascii.Error, ValueError):
-        return None
-
-
-def _unpacked(data: bytes) -> tuple[str, bytes] | None:
-    """The codec and the data below gzip or zlib; data beyond the limit comes back one byte too long."""
-    for codec, head, bits in (("gzip", b"\x1f\x8b", 31), ("zlib", b"\x78", 15)):
-        if data.startswith(head):
-            try:
-                return codec, zlib.decompressobj(bits).decompress(data, MOST_LAYER + 1)
-            except zlib.error:
-                continue
-    return None
-
-
-def _bytes_layers(data: bytes) -> list[tuple[str, str | None]]:
-    """Decoded data as texts, a character for each byte, with the codecs passed; no text if it is too large."""
-    found: list[tuple[str, str | None]] = []
-    passed = ""
+def _decoded(code: str, skip: int) -> bytes:
+    """What base64 gives from a place on; a last character that no byte is complete with is left out."""
+    size = len(code) - skip
+    size -= size % 4 == 1
+    return base64.b64decode(code[skip : skip + size] + "=" * (-size % 4))
+
+
+def _member(data: bytes, at: int, bits: int, room: int) -> tuple[bytes, int, bool]:
+    """One gzip or zlib member, or what can be read of it, where it ends, and whether it is complete."""
+    stream = zlib.decompressobj(bits)
+    out = bytearray()
+    while at < len(data) and not stream.eof and len(out) <= room:
+        piece = data[at : at + CHUNK]
+        before = stream.copy()
+        try:
+            out += stream.decompress(piece, room + 1 - len(out))
+        except zlib.error:
+            for i in range(len(piece)):
+                try:
+                    out += before.decompress(piece[i : i + 1])
+                except zlib.error:
+                    at += i
+                    break
+            return bytes(out), at, False
+        at += len(piece) - len(stream.unused_data) - len(stream.unconsumed_tail)
+    return bytes(out), at, stream.eof
+
+
+def _unpacked(data: bytes) -> Iterator[tuple[str, bytes, int, int]]:
+    """Codec, content and place of all gzip and zlib data within data, members that follow each other as one.
+
+    Content beyond the limit comes back longer than it.
+    """
+    at = 0
+    while head := HEAD.search(data, at):
+        codec, bits = ("gzip", 31) if data[head.start()] == 0x1F else ("zlib", 15)
+        content, end, whole = _member(data, head.start(), bits, MOST_LAYER)
+        at = end if whole else head.start() + 1
+        parts, size = [content], len(content)
+        while whole and size <= MOST_LAYER:
+            # gzip files may be padded with zeros.
+            following = HEAD.match(data, _after_zeros(data, end))
+            if following is None or (codec == "gzip") != (following[0][0] == 0x1F):
+                break
+            content, end, whole = _member(data, following.start(), bits, MOST_LAYER - size)
+            at = end if whole else following.start() + 1
+            parts.append(content)
+            size += len(content)
+        if size:
+            yield codec, b"".join(parts), head.start(), end
+
+
+def _after_zeros(data: bytes, at: int) -> int:
+    while at < len(data) and not data[at]:
+        at += 1
+    return at
+
+
+def _bytes_layers(data: bytes) -> list[tuple[str, str | None, int, int]]:
+    """Decoded data as texts, a character for each byte, with the codecs passed and the place in the data.
+
+    No text if it is too large.
+    """
+    found: list[tuple[str, str | None, int, int]] = []
+    work = [("", data, 0, len(data))]
     seen: set[bytes] = set()
-    while data not in seen:
+    while work:
+        passed, data, first, last = work.pop()
+        if data in seen:
+            continue
         seen.add(data)
         # All patterns are ASCII, so that other characters may stay in bytes, valid or not.
-        found.append((passed, data.decode("latin-1")))
-        below = _unpacked(data)
-        if below is None:
-            break
-        passed += f">{below[0]}"
-        data = below[1]
-        if len(data) > MOST_LAYER:
-            found.append((passed, None))
-            break
+        found.append((passed, data.decode("latin-1"), first, last))
+        for codec, content, start, end in _unpacked(data):
+            place = (first, last) if passed else (start, end)
+            if len(content) > MOST_LAYER:
+                found.append((f"{passed}>{codec}", None, *place))
+            else:
+                work.append((f"{passed}>{codec}", content, *place))
     return found
 
 
+class Lines:
+    """The lines of a base64 stretch, and where their characters are in what is joined."""
+
+    def __init__(self, text: str, first: int, last: int):
+        self.spans = [m.span() for m in RUN.finditer(text, first, last)]
+        self.code = "".join(text[start:end] for start, end in self.spans).replace("-", "+").replace("_", "/")
+        self.spans[-1] = (self.spans[-1][0], last)
+        self.starts = [0, *accumulate(end - start for start, end in self.spans[:-1])]
+
+    def place(self, skip: int, first: int, last: int) -> tuple[int, int]:
+        """The lines that hold the given bytes, of those decoded from a place on."""
+        return self.spans[self._line(skip + first * 8 // 6)][0], self.spans[self._line(skip + (last * 8 - 1) // 6)][1]
+
+    def pieces(self, skip: int, size: int) -> list[tuple[int, int, int, bool]]:
+        """The pieces of a layer of all bytes decoded from a place on: those of one line, or across a break."""
+        cuts = {0, size}
+        for start in self.starts[1:]:
+            cuts |= {max(0, (start - skip) * 6 // 8), max(0, -((skip - start) * 6 // 8))}
+        at = sorted(cut for cut in cuts if cut <= size)
+        return [(a, *self.place(skip, a, b), False) for a, b in pairwise(at)]
+
+    def _line(self, at: int) -> int:
+        return bisect_right(self.starts, at) - 1
+
+
 def below(layer: Layer) -> tuple[list[Layer], list[Found]]:
     """What unfolds from a layer, and the stretches too large to unfold."""
     text, found, large = layer.text, [], []
@@ -162,13 +244,20 @@ def below(layer: Layer) -> tuple[list[Layer], list[Found]]:
     if "\\" in text or "&#" in text:
         found.append(_replaced(layer, UNICODE, _unicode, "unicode"))
     for m in BASE64.finditer(text):
-        data = _base64(m[0])
-        for passed, inner in _bytes_layers(data) if data else ():
-            codecs = f"{layer.codecs}base64{passed}>"
-            if inner is None:
-                large.append((*layer.place(*m.span()), f"{codecs}oversized"))
-            else:
-                found.append(Layer(inner, codecs, layer, [(0, *m.span(), False)]))
+        lines = Lines(text, *m.span())
+        if len(lines.code) < LEAST_CODE:
+            continue
+        # What stands before the code, up to a sign that base64 has too, or on a line before, shifts it by up to three.
+        for skip in range(4):
+            data = _decoded(lines.code, skip)
+            for passed, inner, first, last in _bytes_layers(data):
+                codecs = f"{layer.codecs}base64{passed}>"
+                if inner is None:
+                    large.append((*layer.place(*lines.place(skip, first, last)), f"{codecs}oversized"))
+                elif passed:
+                    found.append(Layer(inner, codecs, layer, [(0, *lines.place(skip, first, last), False)]))
+                else:
+                    found.append(Layer(inner, codecs, layer, lines.pieces(skip, len(data))))
     return [x for x in found if x is not None and not layer.repeats(x.text)], large
 
 

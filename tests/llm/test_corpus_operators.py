@@ -495,6 +495,56 @@ def test_layers_with_odd_characters_are_scanned(mark, packed):
     assert secret_scan.redact(f"x {code} y") == "x [secret] y"
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n  "])
+@pytest.mark.parametrize("width", [5, 64, 76])
+def test_wrapped_base64_is_one_stretch(width, end):
+    draw = random.Random(1)
+    filler = " ".join(str(draw.random()) for _ in range(200))
+    for at in range(9):
+        secret = f"{filler} {'x' * at} password = hunter2hunter2 {filler}"
+        for data in (secret.encode(), gzip.compress(secret.encode())):
+            code = base64.b64encode(data).decode()
+            wrapped = end.join(code[i : i + width] for i in range(0, len(code), width))
+            (start, stop, kind), = secret_scan.scan(f"a text:\n\n{wrapped}\n\nand more")[1]
+            assert kind == ("base64>assign" if data == secret.encode() else "base64>gzip>assign")
+            # Whole lines: all of packed data, those of the secret alone else.
+            text = f"a text:\n\n{wrapped}\n\nand more"
+            lines = text[start:stop].split(end)
+            assert all(line in wrapped.split(end) for line in lines)
+            if data != secret.encode():
+                assert text[start:stop] == wrapped
+            else:
+                first = secret.index("password")
+                a, b = first * 4 // 3 // width, (first + len("password = hunter2hunter2") - 1) * 4 // 3 // width
+                assert len(lines) in (b - a + 1, b - a + 2) and lines[0] == code[a * width : (a + 1) * width]
+
+
+@pytest.mark.parametrize("before", ["/v1/", "k_", "img-", "id/", "abc", "Bearer\n", "name\nof\n"])
+@pytest.mark.parametrize("packed", ["", "gzip>", "zlib>"])
+def test_base64_behind_its_own_signs(before, packed):
+    secret = b"the password = hunter2hunter2"
+    for tail in (b"", b" ", b"  "):
+        data = {"": bytes, "gzip>": gzip.compress, "zlib>": zlib.compress}[packed](secret + tail)
+        for code in (base64.b64encode(data).decode(), base64.urlsafe_b64encode(data).decode().rstrip("=")):
+            text = f"x {before}{code} y"
+            assert [kind for *_, kind in secret_scan.scan(text)[1]] == [f"base64>{packed}assign"]
+            assert code not in secret_scan.redact(text) and secret_scan.redact(text).endswith("[secret] y")
+
+
+def test_all_members_are_unpacked():
+    parts = [b"nothing here", b"pass", b"word = hunter2", b"hunter2 and token = abcdefgh"]
+    members = b"".join(map(gzip.compress, parts))
+    for data in (members, gzip.compress(parts[0]) + b"\0" * 9 + b"".join(map(gzip.compress, parts[1:])), b"head" + members + b"tail"):
+        code = base64.b64encode(data).decode()
+        layers = secret_scan.below(secret_scan.Layer(code, "", None, []))[0]
+        assert b"".join(parts).decode() in [layer.text for layer in layers]
+        assert {kind for *_, kind in secret_scan.scan(code)[1]} == {"base64>gzip>assign"}
+    draw = random.Random(2)
+    cut = gzip.compress(("password = hunter2hunter2 " + " ".join(str(draw.random()) for _ in range(200))).encode())[:-60]
+    for data in (cut, cut + b"\xff" * 60):
+        assert [kind for *_, kind in secret_scan.scan(base64.b64encode(data).decode())[1]] == ["base64>gzip>assign"]
+
+
 def test_scan_ends_on_layers_that_repeat():
     layer = secret_scan.Layer("%41", "", None, [])
     assert secret_scan.Layer("A", "url>", layer, [(0, 0, 3, False)]).repeats("%41")
