@@ -48,6 +48,10 @@ SMALL = 1e-150
 REMEMBERED = 3_200_000
 
 
+def lettered(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
+
+
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % FOLDS == 0
 
@@ -149,7 +153,7 @@ def predictor(spark: SparkSession, languages: list[str], tables: np.ndarray, pat
             return at
 
         def apply(text: str | None) -> tuple[str, float]:
-            if not names or not text or not any(map(str.isalpha, text)):
+            if not names or not lettered(text):
                 return UNDETERMINED, 0.0
             if len(known) >= most:
                 known.clear()
@@ -180,11 +184,14 @@ def identify(documents: DataFrame, vocabulary_path: str | None = None, sample_do
 
 
 def determined(documents: DataFrame, vocabulary_path: str | None = None, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """The documents, with all columns, whose language can be told."""
+    """The documents, with all columns, whose language can be told; all with a letter if no language was learned."""
     path = vocabulary_path or piece_vocabulary_path()
-    make = predictor(documents.sparkSession, *train(documents, path, sample_docs), path)
+    languages, tables = train(documents, path, sample_docs)
+    make = predictor(documents.sparkSession, languages, tables, path)
 
     def told() -> Callable[[str | None], bool]:
+        if not languages:
+            return lettered
         apply = make()
         return lambda text: apply(text)[0] != UNDETERMINED
 

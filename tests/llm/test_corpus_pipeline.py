@@ -68,6 +68,16 @@ def test_stages_on_the_smallest_table(spark):
     assert max(filled.values()) <= 2048 and len(filled) <= 1.05 * sum(filled.values()) / 2048 + 1
 
 
+def test_documents_stay_without_labels(spark):
+    docs = corpus_pipeline.documents(spark, SF_DIR)
+    held = "crc32(cast(doc_id as string)) % 5 = 0"
+    for lang in ("CAST(NULL AS string)", f"CASE WHEN {held} THEN lang END"):
+        bare = docs.drop("lang").join(docs.selectExpr("doc_id", f"{lang} AS lang").distinct(), "doc_id").select(docs.columns)
+        told = corpus_pipeline.identify_language(spark, bare, SF_DIR)
+        expected = sorted((r for r in bare.collect() if r["text"] and any(map(str.isalpha, r["text"]))), key=key)
+        assert expected and sorted(told.collect(), key=key) == expected
+
+
 def test_run_is_all_stages(spark):
     rows = corpus_pipeline.run(spark, SF_DIR).collect()
     assert rows and {"doc_id", "piece", "sequence_id", "offset"} <= set(rows[0].asDict())
