@@ -36,7 +36,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spotsigs.fingerprint_edits(documents(spark, sf_dir))
+    return spotsigs.fingerprint_groups(documents(spark, sf_dir))
 
 
 def op4_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,9 +11,10 @@ coefficient.
 Near duplicates are found among different sets. Sets are put into classes by
 length, so wide that a pair at the threshold lies in one class or in two
 neighbouring ones, and under the rarest of their signatures, as many as such a
-pair cannot do without sharing one. A pair under one key is compared unless its
-lengths already rule it out, or links found before join it. A key of many sets
-is dealt to pairs of blocks, so that no task holds more than two blocks.
+pair cannot do without sharing ``IN_COMMON``. Pairs under keys of few sets are
+listed, and those with enough keys compared. Under a key of many sets, a pair is
+compared unless its lengths already rule it out, or links found before join it;
+such a key is dealt to pairs of blocks, so that no task holds more than two.
 
 Defined cases: a null text counts as empty; the empty text has the signature of
 the empty text; words are lower-cased and compared without the punctuation
@@ -28,7 +29,7 @@ import hashlib
 import zlib
 from collections.abc import Iterable, Iterator
 from itertools import groupby, islice
-from math import log
+from math import ceil, log
 from operator import itemgetter
 
 import numpy as np
@@ -53,6 +54,10 @@ DISTANCE = 1
 THRESHOLD = 0.8
 #: Sets of a block: a task compares two blocks at most.
 BLOCK_SETS = 256
+#: Keys that near sets must share, the most sets of a key whose pairs are listed, and the counters of signatures.
+IN_COMMON = 3
+FEW_SETS = 32
+SLOTS = 2**18
 #: Rows of a bucket of neighbouring ids, and the most buckets.
 BUCKET_ROWS = 4_000
 MOST_BUCKETS = 1_000
@@ -97,25 +102,24 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
-KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
+KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.int64()]
 SCHEMA = (
     "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double, next_doc_id bigint"
 )
+GROUPED = SCHEMA + ", class_id bigint"
 
 
-def with_next(documents: DataFrame) -> DataFrame:
-    """Documents dealt to buckets of neighbouring ids: bucket, extra, order_id, text_hash, doc_id, text.
+def with_next(documents: DataFrame, classes: DataFrame | None = None) -> DataFrame:
+    """Documents dealt to buckets of neighbouring ids: bucket, extra, order_id, text_hash, doc_id, text, class_row, class_id.
 
     Within a bucket the ids descend, null ids last. The extra row at the end of
     a bucket is the first row of the bucket after it, after the last bucket
-    that of the first.
+    that of the first. ``classes`` has a class_id for each order_id and text_hash; it
+    comes as a row of its own, without a text, so that texts are dealt once.
     """
     spark = documents.sparkSession
-    docs = documents.select(
-        "doc_id", "text", F.coalesce("doc_id", F.lit(LEAST)).alias("order_id"),
-        F.coalesce(F.xxhash64("text"), F.lit(0)).alias("text_hash"),
-    )
+    docs = documents.select("doc_id", "text", *_place())
     n = min(MOST_BUCKETS, docs.count() // BUCKET_ROWS)
     bounds = docs.agg(F.percentile_approx("order_id", [i / (n + 1) for i in range(1, n + 1)], 10_000)).first()[0] if n else []
     bounds = np.array(bounds or [], dtype=np.int64)
@@ -131,7 +135,19 @@ def with_next(documents: DataFrame) -> DataFrame:
     heads = F.broadcast(spark.createDataFrame(ring, "to_bucket int, order_id bigint, text_hash bigint"))
     columns = ["bucket", "extra", "order_id", "text_hash", "doc_id", "text"]
     extras = docs.join(heads, ["order_id", "text_hash"]).dropDuplicates(["to_bucket"]).withColumnRenamed("to_bucket", "bucket")
-    return dealt.withColumn("extra", F.lit(False)).select(*columns).union(extras.withColumn("extra", F.lit(True)).select(*columns))
+    rows = dealt.withColumn("extra", F.lit(False)).select(*columns).union(extras.withColumn("extra", F.lit(True)).select(*columns))
+    rows = rows.select(*columns, F.lit(False).alias("class_row"), F.lit(None).cast("bigint").alias("class_id"))
+    if classes is None:
+        return rows
+    return rows.union(classes.select(
+        bucket_of("order_id").alias("bucket"), F.lit(False), "order_id", "text_hash", F.lit(None).cast("bigint"),
+        F.lit(None).cast("string"), F.lit(True), "class_id",
+    ))
+
+
+def _place() -> tuple[Column, Column]:
+    """order_id and text_hash of a document."""
+    return F.coalesce("doc_id", F.lit(LEAST)).alias("order_id"), F.coalesce(F.xxhash64("text"), F.lit(0)).alias("text_hash")
 
 
 def fingerprint_edits(documents: DataFrame) -> DataFrame:
@@ -139,36 +155,54 @@ def fingerprint_edits(documents: DataFrame) -> DataFrame:
 
     The next document is the one with the next smaller id, after the last one the first.
     """
-    names = [part.split()[0] for part in SCHEMA.split(", ")]
+    return _with_edits(documents, None)
+
+
+def fingerprint_groups(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The columns of ``fingerprint_edits`` and the class_id of ``near_groups`` for every document."""
+    groups = _classes(documents.select(*_place(), "doc_id", "text"), ["order_id", "text_hash"], threshold)
+    return _with_edits(documents, groups.select("order_id", "text_hash", "class_id").distinct())
+
+
+def _with_edits(documents: DataFrame, classes: DataFrame | None) -> DataFrame:
+    grouped = classes is not None
+    schema = GROUPED if grouped else SCHEMA
+    names = [part.split()[0] for part in schema.split(", ")]
 
     def rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+        class_id = None
         for part in slices(batches):
-            yield from zip(*(part.column(i).to_pylist() for i in (0, 1, 4, 5)))
+            for bucket, extra, doc_id, text, class_row, new in zip(*(part.column(i).to_pylist() for i in (0, 1, 4, 5, 6, 7))):
+                if class_row:
+                    class_id = new
+                else:
+                    yield bucket, extra, doc_id, text, class_id
 
     def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         before = None
-        for bucket, extra, doc_id, text in rows(batches):
+        for bucket, extra, doc_id, text, class_id in rows(batches):
             text = text or ""
             own = signatures(text)
             if before is not None and before[0] == bucket:
-                _, old_id, old_text, old = before
+                _, old_id, old_text, old, old_class = before
                 changed = edited(old_text, text)
                 new = signatures(changed)
                 yield (
                     old_id, len(old_text), hashlib.sha256(changed.encode()).hexdigest(), written(old), written(new),
                     likeness(old, new), likeness(old, own), doc_id,
+                    *((old_class,) if grouped else ()),
                 )
-            before = None if extra else (bucket, doc_id, text, own)
+            before = None if extra else (bucket, doc_id, text, own, class_id)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = compared(batches)
         while chunk := list(islice(found, SLICE)):
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*chunk), KINDS)], names=names)
 
-    sorted_rows = with_next(documents).repartition("bucket").sortWithinPartitions(
-        "bucket", "extra", F.desc("order_id"), F.desc("text_hash")
+    sorted_rows = with_next(documents, classes).repartition("bucket").sortWithinPartitions(
+        "bucket", "extra", F.desc("order_id"), F.desc("text_hash"), F.desc("class_row")
     )
-    return sorted_rows.mapInArrow(run, SCHEMA)
+    return sorted_rows.mapInArrow(run, schema)
 
 
 def _class(n: Column, threshold: float) -> Column:
@@ -181,23 +215,49 @@ def set_links(sets: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK_
 
     ``sets`` has set_id and signatures, a row for each different set.
     """
-    tokens = sets.select("set_id", F.size("signatures").alias("n"), F.explode("signatures").alias("signature"))
-    frequency = tokens.groupBy("signature").agg(F.count("*").alias("times"))
-    # A set is one text's, and no longer than that.
-    rarest = tokens.join(frequency, "signature").groupBy("set_id", "n").agg(
-        F.array_sort(F.collect_list(F.struct("times", "signature"))).alias("order")
-    )
-    prefix = (F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).cast("int")
-    kind = _class(F.col("n"), threshold)
+    # One number for each of at most SLOTS slots.
+    slots = sets.select(F.explode("signatures").alias("signature")).groupBy((F.col("signature") % SLOTS).alias("slot")).count().toPandas()
+    counts = np.zeros(SLOTS, dtype=np.int64)
+    counts[slots["slot"].to_numpy(dtype=np.int64)] = slots["count"]
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
+
+    @F.pandas_udf("array<bigint>")
+    def rarest(signatures: pd.Series) -> pd.Series:
+        # Any order that all sets share finds the same pairs; with the rarer first, few sets meet.
+        return signatures.map(lambda s: s[np.lexsort((s, shared.value[s % SLOTS]))][: _prefix(len(s), threshold)])
+
+    n = F.size("signatures")
     keys = staged(
-        rarest.select("set_id", F.explode(F.slice("order", F.lit(1), prefix)).alias("at"), F.array(kind, kind + 1).alias("kinds"))
-        .select("set_id", F.col("at.signature").alias("signature"), F.explode("kinds").alias("kind"))
+        sets.select("set_id", n.alias("n"), _class(n, threshold).alias("own_kind"), F.explode(rarest("signatures")).alias("signature"))
+        .withColumn("kind", F.explode(F.array(F.col("own_kind"), F.col("own_kind") + 1)))
+    )
+    at = ["signature", "kind"]
+    sizes = staged(
+        keys.groupBy(*at).agg(
+            F.count("*").alias("size"), F.bit_xor(F.xxhash64("set_id")).alias("one"), F.bit_xor(F.xxhash64("set_id", F.lit(1))).alias("two")
+        ).filter("size > 1")
     )
-    sizes = keys.groupBy("signature", "kind").agg(F.count("*").alias("size")).filter("size > 1")
+    few = min(FEW_SETS, block)
+    # No list here is longer than FEW_SETS.
+    met = keys.join(sizes.filter(F.col("size") <= few).select(*at), at).groupBy(*at).agg(
+        F.collect_list(F.struct("set_id", "n", "own_kind")).alias("held")
+    )
+    pairs = met.select("kind", "held", F.explode("held").alias("x")).select("kind", "x", F.explode("held").alias("y")).filter(
+        "x.set_id < y.set_id and kind = greatest(x.own_kind, y.own_kind)"
+    ).select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"), F.least("x.n", "y.n").alias("low"), F.greatest("x.n", "y.n").alias("high"))
+    # A near pair has so many keys in common; if one of them has many sets, the pair is met below.
+    often = pairs.filter(F.col("low") >= F.col("high") * threshold - 1e-9).groupBy("a", "b", "low", "high").agg(
+        F.count("*").alias("common")
+    ).filter(F.col("common") >= F.least(F.lit(IN_COMMON), F.ceil(F.col("low") * threshold - 1e-9)))
+    one, two = (sets.select(F.col("set_id").alias(x), F.col("signatures").alias(f"{x}_set")) for x in "ab")
+    both = F.size(F.array_intersect("a_set", "b_set"))
+    near = often.join(one, "a").join(two, "b").filter(both / (F.col("low") + F.col("high") - both) >= threshold).select("a", "b")
+    # Keys of the same sets are looked at once.
+    many = sizes.filter(F.col("size") > few).groupBy("size", "one", "two").agg(F.min(F.struct(*at)).alias("at")).select("size", "at.*")
     blocks = F.ceil(F.col("size") / block).cast("int")
     own = F.pmod(F.xxhash64("set_id"), blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    dealt = keys.join(sizes, ["signature", "kind"]).select("set_id", "signature", "kind", own.alias("own"), other.alias("other"))
+    dealt = keys.join(many, at).select("set_id", "signature", "kind", own.alias("own"), other.alias("other"))
     placed = dealt.select(
         "set_id", "signature", "kind", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
     ).join(sets, "set_id")
@@ -213,7 +273,13 @@ def set_links(sets: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK_
             )
 
     found = placed.select(*key, "set_id", "signatures").repartition(*key).sortWithinPartitions(*key)
-    return found.mapInArrow(run, "a bigint, b bigint").distinct()
+    return found.mapInArrow(run, "a bigint, b bigint").union(near).distinct()
+
+
+def _prefix(n: int, threshold: float) -> int:
+    """Of two near sets' rarest signatures, so many of each have IN_COMMON in common, or all that must be if that is less."""
+    least = ceil(n * threshold - 1e-9)
+    return n - least + min(IN_COMMON, least)
 
 
 def spanning_links(sets: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
@@ -239,15 +305,22 @@ def spanning_links(sets: list[np.ndarray], threshold: float) -> list[tuple[int,
 
 def near_groups(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, fingerprint and class_id, the least doc_id that links lead to, for every document."""
-    made = with_value(documents.select("doc_id", "text"), ["text"], lambda: lambda text: signatures(text or "").tolist(), "signatures", "array<bigint>")
-    prints = staged(made.select("doc_id", "signatures", F.xxhash64("signatures").alias("set_id")))
+    fingerprint = F.array_join(F.transform("signatures", lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
+    return _classes(documents.select("doc_id", "text"), [], threshold).select("doc_id", fingerprint.alias("fingerprint"), "class_id")
+
+
+def _classes(documents: DataFrame, keep: list[str], threshold: float) -> DataFrame:
+    """The kept columns, doc_id and class_id of every document, with its signatures if nothing else is kept."""
+    made = with_value(documents, ["text"], lambda: lambda text: signatures(text or "").tolist(), "signatures", "array<bigint>")
+    hashed = made.select(*keep, "doc_id", "signatures", F.xxhash64("signatures").alias("set_id"))
+    prints = staged(hashed)
     sets = staged(prints.groupBy("set_id").agg(F.first("signatures").alias("signatures"), F.min("doc_id").alias("least")))
     found = staged(components(set_links(sets.select("set_id", "signatures"), threshold), "a", "b"))
     labelled = sets.join(found, F.col("set_id") == F.col("node"), "left").select(
         "set_id", "least", F.coalesce("component", "set_id").alias("component")
     )
     ids = labelled.groupBy("component").agg(F.min("least").alias("class_id"))
-    fingerprint = F.array_join(F.transform("signatures", lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
-    return prints.join(labelled.join(ids, "component").select("set_id", "class_id"), "set_id").select(
-        "doc_id", fingerprint.alias("fingerprint"), "class_id"
-    )
+    columns = [*keep, "doc_id"] if keep else ["doc_id", "signatures"]
+    return prints.select("set_id", *columns).join(
+        labelled.join(ids, "component").select("set_id", "class_id"), "set_id"
+    ).select(*columns, "class_id")

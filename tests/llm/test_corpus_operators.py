@@ -295,6 +295,37 @@ def test_spot_groups_join_copies(odd, small):
             assert classes.setdefault(r["fingerprint"], r["class_id"]) == r["class_id"]
 
 
+def test_spotsigs_query_has_the_groups_of_all_pairs(spark, odd, small):
+    joined = 0
+    for df in (odd, small):
+        rows = [r.asDict() for r in spotsigs.fingerprint_groups(df).collect()]
+        assert Counter(r["doc_id"] for r in rows) == Counter(d for d, _ in pairs_of(df))
+        edits = [r.asDict() for r in spotsigs.fingerprint_edits(df).collect()]
+        assert Counter(str(r) for r in edits) == Counter(str({k: v for k, v in r.items() if k != "class_id"}) for r in rows)
+        prints = sorted({r["fingerprint"] for r in rows})
+        sets = [{h[j : j + 8] for j in range(0, len(h), 8)} for h in prints]
+        parent = list(range(len(sets)))
+
+        def root(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for i, a in enumerate(sets):
+            for j, b in enumerate(sets[:i]):
+                if len(a & b) / len(a | b) >= spotsigs.THRESHOLD:
+                    parent[root(i)] = root(j)
+        groups = defaultdict(list)
+        for r in rows:
+            groups[root(prints.index(r["fingerprint"]))].append(r)
+        joined += len(sets) - len(groups)
+        for members in groups.values():
+            least = min((r["doc_id"] for r in members if r["doc_id"] is not None), default=None)
+            assert {r["class_id"] for r in members} == {least}
+    assert joined
+    assert "class_id" in queries.QUERIES["op3_spotsigs"](spark, SF_DIR).columns
+
+
 # K-d tree shards
 
 
