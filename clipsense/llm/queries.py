@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +12,10 @@ from pyspark.sql import functions as F
 from clipsense.llm import (
     kd_shards,
     language_id,
+    merkle,
     mixing,
     packing,
+    periodic_runs,
     quality_rules,
     secret_scan,
     simhash,
@@ -71,6 +75,43 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of the documents, and a check of them after some have lost their capitals."""
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0, lowered).otherwise(F.col("text"))
+    return merkle.manifest(documents(spark, sf_dir), present={"text": tampered})
+
+
+def repeated(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words with a period from some place on, in one of ten documents, as the id's checksum says."""
+    if doc_id is None or not words:
+        return words
+    crc = zlib.crc32(str(doc_id).encode())
+    g, n = crc // 10, len(words)
+    if crc % 10:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(documents(spark, sf_dir), edit=repeated)
+    first = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("longest", first).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("longest.start").alias("start"),
+        (-F.col("longest.less")).alias("length"),
+        F.col("longest.period").alias("period"),
+        F.floor(-1000 * F.col("longest.less") / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(text.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mixing": op2_mixing,
@@ -82,6 +123,8 @@ QUERIES: dict[str, Query] = {
     "op8_token_counts": op8_token_counts,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
