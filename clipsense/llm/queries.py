@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipsense.llm import (
+    html_extraction,
     kd_shards,
     language_id,
     merkle,
@@ -112,6 +113,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_mixing": op2_mixing,
@@ -125,6 +130,7 @@ QUERIES: dict[str, Query] = {
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_html_extraction": op13_html_extraction,
 }
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
@@ -169,4 +175,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND (kept_share >= {rules.LEAST_KEPT}::DOUBLE OR lost_words <= {rules.FEW_WORDS}) AS kept, n_lines, n_failed_lines, kept_share, sha256(cleaned) AS cleaned_sha256 FROM s"""
 
 
-ORACLES: dict[str, str] = {"op1_substring_dedup": _op1_sql(), "op5_quality_rules": _op5_sql()}
+def _forest_sql(name: str, leaves: str) -> str:
+    """``name``_n: nodes by tree, level and place over the leaves (k, i, d); ``name``_p: each leaf's siblings by level."""
+    return f"""{name}_n AS (SELECT k, 0 AS l, i, d, count(*) OVER (PARTITION BY k) AS c FROM {leaves}
+  UNION ALL SELECT k, l, i, d, count(*) OVER (PARTITION BY k) FROM
+    (SELECT k, l + 1 AS l, i // {merkle.FANOUT} AS i, sha256(string_agg(d, '' ORDER BY i)) AS d FROM {name}_n WHERE c > 1 GROUP BY k, l, i // {merkle.FANOUT})),
+{name}_a AS (SELECT k, i AS leaf, 0 AS l, i FROM {name}_n WHERE l = 0
+  UNION ALL SELECT a.k, leaf, a.l + 1, a.i // {merkle.FANOUT} FROM {name}_a a JOIN (SELECT k, max(l) AS top FROM {name}_n GROUP BY k) t ON a.k = t.k AND a.l < top),
+{name}_s AS (SELECT a.k, a.leaf, a.l, coalesce(string_agg(n.d, '' ORDER BY n.i) FILTER (n.i < a.i), '') AS b, coalesce(string_agg(n.d, '' ORDER BY n.i) FILTER (n.i > a.i), '') AS a
+  FROM {name}_a a JOIN {name}_n n ON a.k = n.k AND a.l = n.l AND n.i // {merkle.FANOUT} = a.i // {merkle.FANOUT} WHERE n.c > 1 GROUP BY a.k, a.leaf, a.l),
+{name}_p AS (SELECT k, leaf AS i, list({{'b': b, 'a': a}} ORDER BY l) AS path FROM {name}_s GROUP BY k, leaf)"""
+
+
+def _op11_sql() -> str:
+    def hashed(text: str) -> str:
+        values = [text if c == "text" else f"CAST({c} AS VARCHAR)" for c in merkle.COLUMNS]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+    crc = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x)::BIGINT)),
+  lambda c, x: list_reduce([xor(c, x), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END)))"""
+    lowered = f"translate(text, '{ascii_uppercase}', '{ascii_lowercase}')"
+    return f"""WITH RECURSIVE d AS (SELECT doc_id, coalesce('v' || lang, 'n') AS k, {hashed('text')} AS d,
+  {hashed(f"CASE WHEN {crc} % 3 = 0 THEN {lowered} ELSE text END")} AS shown FROM documents),
+f AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, d) - 1 AS i FROM d),
+{_forest_sql('low', 'f')},
+r AS (SELECT k, d FROM low_n WHERE c = 1),
+g AS (SELECT '' AS k, row_number() OVER (ORDER BY k) - 1 AS i, k AS tree, d FROM r),
+{_forest_sql('top', 'g')},
+e AS (SELECT f.doc_id, f.d AS leaf, g.d AS subroot, (SELECT d FROM top_n WHERE c = 1) AS root, shown, list_concat(coalesce(low_p.path, []), coalesce(top_p.path, [])) AS path
+  FROM f JOIN g ON g.tree = f.k LEFT JOIN low_p ON low_p.k = f.k AND low_p.i = f.i LEFT JOIN top_p ON top_p.i = g.i),
+h AS (SELECT *, list_reduce(list_prepend({{'b': shown, 'a': ''}}, path), lambda x, y: {{'b': sha256(y.b || x.b || y.a), 'a': ''}}).b AS folded_root FROM e)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(path, lambda x: x.b || x.a), '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM h"""
+
+
+ORACLES: dict[str, str] = {
+    "op1_substring_dedup": _op1_sql(),
+    "op5_quality_rules": _op5_sql(),
+    "op11_merkle_manifest": _op11_sql(),
+}
