@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 from clipsense import fixed_values as V
 from clipsense.functions.rules import hash_fraction
 from clipsense.ml.ids import id_index, indexed
+from clipsense.operators.blocks import arrange, top_products
 from clipsense.operators.serving import first_tier
-from clipsense.session import scratch_path
+from clipsense.session import scratch_path, staged
+
+#: Items of a block that a user meets as a whole or not at all.
+ITEM_BLOCK = 512
 
 
 def split(df: DataFrame, *keys: str, share: float = V.SPLIT_SHARE, seed: int = V.SEED) -> tuple[DataFrame, DataFrame]:
@@ -28,19 +32,29 @@ class Recommender:
     def __init__(self, model: ALSModel, users: DataFrame, videos: DataFrame):
         self.model, self.users, self.videos = model, users, videos
 
-    def _flat(self, recs: DataFrame) -> DataFrame:
-        rows = recs.select("user_idx", F.posexplode("recommendations").alias("pos", "rec")).select(
-            "user_idx", "rec.video_idx", F.col("rec.rating").cast("double").alias("score"), (F.col("pos") + 1).alias("rank")
-        )
+    def _lists(self, users: DataFrame, n: int, counts: list[int] | None) -> DataFrame:
+        """The n items with the largest scores, for the given rows of user factors.
+
+        Items lie in blocks by the length of their factors and their largest
+        ones; a user meets a block only if its bound reaches the user's n-th
+        score. Scores have the precision of the factors, and ids break ties.
+        """
+        rank = self.model.rank
+        places = F.sequence(F.lit(0), F.lit(rank - 1)).alias("index")
+        of = lambda factors: staged(factors.select("id", places, F.col("features").alias("value")))
+        offers = arrange(of(self.model.itemFactors), ITEM_BLOCK, features=rank)
+        best = top_products(of(users), offers, n, positive=False, apart=False, single=True, counts=counts)
+        rows = best.select(F.col("left").alias("user_idx"), F.col("right").alias("video_idx"), F.col("product").alias("score"), "rank")
         return indexed_back(rows, self.users, self.videos)
 
-    def for_all(self, n: int = 20) -> DataFrame:
-        return self._flat(self.model.recommendForAllUsers(n))
+    def for_all(self, n: int = 20, counts: list[int] | None = None) -> DataFrame:
+        """Top n for every user; ``counts`` takes how often a user met a block in each round."""
+        return self._lists(self.model.userFactors, n, counts)
 
     def for_users(self, users: DataFrame, n: int = 20) -> DataFrame:
         """Top n for the given users that are known to the model."""
-        known = users.select("user_id").join(self.users, "user_id")
-        return self._flat(self.model.recommendForUserSubset(known.select("user_idx"), n))
+        known = users.select("user_id").distinct().join(self.users, "user_id").select(F.col("user_idx").alias("id"))
+        return self._lists(self.model.userFactors.join(known, "id"), n, None)
 
     def predictions(self, rows: DataFrame) -> DataFrame:
         return self.model.transform(indexed(rows, self.users, self.videos))
@@ -58,6 +72,21 @@ class Recommender:
             .select("entity", F.col("feature").cast("string").alias("feature"), F.col("value").cast("double").alias("value"))
         )
 
+    def item_vectors(self) -> DataFrame:
+        """id, index and value of the items' factors at length one; factors of nothing but zeros are left out."""
+        values = F.transform("features", lambda x: x.cast("double"))
+        length = F.sqrt(F.aggregate(values, F.lit(0.0), lambda total, x: total + x * x))
+        return (
+            self.model.itemFactors.withColumnRenamed("id", "video_idx")
+            .join(self.videos, "video_idx")
+            .withColumn("length", length)
+            .filter("length > 0")
+            .select(
+                F.col("video_id").alias("id"), F.sequence(F.lit(0), F.lit(self.model.rank - 1)).alias("index"),
+                F.transform(values, lambda x: x / F.col("length")).alias("value"),
+            )
+        )
+
     def save(self, path: str) -> None:
         self.model.write().overwrite().save(f"{path}/als")
         self.users.write.mode("overwrite").parquet(f"{path}/users")

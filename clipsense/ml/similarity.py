@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clipsense import fixed_values as V
-from clipsense.ml.als import Recommender
+from clipsense.ml.als import ITEM_BLOCK, Recommender
+from clipsense.operators.blocks import arrange, top_products
 from clipsense.operators.items import item_user_weights
 from clipsense.operators.neighbours import exclude_seen
-from clipsense.operators.pairs import HOLDER_LIMIT, similar_pairs, top_partners, unit_cells
+from clipsense.operators.pairs import HOLDER_LIMIT, similar_pairs, unit_cells
 from clipsense.operators.ranking import top_per_key
+from clipsense.session import staged
 
 
 def item_cosine(interactions: DataFrame, threshold: float = V.COSINE_THRESHOLD, limit: int = HOLDER_LIMIT) -> DataFrame:
@@ -23,12 +25,15 @@ def item_cosine(interactions: DataFrame, threshold: float = V.COSINE_THRESHOLD,
     )
 
 
-def item_factor_similarity(recommender: Recommender, k: int = 10, limit: int = HOLDER_LIMIT) -> DataFrame:
-    """The k items with the closest factors, by cosine. Factors are non-negative."""
-    cells = unit_cells(recommender.item_factors().filter("value > 0"))
-    return top_partners(cells, k, limit).select(
-        F.col("left").alias("video_id"), F.col("right").alias("similar_id"),
-        F.col("product").alias("cosine"), "rank",
+def item_factor_similarity(recommender: Recommender, k: int = 10, limit: int = ITEM_BLOCK, counts: list[int] | None = None) -> DataFrame:
+    """The k items with the closest factors, by cosine; exact.
+
+    Items meet the blocks of ``limit`` like items in falling order of their bounds,
+    until no block can hold a closer one. ``counts`` takes how often an item met a block.
+    """
+    items = staged(recommender.item_vectors())
+    return top_products(items, arrange(items, limit, features=recommender.model.rank), k, counts=counts).select(
+        F.col("left").alias("video_id"), F.col("right").alias("similar_id"), F.col("product").alias("cosine"), "rank",
     )
 
 

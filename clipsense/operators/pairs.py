@@ -2,32 +2,51 @@
 
 ``cells`` holds (entity, feature, value), one row per cell. The product of two
 entities is the sum over their common features of value times value. Joining
-the cells with themselves on the feature costs the square of a feature's
-holders, so it is only done for features with at most ``limit`` holders; that
-bounds the join at ``limit`` output rows per cell whatever the skew.
-
-The few features beyond the limit are multiplied block by block: holders are
-hashed into blocks, each feature's cells become one array per block, and each
-block is sent to all blocks of the other side. A task adds up a small matrix
-for its pair of blocks and returns only the cells asked for, so the pairs of a
-hot feature never become rows, and no shuffle key is the feature itself.
+all cells with themselves on the feature makes the square of each feature's
+holders, most of it for pairs that nobody asks for. So features are put in
+order, the common ones first, and an entity's cells from that end are *left out
+of the join* as long as all of them together cannot give what a pair needs:
+
+* ``similar_pairs``: while their length is below the threshold. Two entities that
+  reach it share a cell that both have in the join (their rarest common one).
+* ``top_partners``: while the sum of value times the feature's largest value is
+  below the entity's k-th product by its rarest features alone. A better
+  partner shares a cell that the entity has in the join.
+
+Pairs that meet are summed up, and those whose sum and whatever the cells left
+out could add stay below what is needed are dropped; only the others look up
+those cells, cell by cell, starting from the entity that has fewer.
+
+A feature that still has more than ``limit`` holders is *heavy*: it is never
+joined. Entities with heavy cells are laid out in blocks of like ones, and
+blocks meet only where their largest values say that it matters
+(``operators/blocks.py``). No shuffle key is a heavy feature, and no array holds
+more than an entity's heavy cells.
+
+The order has one step for each power of two of holders, so that an entity's
+running sums are some forty rows, whatever the entity holds.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clipsense.operators.blocks import arrange, products_from, top_products
 from clipsense.operators.ranking import top_per_key
 from clipsense.session import staged
 
 HOLDER_LIMIT = 2_000
 BLOCK_ENTITIES = 2_048
+#: Features with so few holders give the first lists of ``top_partners``.
+RARE_HOLDERS = 32
 BROADCAST_ROWS = 100_000
 PAIRS_AT_LEAST = 100_000  # per task, below the usual number of tasks
 PAIRS_AT_MOST = 4_000_000  # per task, above it
+#: Steps of heavy features come before all others.
+HEAVY_STEP = 1_000
+#: Bounds give way by so much, against rounding.
+MARGIN = 1e-9
 
 _VECTOR = "array<struct<feature:string,value:double>>"
 
@@ -82,183 +101,229 @@ def both_ways(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.inline(ends), "product")
 
 
-def add_heavy(pairs: DataFrame, heavy_vectors: DataFrame) -> DataFrame:
-    """Complete the products of given pairs by their heavy features."""
-    left = heavy_vectors.select(F.col("entity").alias("left"), F.col("vector").alias("left_vector"))
-    right = heavy_vectors.select(
-        F.col("entity").alias("right"), F.map_from_entries("vector").alias("right_map")
-    )
-    extra = F.aggregate(
-        "left_vector",
-        F.lit(0.0),
-        lambda total, cell: total
-        + cell["value"] * F.coalesce(F.try_element_at("right_map", cell["feature"]), F.lit(0.0)),
-    )
-    return (
-        pairs.join(left, "left", "left")
-        .join(right, "right", "left")
-        .select("left", "right", (F.col("product") + F.coalesce(extra, F.lit(0.0))).alias("product"))
-    )
-
+def graded(cells: DataFrame, limit: int) -> DataFrame:
+    """Add ``step``, higher for features with more holders, ``heavy`` and ``most``, the feature's largest value. Staged.
 
-def _chunks(rows: DataFrame, blocks: int, side: str) -> DataFrame:
-    """One row per block and feature: the ids that hold it, and their values."""
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).alias(f"{side}_block")
-    return (
-        rows.select(block, "id", F.explode("vector").alias("cell"))
-        .groupBy(f"{side}_block", F.col("cell.feature").alias("feature"))
-        .agg(
-            F.collect_list("id").alias(f"{side}_ids"),
-            F.collect_list("cell.value").alias(f"{side}_values"),
-        )
+    Heavy features are a short list and reach the cells by broadcast; the others
+    have at most ``limit`` cells each, so none is a hot key.
+    """
+    features = staged(cells.groupBy("feature").agg(F.count("*").alias("n"), F.max(F.abs("value")).alias("most")))
+    heavy = F.col("n") > limit
+    told = features.select("feature", "most", heavy.alias("heavy"), (F.floor(F.log2("n")) + F.when(heavy, HEAVY_STEP).otherwise(0)).alias("step"))
+    hot = told.filter("heavy")
+    n_hot = hot.count()
+    if not n_hot:
+        return staged(cells.join(told, "feature"))
+    hot = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
+    light = cells.join(hot.select("feature"), "feature", "left_anti").join(told.filter("NOT heavy"), "feature")
+    return staged(light.unionByName(cells.join(hot, "feature")))
+
+
+def left_out(cells: DataFrame, share: Column, needed: Column) -> DataFrame:
+    """entity, ``cut``, ``outside`` and ``fewer``: what an entity leaves out of the join.
+
+    From the highest step down, the shares of an entity's cells are summed up;
+    those above ``cut`` stay below ``needed`` together, ``outside`` is their sum, and
+    ``fewer`` their number. ``cells`` has a row for each cell, with what ``needed`` reads.
+    """
+    steps = cells.groupBy("entity", "step").agg(F.sum(share).alias("share"), F.count("*").alias("n"), F.first(needed).alias("needed"))
+    running = Window.partitionBy("entity").orderBy(F.col("step").desc())
+    so_far = steps.withColumn("total", F.sum("share").over(running)).withColumn("total_n", F.sum("n").over(running))
+    # What is needed gives way, so that rounding leaves too little out rather than too much.
+    out = F.coalesce(F.col("total") < F.col("needed") * (1 - MARGIN) - MARGIN, F.lit(False))
+    return so_far.groupBy("entity").agg(
+        F.coalesce(F.max(F.when(~out, F.col("step"))), F.lit(-1)).alias("cut"),
+        F.coalesce(F.max(F.when(out, F.col("total"))), F.lit(0.0)).alias("outside"),
+        F.coalesce(F.max(F.when(out, F.col("total_n"))), F.lit(0)).alias("fewer"),
     )
 
 
-def _matrix(left: pd.DataFrame, right: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row ids, column ids (both ascending) and products of a pair of blocks."""
-    rows = np.unique(np.concatenate(left["left_ids"].to_list()))
-    columns = np.unique(np.concatenate(right["right_ids"].to_list()))
-    products = np.zeros((len(rows), len(columns)))
-    others = {chunk.feature: chunk for chunk in right.itertuples(index=False)}
-    for chunk in left.itertuples(index=False):
-        other = others.get(chunk.feature)
-        if other is not None:
-            at = np.ix_(np.searchsorted(rows, chunk.left_ids), np.searchsorted(columns, other.right_ids))
-            products[at] += np.outer(chunk.left_values, other.right_values)
-    return rows, columns, products
-
-
-def block_products(left: DataFrame, right: DataFrame, pick, block_entities: int = BLOCK_ENTITIES) -> DataFrame:
-    """Products of (id, vector) rows, reduced by ``pick`` inside each block pair.
+def completed(pairs: DataFrame, cells: DataFrame, missing: Column) -> DataFrame:
+    """Add to the products of pairs (left, right, product, fewer_left, fewer_right and what ``missing`` reads)
+    those of the cells for which ``missing`` holds.
 
-    ``pick(products, rows, columns)`` returns the row and column positions to keep.
-    A group holds the chunks of one block of each side, whatever the features.
+    The cells of the entity with fewer of them are taken, and looked up one by one with the other.
     """
-    left_blocks = -(-left.count() // block_entities) or 1
-    right_blocks = -(-right.count() // block_entities) or 1
-
-    def multiply(left_pdf: pd.DataFrame, right_pdf: pd.DataFrame) -> pd.DataFrame:
-        if left_pdf.empty or right_pdf.empty:
-            return pd.DataFrame({"left": [], "right": [], "product": []})
-        rows, columns, products = _matrix(left_pdf, right_pdf)
-        i, j = pick(products, rows, columns)
-        return pd.DataFrame({"left": rows[i], "right": columns[j], "product": products[i, j]})
-
-    pair = ["left_block", "right_block"]
-    sent = _chunks(left, left_blocks, "left").withColumn("right_block", F.explode(F.sequence(F.lit(0), F.lit(right_blocks - 1)).cast("array<bigint>")))
-    met = _chunks(right, right_blocks, "right").withColumn("left_block", F.explode(F.sequence(F.lit(0), F.lit(left_blocks - 1)).cast("array<bigint>")))
-    return sent.groupBy(*pair).cogroup(met.groupBy(*pair)).applyInPandas(multiply, "left string, right string, product double")
-
-
-def best_per_row(k: int):
-    """Keep the k largest positive products of each row; ids break ties."""
-
-    def pick(products: np.ndarray, rows: np.ndarray, columns: np.ndarray):
-        order = np.argsort(-products, axis=1, kind="stable")[:, :k]
-        i = np.repeat(np.arange(len(rows)), order.shape[1])
-        j = order.ravel()
-        kept = products[i, j] > 0
-        return i[kept], j[kept]
-
-    return pick
-
-
-def at_least(threshold: float):
-    """Keep products from the threshold on, each unordered pair once."""
+    from_left = F.col("fewer_left") <= F.col("fewer_right")
+    asked = pairs.withColumn("few", F.when(from_left, F.col("left")).otherwise(F.col("right"))).withColumn(
+        "many", F.when(from_left, F.col("right")).otherwise(F.col("left"))
+    )
+    own = cells.select(F.col("entity").alias("few"), "feature", "value", "step", "loose")
+    other = cells.select(F.col("entity").alias("many"), "feature", F.col("value").alias("other"))
+    extra = (
+        asked.join(own, "few").filter(missing).select("left", "right", "many", "feature", "value")
+        .join(other, ["many", "feature"])
+        .groupBy("left", "right").agg(F.sum(F.col("value") * F.col("other")).alias("extra"))
+    )
+    return pairs.join(extra, ["left", "right"], "left").select("left", "right", (F.col("product") + F.coalesce("extra", F.lit(0.0))).alias("product"))
 
-    def pick(products: np.ndarray, rows: np.ndarray, columns: np.ndarray):
-        i, j = np.nonzero(products >= threshold)
-        once = rows[i] < columns[j]
-        return i[once], j[once]
 
-    return pick
+def numbered_vectors(cells: DataFrame, extra: DataFrame | None = None) -> DataFrame:
+    """id, index and value of every entity, features as numbers; ``extra`` adds columns by entity. Staged."""
+    names = staged(cells.select("feature").distinct())
+    one = names.coalesce(1) if names.count() <= BROADCAST_ROWS else names
+    numbers = staged(one.withColumn("number", F.monotonically_increasing_id()))
+    numbers = F.broadcast(numbers) if one is not names else numbers
+    items = F.array_sort(F.collect_list(F.struct("number", "value")))
+    rows = cells.join(numbers, "feature").groupBy(F.col("entity").alias("id")).agg(items.alias("items"))
+    rows = rows.select("id", F.col("items.number").alias("index"), F.col("items.value").alias("value"))
+    return staged(rows if extra is None else rows.join(extra.withColumnRenamed("entity", "id"), "id"))
 
 
 def _unsettled(found: DataFrame, heavy: DataFrame, k: int) -> DataFrame:
-    """Entities whose k best so far a partner by heavy features could still enter.
+    """Entities whose k best so far a partner by heavy features could still enter, with their ``kth`` product.
 
     No such partner has a larger product than the entity's heavy values times
     the largest value of each heavy feature.
     """
-    most = heavy.groupBy("feature").agg(F.max("value").alias("most"))
-    reach = heavy.join(most, "feature").groupBy("entity").agg(F.sum(F.col("value") * F.col("most")).alias("reach"))
+    cells = heavy.select("entity", "feature", "value")
+    most = cells.groupBy("feature").agg(F.max("value").alias("most"))
+    reach = cells.join(most, "feature").groupBy("entity").agg(F.sum(F.col("value") * F.col("most")).alias("reach"))
     kth = found.filter(F.col("rank") == k).select(F.col("left").alias("entity"), F.col("product").alias("kth"))
-    open_ended = F.col("kth").isNull() | (F.col("kth") <= F.col("reach") + 1e-9)
-    return reach.join(kth, "entity", "left").filter(open_ended).select("entity")
+    open_ended = F.col("kth").isNull() | (F.col("kth") <= F.col("reach") + MARGIN)
+    return reach.join(kth, "entity", "left").filter(open_ended).select("entity", "kth")
 
 
-def _heavy_partners(known: DataFrame, unsettled: DataFrame, k: int, block_entities: int) -> DataFrame:
+def _heavy_partners(heavy: DataFrame, unsettled: DataFrame, k: int, block_entities: int, counts: list[int] | None) -> DataFrame:
     """k best partners by heavy features alone, for the unsettled entities.
 
     Entities with equal vectors have equal products with everybody. Of each
     such group only the k + 1 smallest ids can be among anyone's k best (one
-    may be the entity itself), and one member can ask for all of them.
+    may be the entity itself), and one member can ask for all of them; it asks
+    for what the least of their k-th products lets in.
     """
-    grouped = known.withColumn("kind", F.sha2(F.to_json("vector"), 256))
-    members = grouped.join(unsettled, "entity", "left_semi").select(F.col("entity").alias("left"), "kind")
-    front = staged(top_per_key(grouped, "kind", ["entity"], k + 1, "place"))
-    first = front.filter("place = 1").join(members.select("kind").distinct(), "kind", "left_semi")
-    askers = staged(first.select(F.col("kind").alias("id"), "vector"))
-    offers = front.select(F.col("entity").alias("id"), "vector")
-    found = block_products(askers, offers, best_per_row(k + 1), block_entities)
-    order = [F.col("product").desc(), F.col("right")]
-    best = top_per_key(found, "left", order, k + 1, "place").select(F.col("left").alias("kind"), "right", "product")
+    known = numbered_vectors(heavy).withColumn("kind", F.sha2(F.to_json(F.struct("index", "value")), 256))
+    members = known.join(unsettled.withColumnRenamed("entity", "id"), "id").select(F.col("id").alias("left"), "kind", "kth")
+    front = staged(top_per_key(known, "kind", ["id"], k + 1, "place"))
+    floors = members.groupBy("kind").agg(F.when(F.count_if(F.col("kth").isNull()) == 0, F.min("kth")).alias("floor"))
+    askers = staged(front.filter("place = 1").join(floors, "kind").select(F.col("kind").alias("id"), "index", "value", "floor"))
+    offers = arrange(staged(front.select("id", "index", "value")), block_entities)
+    best = top_products(askers, offers, k + 1, apart=False, counts=counts).select(F.col("left").alias("kind"), "right", "product")
     return members.join(best, "kind").filter(F.col("left") != F.col("right")).select("left", "right", "product")
 
 
-def top_partners(cells: DataFrame, k: int, limit: int = HOLDER_LIMIT, block_entities: int = BLOCK_ENTITIES) -> DataFrame:
+def top_partners(
+    cells: DataFrame, k: int, limit: int = HOLDER_LIMIT, block_entities: int = BLOCK_ENTITIES, counts: list[int] | None = None
+) -> DataFrame:
     """The k partners with the largest products, per entity. Values are positive.
 
-    A partner that shares a light feature is found with its whole product. One
-    that shares none is among the k best by heavy features alone, or it is
-    not among the k best at all. Where both ways find a partner, the whole
-    product is the larger one.
+    A partner that shares a cell of the entity in the join is found there with
+    its whole product. One that shares none has too small a product, or is
+    among the k best by heavy features alone. Where both ways find a partner,
+    the whole product is the larger one. ``counts`` takes how often an entity
+    met a block in each round.
     """
-    light, heavy, tasks = split_by_holders(cells, limit)
-    pairs = light_products(light, tasks)
+    every = graded(cells, limit)
     order = [F.col("product").desc(), F.col("right")]
-    if heavy is None:
-        return top_per_key(both_ways(pairs), "left", order, k)
-    known = vectors(heavy)
-    found = staged(top_per_key(both_ways(add_heavy(pairs, known)), "left", order, k))
-    more = _heavy_partners(known, _unsettled(found, heavy, k), k, block_entities)
-    every = found.drop("rank").unionByName(more).groupBy("left", "right").agg(F.max("product").alias("product"))
-    return top_per_key(every, "left", order, k)
+    rare, _, tasks = split_by_holders(cells, min(limit, RARE_HOLDERS))
+    # What an entity has with its partners by rare features alone, it has at least.
+    first_lists = top_per_key(both_ways(light_products(rare, tasks)), "left", order, k)
+    floors = staged(first_lists.filter(F.col("rank") == k).select(F.col("left").alias("entity"), F.col("product").alias("floor")))
+    outside = staged(left_out(every.join(floors, "entity", "left"), F.col("value") * F.col("most"), F.col("floor")))
+    heavy = every.filter("heavy")
+    hot = heavy.groupBy("entity").agg(F.sum(F.col("value") * F.col("most")).alias("hot"), F.count("*").alias("n_hot"))
+    sizes = every.groupBy("entity").agg(F.count("*").alias("cells"))
+    asking = outside.join(hot, "entity", "left").join(floors, "entity", "left").select(
+        "entity", "floor", F.least("cut", F.lit(HEAVY_STEP - 1)).alias("cut"),
+        # The highest steps are those of heavy features: all of them are outside, and no fewer than have been left out.
+        F.greatest("outside", F.coalesce("hot", F.lit(0.0))).alias("outside"),
+        F.greatest("fewer", F.coalesce("n_hot", F.lit(0))).alias("fewer"),
+    )
+    light, _, tasks = split_by_holders(cells, limit)
+    placed = light.repartition(tasks, "feature")
+    mine = every.filter("NOT heavy").join(asking.select("entity", "cut"), "entity").filter(F.col("step") <= F.col("cut"))
+    left = mine.select(F.col("entity").alias("left"), "feature", F.col("value").alias("left_value")).repartition(tasks, "feature")
+    right = placed.select(F.col("entity").alias("right"), "feature", F.col("value").alias("right_value"))
+    met = left.join(right, "feature").filter(F.col("left") != F.col("right")).groupBy("left", "right").agg(
+        F.sum(F.col("left_value") * F.col("right_value")).alias("product")
+    )
+    if not asking.filter("fewer > 0").limit(1).count():  # nothing has been left out
+        return top_per_key(met, "left", order, k)
+    needs = F.coalesce("floor", F.lit(0.0)) * (1 - MARGIN) - MARGIN
+    able = staged(
+        met.join(asking.withColumnRenamed("entity", "left").withColumnRenamed("fewer", "fewer_left"), "left")
+        .join(sizes.select(F.col("entity").alias("right"), F.col("cells").alias("fewer_right")), "right")
+        .filter(F.col("product") + F.col("outside") >= needs)
+    )
+    # Of those, only what can still reach the k-th product by what has been summed up.
+    kth = top_per_key(able.select("left", "right", "product"), "left", order, k).filter(F.col("rank") == k).select("left", F.col("product").alias("kth"))
+    open_pairs = able.join(kth, "left", "left").filter(
+        F.col("kth").isNull() | (F.col("product") + F.col("outside") >= F.col("kth") * (1 - MARGIN) - MARGIN)
+    )
+    whole = completed(open_pairs, every.withColumn("loose", F.lit(False)), F.col("step") > F.col("cut"))
+    found = staged(top_per_key(whole, "left", order, k))
+    if not heavy.limit(1).count():
+        return found
+    more = _heavy_partners(heavy, _unsettled(found, heavy, k), k, block_entities, counts)
+    best = found.drop("rank").unionByName(more).groupBy("left", "right").agg(F.max("product").alias("product"))
+    return top_per_key(best, "left", order, k)
 
 
 def all_products(cells: DataFrame, limit: int = HOLDER_LIMIT, block_entities: int = BLOCK_ENTITIES) -> DataFrame:
     """The product of every two entities with a common feature, both ways.
 
     Here the pairs are the result; heavy features still go through the blocks,
-    so no task holds more than its pair of blocks. Values are positive.
+    so no task holds more than its pair of blocks, and blocks without a common
+    feature do not meet. Values are positive.
     """
     light, heavy, tasks = split_by_holders(cells, limit)
     pairs = light_products(light, tasks)
     if heavy is not None:
-        known = vectors(heavy).select(F.col("entity").alias("id"), "vector")
-        more = block_products(known, known, at_least(np.nextafter(0, 1)), block_entities)
+        more = products_from(arrange(numbered_vectors(heavy), block_entities), 0.0)
         pairs = pairs.unionByName(more).groupBy("left", "right").agg(F.sum("product").alias("product"))
     return both_ways(pairs)
 
 
-def similar_pairs(cells: DataFrame, threshold: float, limit: int = HOLDER_LIMIT, block_entities: int = BLOCK_ENTITIES) -> DataFrame:
-    """Every pair of unit-length entities with a product of at least ``threshold``.
+def similar_pairs(
+    cells: DataFrame, threshold: float, limit: int = HOLDER_LIMIT, block_entities: int = BLOCK_ENTITIES, counts: list[int] | None = None
+) -> DataFrame:
+    """Every pair of unit-length entities with a product of at least ``threshold``, left < right.
 
-    By Cauchy-Schwarz, two entities that share heavy features only can reach
-    the threshold only if the heavy part of each is at least that long.
+    ``counts`` takes how often an entity met a block.
     """
-    light, heavy, tasks = split_by_holders(cells, limit)
-    pairs = light_products(light, tasks)
+    # Heavy are the features that many have in the join; that is known when it is known what they leave out.
+    steps = graded(cells, 2**62)
+    square = F.col("value") * F.col("value")
+    outside = staged(left_out(steps, square, F.lit(threshold * threshold)))
+    joined = staged(steps.join(outside.select("entity", "cut"), "entity").filter(F.col("step") <= F.col("cut")).select("entity", "feature", "value"))
+    light, heavy, tasks = split_by_holders(joined, limit)
+    loose = F.lit(False)
+    every = steps.withColumn("loose", loose)
+    ends = outside.withColumn("slack", F.sqrt("outside"))
+    if heavy is not None:
+        hot = heavy.select("feature").distinct().withColumn("loose", F.lit(True))
+        hot = staged(hot)
+        side = F.broadcast(hot) if hot.count() <= BROADCAST_ROWS else hot
+        every = staged(steps.join(side, "feature", "left").withColumn("loose", F.coalesce("loose", F.lit(False))))
+        parts = heavy.groupBy("entity").agg(F.sum(square).alias("hot"), F.count("*").alias("n_hot"))
+        ends = staged(
+            outside.join(parts, "entity", "left").select(
+                "entity", "cut", (F.col("fewer") + F.coalesce("n_hot", F.lit(0))).alias("fewer"),
+                F.sqrt(F.col("outside") + F.coalesce("hot", F.lit(0.0))).alias("slack"),
+            )
+        )
+
+    def told(pairs: DataFrame) -> DataFrame:
+        for side in ("left", "right"):
+            names = {"entity": side, "cut": f"cut_{side}", "slack": f"slack_{side}", "fewer": f"fewer_{side}"}
+            pairs = pairs.join(ends.select(*[F.col(a).alias(b) for a, b in names.items()]), side)
+        return pairs.withColumn("cut", F.least("cut_left", "cut_right"))
+
+    # Common cells that are not in both joins lie outside of the join of the entity with the lower cut.
+    rest = (
+        F.when(F.col("cut_left") == F.col("cut_right"), F.col("slack_left") * F.col("slack_right"))
+        .when(F.col("cut_left") < F.col("cut_right"), F.col("slack_left"))
+        .otherwise(F.col("slack_right"))
+    )
+    able = staged(told(light_products(light, tasks)).filter(F.col("product") + rest >= threshold - MARGIN))
+    found = completed(able, every, (F.col("step") > F.col("cut")) | F.col("loose"))
     if heavy is not None:
-        known = vectors(heavy)
-        pairs = add_heavy(pairs, known)
-        length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda t, c: t + c["value"] * c["value"]))
-        # The margin keeps lengths that rounding puts just below the bound.
-        able = known.filter(length >= threshold - 1e-9).select(F.col("entity").alias("id"), "vector")
-        able = staged(able)
-        found = block_products(able, able, at_least(threshold), block_entities)
-        pairs = pairs.unionByName(found.join(pairs.select("left", "right"), ["left", "right"], "left_anti"))
-    return pairs.filter(F.col("product") >= threshold)
+        slack = outside.select("entity", F.sqrt("outside").alias("slack"))
+        blocks = arrange(numbered_vectors(heavy, slack), block_entities)
+        more = products_from(blocks, threshold, counts).join(able.select("left", "right"), ["left", "right"], "left_anti")
+        counted = F.col("loose") & (F.col("step") <= F.col("cut"))
+        found = found.unionByName(completed(staged(told(more)), every, ~counted))
+    return found.filter(F.col("product") >= threshold)
 
 
 def unit_cells(cells: DataFrame) -> DataFrame:
