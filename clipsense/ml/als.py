@@ -16,7 +16,7 @@ from clipsense.operators.serving import first_tier
 from clipsense.session import scratch_path, staged
 
 #: Items of a block that a user meets as a whole or not at all.
-ITEM_BLOCK = 512
+ITEM_BLOCK = 2_048
 
 
 def split(df: DataFrame, *keys: str, share: float = V.SPLIT_SHARE, seed: int = V.SEED) -> tuple[DataFrame, DataFrame]:
@@ -40,8 +40,7 @@ class Recommender:
         score. Scores have the precision of the factors, and ids break ties.
         """
         rank = self.model.rank
-        places = F.sequence(F.lit(0), F.lit(rank - 1)).alias("index")
-        of = lambda factors: staged(factors.select("id", places, F.col("features").alias("value")))
+        of = lambda factors: staged(factors.select("id", F.col("features").alias("value")))
         offers = arrange(of(self.model.itemFactors), ITEM_BLOCK, features=rank)
         best = top_products(of(users), offers, n, positive=False, apart=False, single=True, counts=counts)
         rows = best.select(F.col("left").alias("user_idx"), F.col("right").alias("video_idx"), F.col("product").alias("score"), "rank")
@@ -73,7 +72,7 @@ class Recommender:
         )
 
     def item_vectors(self) -> DataFrame:
-        """id, index and value of the items' factors at length one; factors of nothing but zeros are left out."""
+        """id and value of the items' factors at length one; factors of nothing but zeros are left out."""
         values = F.transform("features", lambda x: x.cast("double"))
         length = F.sqrt(F.aggregate(values, F.lit(0.0), lambda total, x: total + x * x))
         return (
@@ -82,8 +81,7 @@ class Recommender:
             .withColumn("length", length)
             .filter("length > 0")
             .select(
-                F.col("video_id").alias("id"), F.sequence(F.lit(0), F.lit(self.model.rank - 1)).alias("index"),
-                F.transform(values, lambda x: x / F.col("length")).alias("value"),
+                F.col("video_id").alias("id"), F.transform(values, lambda x: x / F.col("length")).alias("value"),
             )
         )
 

@@ -1,14 +1,14 @@
 """Inner products of vectors, block by block, leaving out blocks that cannot matter.
 
-A vector is (id, index, value): the features it has, and their values. The
-*offers* are laid out in blocks of like vectors: by length first, then by their
+A vector is (id, index, value): the features it has, and their values; without
+the column ``index`` a vector has all features, in order. The *offers* are laid out in blocks of like vectors: by length first, then by their
 largest features. A summary tells of each block the largest absolute value of
 every feature and the greatest length. An *asker* meets a block only if the
 bound from the summary - the sum of its values times the block's largest, or
 length times length - says that a product there can reach what it needs.
 
 ``top_products`` visits the blocks of each asker in falling order of their
-bounds, a few in the first round and four times as many in each that follows,
+bounds, one in the first round and eight times as many in each that follows,
 and stops an asker once the next bound is below its k-th best product so far.
 ``products_from`` visits every block that can hold a product from a threshold on.
 Both are exact: nothing is left out but what cannot be in the result.
@@ -62,18 +62,32 @@ def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Vectors:
-    """The vectors of a table, in coordinates."""
+    """The vectors of a table: a matrix if they have all features, else in coordinates."""
 
     def __init__(self, table: pa.Table | pa.RecordBatch):
-        table = pa.table(table) if isinstance(table, pa.Table) else pa.Table.from_batches([table])
+        table = table if isinstance(table, pa.Table) else pa.Table.from_batches([table])
         self.rows = table.num_rows
-        self.feature, self.row = _lists(table.column("index"))
-        self.value = _lists(table.column("value"))[0].astype(np.float64)
+        values, self.row = _lists(table.column("value"))
+        self.value = values.astype(np.float64)
+        self.dense = "index" not in table.schema.names
+        if self.dense:
+            self.matrix = self.value.reshape(self.rows, -1 if self.rows else 0)
+        else:
+            self.feature = _lists(table.column("index"))[0]
 
     def folded(self, features: int) -> np.ndarray:
         """Rows by folded features: sums of absolute values."""
-        out = np.zeros((self.rows, features))
-        np.add.at(out, (self.row, self.feature % features), np.abs(self.value))
+        if self.dense:
+            return np.abs(self.matrix)
+        out = np.bincount(self.row * features + self.feature % features, np.abs(self.value), self.rows * features)
+        return out.reshape(self.rows, features)
+
+    def most(self, features: int) -> np.ndarray:
+        """The largest absolute value by folded feature."""
+        if self.dense:
+            return np.abs(self.matrix).max(axis=0)
+        out = np.zeros(features)
+        np.maximum.at(out, self.feature % features, np.abs(self.value))
         return out
 
     def lengths(self) -> np.ndarray:
@@ -82,6 +96,8 @@ class Vectors:
 
 def multiply(left: Vectors, right: Vectors) -> np.ndarray:
     """All products, feature by feature that both sides have."""
+    if left.dense:
+        return left.matrix @ right.matrix.T
     out = np.zeros((left.rows, right.rows))
     common = np.intersect1d(left.feature, right.feature)
     for at in range(0, len(common), FEATURES):
@@ -97,6 +113,18 @@ def multiply(left: Vectors, right: Vectors) -> np.ndarray:
     return out
 
 
+def first_k(products: np.ndarray, able: np.ndarray, k: int) -> np.ndarray:
+    """Which of the able products are among the k largest of their row; the first columns break ties."""
+    many = np.flatnonzero(able.sum(axis=1) > k)
+    if len(many):
+        some = np.where(able[many], products[many], -np.inf)
+        kth = np.partition(some, some.shape[1] - k, axis=1)[:, some.shape[1] - k, None]
+        larger, equal = some > kth, some == kth
+        room = k - larger.sum(axis=1, keepdims=True)
+        able[many] = larger | (equal & (np.cumsum(equal, axis=1) <= room))
+    return able
+
+
 @dataclass
 class Summary:
     """Of each block: its number, largest values by folded feature, greatest length and slack."""
@@ -114,7 +142,7 @@ class Summary:
 
 @dataclass
 class Blocks:
-    """Offers in blocks (block, id, index, value, slack) with their summary."""
+    """Offers in blocks (block, id, maybe index, value, slack) with their summary."""
 
     rows: DataFrame
     summary: Summary
@@ -125,28 +153,27 @@ class Blocks:
 
 
 def arrange(vectors: DataFrame, block_rows: int = BLOCK_ROWS, features: int = SUMMARY_FEATURES) -> Blocks:
-    """Lay out staged vectors (id, index, value and maybe slack) in blocks of like ones."""
+    """Lay out staged vectors (id, maybe index, value, maybe slack) in blocks of like ones; dense ones have ``features``."""
     if "slack" not in vectors.columns:
         vectors = vectors.withColumn("slack", F.lit(0.0))
     n = vectors.count()
     blocks = max(1, min(-(-n // block_rows), SUMMARY_CELLS // features))
     length = F.sqrt(F.aggregate("value", F.lit(0.0), lambda total, x: total + x.cast("double") * x.cast("double")))
-    by_value = F.array_sort(F.zip_with("index", "value", lambda i, x: F.struct((-F.abs(x)).alias("less"), i.cast("bigint").alias("feature"))))
+    index = F.col("index") if "index" in vectors.columns else F.sequence(F.lit(0), F.size("value") - 1)
+    by_value = F.array_sort(F.zip_with(index, "value", lambda i, x: F.struct((-F.abs(x)).alias("less"), i.cast("bigint").alias("feature"))))
     leading = F.transform(F.slice(by_value, 1, LEADING), lambda c: c["feature"])
     dealt = (
         vectors.withColumn("_band", -F.floor(2 * F.log2(F.greatest(length, F.lit(1e-30)))))
         .withColumn("_leading", leading)
         .repartitionByRange(blocks, "_band", "_leading", "id")
-        .select(F.spark_partition_id().cast("bigint").alias("block"), "id", "index", "value", "slack")
+        .select(F.spark_partition_id().cast("bigint").alias("block"), *[c for c in ("id", "index", "value", "slack") if c in vectors.columns])
     )
     rows = staged(dealt)
 
     def summed(table: pa.Table) -> pa.Table:
         vectors = Vectors(table)
-        most = np.zeros(features)
-        np.maximum.at(most, vectors.feature % features, np.abs(vectors.value))
         return pa.table({
-            "block": table.column("block").slice(0, 1), "most": pa.array([most]),
+            "block": table.column("block").slice(0, 1), "most": pa.array([vectors.most(features)]),
             "length": [float(vectors.lengths().max())], "slack": [max(table.column("slack").to_pylist())],
         })
 
@@ -209,7 +236,7 @@ def top_products(
     askers: DataFrame, offers: Blocks, k: int, positive: bool = True, apart: bool = True, single: bool = False,
     counts: list[int] | None = None,
 ) -> DataFrame:
-    """left, right, product and rank: the k largest products of every asker (id, index, value, maybe floor).
+    """left, right, product and rank: the k largest products of every asker (id, maybe index, value, maybe floor).
 
     Products below an asker's ``floor`` are not asked for; ``positive`` leaves out
     those that are not, ``apart`` those of an id with itself. Ids break ties.
@@ -217,7 +244,7 @@ def top_products(
     """
     if "floor" not in askers.columns:
         askers = askers.withColumn("floor", F.lit(None).cast("double"))
-    askers = askers.select("id", "index", "value", "floor")
+    askers = askers.select(*[c for c in ("id", "index", "value", "floor") if c in askers.columns])
 
     margin = SINGLE_MARGIN if single else MARGIN
 
@@ -234,21 +261,18 @@ def top_products(
         return choose
 
     def pick(products, part, block):
-        if apart:
-            own = pc.index_in(part.column("id"), block.column("id").combine_chunks()).to_numpy(zero_copy_only=False)
-            has = np.flatnonzero(~np.isnan(own.astype(float)))
-            products[has, own[has].astype(int)] = -np.inf
-        products[products < _floors(part, margin)[:, None]] = -np.inf
+        able = products >= _floors(part, margin)[:, None]
         if positive:
-            products[products <= 0] = -np.inf
-        order = np.argsort(-products, axis=1, kind="stable")[:, :k]  # the block is in order of ids
-        i, j = np.repeat(np.arange(len(products)), order.shape[1]), order.ravel()
-        kept = products[i, j] > -np.inf
-        return i[kept], j[kept]
+            able &= products > 0
+        if apart:
+            own = pc.index_in(part.column("id"), block.column("id").combine_chunks()).fill_null(-1).to_numpy()
+            able[np.flatnonzero(own >= 0), own[own >= 0]] = False
+        return np.nonzero(first_k(products, able, k))  # the block is in order of ids
 
     order = [F.col("product").desc(), F.col("right")]
-    best, asking, first, step = None, askers, 0, 1
-    while best is None or first < len(offers.summary.blocks):
+    best, asking, first, step, blocks = None, askers, 0, 1, len(offers.summary.blocks)
+    while best is None or first < blocks:
+        step = blocks if blocks - first <= 2 * step else step
         visits = _visits(asking, offers, between(first, first + step))
         met = visits.count()
         if counts is not None:
@@ -259,7 +283,7 @@ def top_products(
             break
         kth = best.filter(F.col("rank") == k).select(F.col("left").alias("id"), F.col("product").alias("kth"))
         asking = askers.join(kth, "id", "left").withColumn("floor", F.greatest("floor", "kth")).drop("kth")
-        first, step = first + step, 4 * step
+        first, step = first + step, 8 * step
     return best
 
 

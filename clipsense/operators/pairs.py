@@ -17,6 +17,9 @@ Pairs that meet are summed up, and those whose sum and whatever the cells left
 out could add stay below what is needed are dropped; only the others look up
 those cells, cell by cell, starting from the entity that has fewer.
 
+Where the whole join has no more than ``PLAIN_PAIRS`` pairs and no heavy feature,
+it is made as it is: leaving cells out then costs more than it saves.
+
 A feature that still has more than ``limit`` holders is *heavy*: it is never
 joined. Entities with heavy cells are laid out in blocks of like ones, and
 blocks meet only where their largest values say that it matters
@@ -43,6 +46,8 @@ RARE_HOLDERS = 32
 BROADCAST_ROWS = 100_000
 PAIRS_AT_LEAST = 100_000  # per task, below the usual number of tasks
 PAIRS_AT_MOST = 4_000_000  # per task, above it
+#: Pairs that are joined as they are.
+PLAIN_PAIRS = 100_000_000
 #: Steps of heavy features come before all others.
 HEAVY_STEP = 1_000
 #: Bounds give way by so much, against rounding.
@@ -52,8 +57,13 @@ _VECTOR = "array<struct<feature:string,value:double>>"
 
 
 def split_by_holders(cells: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None, int]:
+    """``split_and_count`` without the number of pairs."""
+    return split_and_count(cells, limit)[:3]
+
+
+def split_and_count(cells: DataFrame, limit: int) -> tuple[DataFrame, DataFrame | None, int, int]:
     """Cells of features within the limit, cells beyond it (or None), and the
-    number of tasks for joining the former with themselves.
+    number of tasks and pairs of joining the former with themselves.
 
     That number follows the pairs to come, not the size of the cells: a small
     table can have very many pairs. Features beyond the limit are counted
@@ -68,10 +78,10 @@ def split_by_holders(cells: DataFrame, limit: int) -> tuple[DataFrame, DataFrame
     usual = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(1, min(usual, sizes["pairs"] // PAIRS_AT_LEAST), sizes["pairs"] // PAIRS_AT_MOST)
     if sizes["heavy"] == 0:
-        return cells, None, tasks
+        return cells, None, tasks, sizes["pairs"]
     names = staged(holders.filter(heavy).select("feature"))
     side = F.broadcast(names) if sizes["heavy"] <= BROADCAST_ROWS else names
-    return cells.join(side, "feature", "left_anti"), cells.join(side, "feature", "left_semi"), tasks
+    return cells.join(side, "feature", "left_anti"), cells.join(side, "feature", "left_semi"), tasks, sizes["pairs"]
 
 
 def vectors(cells: DataFrame) -> DataFrame:
@@ -213,11 +223,14 @@ def top_partners(
     the whole product is the larger one. ``counts`` takes how often an entity
     met a block in each round.
     """
-    every = graded(cells, limit)
     order = [F.col("product").desc(), F.col("right")]
-    rare, _, tasks = split_by_holders(cells, min(limit, RARE_HOLDERS))
+    light, hot, tasks, n_pairs = split_and_count(cells, limit)
+    if hot is None and n_pairs <= PLAIN_PAIRS:
+        return top_per_key(both_ways(light_products(light, tasks)), "left", order, k)
+    every = graded(cells, limit)
+    rare, _, few_tasks = split_by_holders(cells, min(limit, RARE_HOLDERS))
     # What an entity has with its partners by rare features alone, it has at least.
-    first_lists = top_per_key(both_ways(light_products(rare, tasks)), "left", order, k)
+    first_lists = top_per_key(both_ways(light_products(rare, few_tasks)), "left", order, k)
     floors = staged(first_lists.filter(F.col("rank") == k).select(F.col("left").alias("entity"), F.col("product").alias("floor")))
     outside = staged(left_out(every.join(floors, "entity", "left"), F.col("value") * F.col("most"), F.col("floor")))
     heavy = every.filter("heavy")
@@ -229,7 +242,6 @@ def top_partners(
         F.greatest("outside", F.coalesce("hot", F.lit(0.0))).alias("outside"),
         F.greatest("fewer", F.coalesce("n_hot", F.lit(0))).alias("fewer"),
     )
-    light, _, tasks = split_by_holders(cells, limit)
     placed = light.repartition(tasks, "feature")
     mine = every.filter("NOT heavy").join(asking.select("entity", "cut"), "entity").filter(F.col("step") <= F.col("cut"))
     left = mine.select(F.col("entity").alias("left"), "feature", F.col("value").alias("left_value")).repartition(tasks, "feature")
@@ -281,6 +293,9 @@ def similar_pairs(
 
     ``counts`` takes how often an entity met a block.
     """
+    light, hot, tasks, n_pairs = split_and_count(cells, limit)
+    if hot is None and n_pairs <= PLAIN_PAIRS:
+        return light_products(light, tasks).filter(F.col("product") >= threshold)
     # Heavy are the features that many have in the join; that is known when it is known what they leave out.
     steps = graded(cells, 2**62)
     square = F.col("value") * F.col("value")

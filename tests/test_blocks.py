@@ -85,6 +85,15 @@ def test_empty_and_single(spark):
     assert blocks.top_products(one, blocks.arrange(one), 3).count() == 0
 
 
+def test_dense_vectors(spark):
+    """Vectors without an index have all features, and equal products go by id."""
+    dense = np.random.default_rng(8).integers(0, 3, (70, 6)).astype(float)
+    vectors = table(spark, dense + 0.0)
+    rows = staged(spark.createDataFrame([(f"i{k:04}", row.tolist()) for k, row in enumerate(dense)], "id string, value array<float>"))
+    found = told(blocks.top_products(rows, blocks.arrange(rows, 9, features=6), 4))
+    assert found == top_by_hand(dense, 4) == told(blocks.top_products(vectors, blocks.arrange(vectors, 9), 4))
+
+
 def clusters(seed, groups=30, size=40, features=6):
     """Groups of vectors with features of their own, some much longer than others, and two features of everybody."""
     draw = np.random.default_rng(seed)
@@ -166,7 +175,8 @@ def test_common_cells_stay_out_of_the_join(spark):
 
 
 @pytest.mark.parametrize("seed, limit, threshold", [(0, 2, 0.2), (1, 6, 0.6), (2, 1000, 0.6), (3, 6, 0.95)])
-def test_similar_pairs_at_all_limits(spark, seed, limit, threshold):
+def test_similar_pairs_at_all_limits(spark, monkeypatch, seed, limit, threshold):
+    monkeypatch.setattr(pairs, "PLAIN_PAIRS", 0)
     draw = random.Random(seed)
     cells = {(f"e{e:02}", f"f{int(draw.paretovariate(0.6)) % 30}"): draw.choice([-1, 1, 2, 3]) * 1.0 for e in range(50) for _ in range(draw.randint(1, 8))}
     names = sorted({e for e, _ in cells})
@@ -184,6 +194,7 @@ def test_similar_pairs_at_all_limits(spark, seed, limit, threshold):
 @pytest.mark.parametrize("seed, limit, rare", [(0, 2, 1), (1, 6, 4), (2, 40, 32), (3, 1000, 4)])
 def test_partners_at_all_limits(spark, monkeypatch, seed, limit, rare):
     monkeypatch.setattr(pairs, "RARE_HOLDERS", rare)
+    monkeypatch.setattr(pairs, "PLAIN_PAIRS", 0)
     draw = random.Random(seed)
     cells = {(f"e{e:02}", f"f{int(draw.paretovariate(0.6)) % 30}"): float(draw.randint(1, 5)) for e in range(60) for _ in range(draw.randint(1, 8))}
     names, features = sorted({e for e, _ in cells}), sorted({f for _, f in cells})
