@@ -7,6 +7,7 @@ import json
 import random
 import re
 import struct
+import time
 import urllib.parse
 import zlib
 from collections import Counter, defaultdict
@@ -762,3 +763,69 @@ def test_query_agrees_with_sql(spark, name):
     df = queries.QUERIES[name](spark, SF_DIR)
     assert sorted(df.columns) == sorted(names)
     assert sorted(tuple(row[c] for c in sorted(names)) for row in df.collect()) == expected
+
+
+# Secret scan: escapes within escapes, large data
+
+
+def mixed(a, b):
+    """A sign behind a URL escapes and b character references, in every order."""
+    return "%" + "25" * a + "41 &" + "#38;" * b + "#65;"
+
+
+@pytest.mark.parametrize("depth", [9, 30, 3000])
+def test_nested_escapes_end_soon(depth):
+    start = time.time()
+    secret_scan.scan(mixed(depth, depth))
+    chain = "token=abc"
+    for k in range(min(depth, 40)):  # each level escapes one sign of the one before, by turns
+        chain = chain.replace("=", "%3D") if not k else chain.replace("%", "&#37;") if k % 2 else chain.replace("&", "%26")
+    secret_scan.scan(chain + "defgh")
+    assert time.time() - start < 1 + depth / 1000
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_random_nestings_are_unwrapped(seed):
+    """Escapes, base64 and packing in any order, against unwrapping by hand in the reverse order."""
+    draw = random.Random(seed)
+    wraps = {
+        "url": lambda t: "".join(f"%{b:02X}" for b in t.encode()) if len(t) < 4000 else urllib.parse.quote(t, safe=""),
+        "refs": lambda t: "".join(f"&#{ord(c)};" for c in t) if len(t) < 4000 else t.replace("=", "&#61;"),
+        "unicode": lambda t: "".join(f"\\u{ord(c):04x}" for c in t) if len(t) < 4000 else t.replace("=", "\\u003d"),
+        "hex": lambda t: t.replace("%", "\\x25").replace("=", "\\x3d"),
+        "base64": lambda t: base64.b64encode(t.encode()).decode(),
+        "gzip": lambda t: base64.b64encode(gzip.compress(t.encode())).decode(),
+        "zlib": lambda t: base64.b64encode(zlib.compress(t.encode())).decode(),
+    }
+    for _ in range(40):
+        secret = f"x token = abcdef{draw.randint(100, 999)} y"
+        for _ in range(draw.randint(1, 5)):
+            secret = wraps[draw.choice(sorted(wraps))](secret)
+        text = f"before {secret} after"
+        base, added = secret_scan.scan(text)
+        assert any(kind.endswith("assign") for *_, kind in [*base, *added])
+        assert all(7 <= s < e <= len(text) - 6 for s, e, _ in added)
+        clean = secret_scan.redact(text)
+        assert not any(kind.endswith("assign") for *_, kind in secret_scan.scan(clean)[1])
+
+
+def test_many_steps_are_undone_at_once(monkeypatch):
+    monkeypatch.setattr(secret_scan, "MOST_ROUNDS", 2)
+    text = "password: abcdefgh"
+    for k in range(7):
+        text = text.replace(":", "%3A") if not k else text.replace("%", "&#37;") if k % 2 else text.replace("&", "%26")
+    (start, end, kind), = secret_scan.scan(f"é {text} z")[1]
+    assert (start, end) == (2, 2 + len(text)) and kind.endswith("escapes>assign")
+
+
+def test_large_data_are_scanned_in_pieces(monkeypatch):
+    monkeypatch.setattr(secret_scan, "PIECE", 50_000)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 1_000)
+    monkeypatch.setattr(secret_scan, "UNPACKED", 7_000)
+    for at in (0, 49_990, 50_000, 98_000, 99_000, 2_000_000):
+        data = b"-" * at + b" password = hunter2hunter2 " + b"-" * 60_000
+        code = base64.b64encode(gzip.compress(data)).decode()
+        assert secret_scan.scan(f"a {code}")[1] == [(2, 2 + len(code), "base64>gzip>assign")]
+    monkeypatch.setattr(secret_scan, "MOST_BYTES", 300_000)
+    found = secret_scan.scan(f"a {code}")[1]
+    assert [kind for *_, kind in found] == ["base64>gzip>oversized"]
