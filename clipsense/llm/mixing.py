@@ -4,9 +4,12 @@ The words of a source, its documents in a fixed pseudorandom order, are packed
 into blocks of equal length. Targets are shares of all words by weight; none
 exceeds ``MOST_REPEATS`` times what its source has, and what is cut off there
 goes to the others by weight. Each output shard has a fixed number of slots; how
-many of them go to each source is drawn at random, multinomially among the
-slots still owed to the sources, so that all shards together give every source
-exactly the slots of its target. The slots of a source are numbered through all
+many of them go to each source is drawn at random from the slots owed to the sources,
+without putting back (a multinomial draw that all shards together keep to the
+targets: multivariate hypergeometric). The draw goes down a tree: the slots of a
+range of shards are split among its halves, with a seed of that range, so that a
+task finds the counts of its shards by a walk from the root, and no one goes
+through all of them. The slots of a source are numbered through all
 shards, and slot j takes block p(j mod n) of its n blocks, where p is a
 pseudorandom permutation of the source and of the pass j div n: no block is used
 a second time before all were used once. Slots meet blocks by index.
@@ -14,7 +17,7 @@ a second time before all were used once. Slots meet blocks by index.
 Defined cases: a null text has no words, is taken by no slot and keeps its row
 with 0; the null source is a source of its own, the last in order; repeated
 rows are mixed like any others; an empty table gives no rows; further columns
-are ignored. Everything random is a hash or a seeded draw, so reruns agree.
+are ignored. The driver holds one number a source. Everything random is a hash or a seeded draw, so reruns agree.
 """
 
 from __future__ import annotations
@@ -38,6 +41,10 @@ MOST_REPEATS = 3
 BLOCK = 128
 SHARD_SLOTS = 65_536
 SEED = 20_251
+#: Shards whose counts a task walks down to at once.
+RANGE = 64
+#: Fixed value: the library's hypergeometric draws end below it.
+MOST_DRAWN = 10**9
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = MOST_REPEATS) -> DataFrame:
@@ -99,21 +106,52 @@ def _mixed(x: np.ndarray, *salt: int) -> np.ndarray:
     return x
 
 
-def slot_counts(owed: list[int], shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> list[tuple[int, int, int, int]]:
-    """shard, source number, first slot of the source and slots, drawn shard by shard.
+def _drawn(draw: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of n draws without putting back are good.
 
-    Given what is still owed, a shard's draw is multinomial over single slots
-    taken without putting back.
+    Beyond a thousand million, where the library draws no more, by the normal
+    distribution of that mean and variance, within what is possible.
     """
-    draw = np.random.Generator(np.random.PCG64(seed))
-    left, given, rows, shard = np.array(owed, dtype=np.int64), np.zeros(len(owed), dtype=np.int64), [], 0
-    while left.sum():
-        counts = draw.multivariate_hypergeometric(left, min(shard_slots, int(left.sum())), method="marginals")
-        rows += [(shard, int(s), int(given[s]), int(counts[s])) for s in np.flatnonzero(counts)]
-        left -= counts
-        given += counts
-        shard += 1
-    return rows
+    if good + bad < MOST_DRAWN:
+        return int(draw.hypergeometric(good, bad, n))
+    total = good + bad
+    spread = math.sqrt(n * (good / total) * (bad / total) * ((total - n) / (total - 1)))
+    return min(max(round(n * (good / total) + draw.normal() * spread), n - bad, 0), good, n)
+
+
+def _split(owed: np.ndarray, n: int, *salt: int) -> np.ndarray:
+    """What n slots, drawn at random from those owed to the sources, give to each of them."""
+    draw, left = np.random.Generator(np.random.PCG64(list(salt))), int(owed.sum())
+    if left < MOST_DRAWN:
+        return draw.multivariate_hypergeometric(owed, n, method="marginals")
+    out = np.zeros_like(owed)
+    for s, good in enumerate(owed.tolist()):
+        out[s] = _drawn(draw, good, left - good, n)
+        left, n = left - good, n - int(out[s])
+    return out
+
+
+def range_counts(
+    owed: list[int], first: int, last: int, shard_slots: int = SHARD_SLOTS, seed: int = SEED
+) -> Iterator[tuple[int, int, int, int]]:
+    """shard, source number, first slot of the source and slots, for the shards from first to last - 1."""
+    total = sum(owed)
+    work = [(0, -(-total // shard_slots), np.array(owed, dtype=np.int64), np.zeros(len(owed), dtype=np.int64))]
+    while work:
+        a, b, left, given = work.pop()
+        if b <= first or a >= last or a >= b:
+            continue
+        if b - a == 1:
+            yield from ((a, int(s), int(given[s]), int(left[s])) for s in np.flatnonzero(left))
+            continue
+        middle = (a + b) // 2
+        before = _split(left, (middle - a) * shard_slots, seed, a, b)
+        work += [(middle, b, left - before, given + before), (a, middle, before, given)]
+
+
+def slot_counts(owed: list[int], shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> list[tuple[int, int, int, int]]:
+    """``range_counts`` of all shards."""
+    return list(range_counts(owed, 0, -(-sum(owed) // shard_slots), shard_slots, seed))
 
 
 def mix(
@@ -140,7 +178,16 @@ def mix(
         .join(targets.withColumnRenamed("source", "_of"), F.col("source").eqNullSafe(F.col("_of"))).drop("_of")
     )
     owed = [row["slots"] for row in targets.orderBy("n").select("slots").collect()]
-    counts = spark.createDataFrame(slot_counts(owed, shard_slots, seed) or [(0, -1, 0, 0)], "shard long, s long, first_slot long, slots_here long")
+    shards = -(-sum(owed) // shard_slots)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["shard", "s", "first_slot", "slots_here"]
+        for batch in batches:
+            for at in batch.column(0).to_pylist():
+                rows = list(range_counts(owed, at, at + RANGE, shard_slots, seed))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
+
+    counts = spark.range(0, shards, RANGE).mapInArrow(count, "shard long, s long, first_slot long, slots_here long")
     # A row stands for at most ``shard_slots`` slots.
     drawn = counts.join(targets.select((F.col("n") - 1).cast("long").alias("s"), "n", "blocks"), "s").repartition("s", "shard")
 

@@ -4,6 +4,7 @@ import base64
 import gzip
 import hashlib
 import json
+import math
 import random
 import re
 import struct
@@ -829,3 +830,41 @@ def test_large_data_are_scanned_in_pieces(monkeypatch):
     monkeypatch.setattr(secret_scan, "MOST_BYTES", 300_000)
     found = secret_scan.scan(f"a {code}")[1]
     assert [kind for *_, kind in found] == ["base64>gzip>oversized"]
+
+
+# Mixing: draws of any size
+
+
+def test_draws_go_down_a_tree():
+    """Any range of shards has the counts that all shards together have; reruns agree."""
+    owed = [1000, 0, 7, 333, 12_345]
+    every = mixing.slot_counts(owed, 64, 5)
+    shards = -(-sum(owed) // 64)
+    for first, last in [(0, 1), (3, 9), (shards - 2, shards), (0, shards), (shards, shards + 5)]:
+        assert list(mixing.range_counts(owed, first, last, 64, 5)) == [r for r in every if first <= r[0] < last]
+    for s, slots in enumerate(owed):
+        mine = [r for r in every if r[1] == s]
+        assert sum(r[3] for r in mine) == slots
+        assert [r[2] for r in mine] == [sum(r[3] for r in mine[:k]) for k in range(len(mine))]
+    shares = [sum(r[3] for r in every if r[1] == 4 and r[0] % 2 == k) / 12_345 for k in (0, 1)]
+    assert all(abs(share - 0.5) < 0.03 for share in shares)
+
+
+def test_draws_beyond_the_library(monkeypatch):
+    """10 ** 12 slots: exact sums, the tree's parts add up, means and spreads as drawn without putting back."""
+    owed = [6 * 10**11, 3 * 10**11, 10**11 - 5, 0, 5]
+    slots = 65_536
+    shards = -(-sum(owed) // slots)
+    some = list(mixing.range_counts(owed, 10**6, 10**6 + 40, slots))
+    assert [sum(r[3] for r in some if r[0] == shard) for shard in range(10**6, 10**6 + 40)] == [slots] * 40
+    for s, share in enumerate((0.6, 0.3, 0.1)):
+        counts = np.array([r[3] for r in some if r[1] == s])
+        assert abs(counts.mean() - share * slots) < 6 * math.sqrt(share * (1 - share) * slots / 40)
+        assert 0.5 < counts.std() / math.sqrt(share * (1 - share) * slots) < 1.6
+    last = list(mixing.range_counts(owed, shards - 1, shards, slots))
+    assert all(r[2] + r[3] == owed[r[1]] for r in last)
+    assert some == list(mixing.range_counts(owed, 10**6, 10**6 + 40, slots))
+    monkeypatch.setattr(mixing, "MOST_DRAWN", 50)
+    rows = mixing.slot_counts([100, 0, 7, 1000], shard_slots=64)
+    assert [sum(r[3] for r in rows if r[1] == s) for s in range(4)] == [100, 0, 7, 1000]
+    assert all(sum(r[3] for r in rows if r[0] == shard) == 64 for shard in range(1107 // 64))
