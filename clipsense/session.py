@@ -90,12 +90,31 @@ def clean_up(spark: SparkSession) -> bool:
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Deletes a run's shuffle files when it has ended, not when the driver happens to collect garbage.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and go on from the files.
 
     Cuts the lineage like a reliable checkpoint, and survives lost executors.
+    What was shuffled for it is deleted, nothing reads it again.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "staged")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    read = spark.read.schema(df.schema).parquet(path)
+    read.staged_at = path
+    return read
+
+
+def forget(*frames: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in frames:
+        path = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df.staged_at)
+        path.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
