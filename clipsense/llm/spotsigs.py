@@ -11,10 +11,12 @@ coefficient.
 Near duplicates are found among different sets. Sets are put into classes by
 length, so wide that a pair at the threshold lies in one class or in two
 neighbouring ones, and under the rarest of their signatures, as many as such a
-pair cannot do without sharing ``IN_COMMON``. Pairs under keys of few sets are
-listed, and those with enough keys compared. Under a key of many sets, a pair is
-compared unless its lengths already rule it out, or links found before join it;
-such a key is dealt to pairs of blocks, so that no task holds more than two.
+pair cannot do without sharing ``IN_COMMON``. A signature that no second set has
+there goes no further. Pairs under signatures of few sets are listed, if their
+classes are neighbours, and those with enough keys compared. A signature of many
+sets is a key for each class; under it, a pair is compared unless its lengths
+already rule it out, or links found before join it; such a key is dealt to pairs of
+blocks, so that no task holds more than two.
 
 Defined cases: a null text counts as empty; the empty text has the signature of
 the empty text; words are lower-cased and compared without the punctuation
@@ -40,7 +42,7 @@ from pyspark.sql import functions as F
 
 from clipsense.llm.components import components
 from clipsense.llm.texts import SLICE, slices, with_value
-from clipsense.session import staged
+from clipsense.session import forget, staged
 
 #: Common words of English, German, French and Spanish.
 COMMON_WORDS = frozenset(
@@ -160,8 +162,10 @@ def fingerprint_edits(documents: DataFrame) -> DataFrame:
 
 def fingerprint_groups(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The columns of ``fingerprint_edits`` and the class_id of ``near_groups`` for every document."""
-    groups = _classes(documents.select(*_place(), "doc_id", "text"), ["order_id", "text_hash"], threshold)
-    return _with_edits(documents, groups.select("order_id", "text_hash", "class_id").distinct())
+    places, classes = _classes(documents.select(*_place(), "doc_id", "text"), ["order_id", "text_hash"], threshold)
+    groups = staged(places.join(classes, "set_id").select("order_id", "text_hash", "class_id").distinct())
+    forget(places, classes)
+    return _with_edits(documents, groups)
 
 
 def _with_edits(documents: DataFrame, classes: DataFrame | None) -> DataFrame:
@@ -227,23 +231,15 @@ def set_links(sets: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK_
         return signatures.map(lambda s: s[np.lexsort((s, shared.value[s % SLOTS]))][: _prefix(len(s), threshold)])
 
     n = F.size("signatures")
-    keys = staged(
-        sets.select("set_id", n.alias("n"), _class(n, threshold).alias("own_kind"), F.explode(rarest("signatures")).alias("signature"))
-        .withColumn("kind", F.explode(F.array(F.col("own_kind"), F.col("own_kind") + 1)))
-    )
-    at = ["signature", "kind"]
-    sizes = staged(
-        keys.groupBy(*at).agg(
-            F.count("*").alias("size"), F.bit_xor(F.xxhash64("set_id")).alias("one"), F.bit_xor(F.xxhash64("set_id", F.lit(1))).alias("two")
-        ).filter("size > 1")
-    )
+    keys = sets.select("set_id", n.alias("n"), _class(n, threshold).alias("own_kind"), F.explode(rarest("signatures")).alias("signature"))
+    sizes = staged(keys.groupBy("signature").agg(F.count("*").alias("size")).filter("size > 1"))
     few = min(FEW_SETS, block)
     # No list here is longer than FEW_SETS.
-    met = keys.join(sizes.filter(F.col("size") <= few).select(*at), at).groupBy(*at).agg(
+    met = keys.join(sizes.filter(F.col("size") <= few).select("signature"), "signature").groupBy("signature").agg(
         F.collect_list(F.struct("set_id", "n", "own_kind")).alias("held")
     )
-    pairs = met.select("kind", "held", F.explode("held").alias("x")).select("kind", "x", F.explode("held").alias("y")).filter(
-        "x.set_id < y.set_id and kind = greatest(x.own_kind, y.own_kind)"
+    pairs = met.select("held", F.explode("held").alias("x")).select("x", F.explode("held").alias("y")).filter(
+        "x.set_id < y.set_id and abs(x.own_kind - y.own_kind) <= 1"
     ).select(F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b"), F.least("x.n", "y.n").alias("low"), F.greatest("x.n", "y.n").alias("high"))
     # A near pair has so many keys in common; if one of them has many sets, the pair is met below.
     often = pairs.filter(F.col("low") >= F.col("high") * threshold - 1e-9).groupBy("a", "b", "low", "high").agg(
@@ -252,12 +248,20 @@ def set_links(sets: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK_
     one, two = (sets.select(F.col("set_id").alias(x), F.col("signatures").alias(f"{x}_set")) for x in "ab")
     both = F.size(F.array_intersect("a_set", "b_set"))
     near = often.join(one, "a").join(two, "b").filter(both / (F.col("low") + F.col("high") - both) >= threshold).select("a", "b")
+    hot = staged(
+        keys.join(sizes.filter(F.col("size") > few).select("signature"), "signature")
+        .withColumn("kind", F.explode(F.array(F.col("own_kind"), F.col("own_kind") + 1)))
+    )
     # Keys of the same sets are looked at once.
-    many = sizes.filter(F.col("size") > few).groupBy("size", "one", "two").agg(F.min(F.struct(*at)).alias("at")).select("size", "at.*")
+    at = ["signature", "kind"]
+    held = hot.groupBy(*at).agg(
+        F.count("*").alias("size"), F.bit_xor(F.xxhash64("set_id")).alias("one"), F.bit_xor(F.xxhash64("set_id", F.lit(1))).alias("two")
+    ).filter("size > 1")
+    many = held.groupBy("size", "one", "two").agg(F.min(F.struct(*at)).alias("at")).select("size", "at.*")
     blocks = F.ceil(F.col("size") / block).cast("int")
     own = F.pmod(F.xxhash64("set_id"), blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    dealt = keys.join(many, at).select("set_id", "signature", "kind", own.alias("own"), other.alias("other"))
+    dealt = hot.join(many, at).select("set_id", "signature", "kind", own.alias("own"), other.alias("other"))
     placed = dealt.select(
         "set_id", "signature", "kind", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
     ).join(sets, "set_id")
@@ -266,7 +270,7 @@ def set_links(sets: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK_
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for part in slices(batches) for row in zip(*(c.to_pylist() for c in part.columns)))
         for _, group in groupby(rows, key=itemgetter(0, 1, 2, 3)):
-            held = sorted(((len(s), i, np.array(s, dtype="u4")) for *_, i, s in group), key=itemgetter(0, 1))
+            held = sorted(((len(s), i, np.array(s)) for *_, i, s in group), key=itemgetter(0, 1))
             links = spanning_links([s for *_, s in held], threshold)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([held[i][1] for i, _ in links], pa.int64()), pa.array([held[j][1] for _, j in links], pa.int64())], names=["a", "b"]
@@ -305,22 +309,29 @@ def spanning_links(sets: list[np.ndarray], threshold: float) -> list[tuple[int,
 
 def near_groups(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, fingerprint and class_id, the least doc_id that links lead to, for every document."""
-    fingerprint = F.array_join(F.transform("signatures", lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), "")
-    return _classes(documents.select("doc_id", "text"), [], threshold).select("doc_id", fingerprint.alias("fingerprint"), "class_id")
+    prints, labelled = _classes(documents.select("doc_id", "text"), [], threshold)
+    fingerprint = F.array_join(F.transform("signatures", lambda x: F.lpad(F.lower(F.hex(x.cast("bigint").bitwiseAND(2**32 - 1))), 8, "0")), "")
+    return prints.join(labelled, "set_id").select("doc_id", fingerprint.alias("fingerprint"), "class_id")
+
+
+def _classes(documents: DataFrame, keep: list[str], threshold: float) -> tuple[DataFrame, DataFrame]:
+    """set_id and the kept columns of every document, with its signatures if nothing is kept; class_id by set_id."""
 
+    def make():
+        return lambda text: signatures(text or "").view("i4").tolist()
 
-def _classes(documents: DataFrame, keep: list[str], threshold: float) -> DataFrame:
-    """The kept columns, doc_id and class_id of every document, with its signatures if nothing else is kept."""
-    made = with_value(documents, ["text"], lambda: lambda text: signatures(text or "").tolist(), "signatures", "array<bigint>")
-    hashed = made.select(*keep, "doc_id", "signatures", F.xxhash64("signatures").alias("set_id"))
-    prints = staged(hashed)
+    made = with_value(documents, ["text"], make, "signatures", "array<int>")
+    prints = staged(made.select(*keep, "doc_id", "signatures", F.xxhash64("signatures").alias("set_id")))
     sets = staged(prints.groupBy("set_id").agg(F.first("signatures").alias("signatures"), F.min("doc_id").alias("least")))
-    found = staged(components(set_links(sets.select("set_id", "signatures"), threshold), "a", "b"))
+    if keep:  # the signatures are not wanted twice
+        whole, prints = prints, staged(prints.select("set_id", *keep))
+        forget(whole)
+    links = staged(set_links(sets.select("set_id", "signatures"), threshold))
+    found = staged(components(links, "a", "b"))
     labelled = sets.join(found, F.col("set_id") == F.col("node"), "left").select(
         "set_id", "least", F.coalesce("component", "set_id").alias("component")
     )
     ids = labelled.groupBy("component").agg(F.min("least").alias("class_id"))
-    columns = [*keep, "doc_id"] if keep else ["doc_id", "signatures"]
-    return prints.select("set_id", *columns).join(
-        labelled.join(ids, "component").select("set_id", "class_id"), "set_id"
-    ).select(*columns, "class_id")
+    classes = staged(labelled.join(ids, "component").select("set_id", "class_id"))
+    forget(sets, links)
+    return prints, classes
