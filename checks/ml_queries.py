@@ -64,13 +64,21 @@ def als_train(spark, sf):
 
 
 @query("als_rmse", f"""WITH {I.IX}, sp AS (SELECT *, {draw('split42', 'event_id')} < 0.8::DOUBLE AS train FROM ix)
-SELECT count(*) AS rows, true AS plausible FROM sp WHERE NOT train AND user_id IN (SELECT user_id FROM sp WHERE train) AND video_id IN (SELECT video_id FROM sp WHERE train)""")
+SELECT user_id, video_id, count(*) AS rows, true AS from_factors, true AS as_evaluated FROM sp
+WHERE NOT train AND user_id IN (SELECT user_id FROM sp WHERE train) AND video_id IN (SELECT video_id FROM sp WHERE train) GROUP BY 1, 2""")
 def als_rmse(spark, sf):
-    """Test rows with a prediction; the error lies between nothing and that of the largest weight."""
+    """Every test row has the prediction that its factors give, and the error is that of the stored predictions."""
     train, test = _split(spark, sf)
     model = als.train(train.drop("event_id"))
-    rmse = model.rmse(test)
-    return model.predictions(test).agg(F.count("*").alias("rows"), F.lit(0.0 < rmse < 17.0).alias("plausible"))
+    stored = staged(model.predictions(test))
+    mean = stored.agg(F.avg((F.col("prediction") - F.col("weight")) ** 2)).first()[0]
+    as_evaluated = abs(mean**0.5 - model.rmse(test)) < 1e-6
+    users = model.model.userFactors.select(F.col("id").alias("user_idx"), F.col("features").alias("own"))
+    videos = model.model.itemFactors.select(F.col("id").alias("video_idx"), F.col("features").alias("other"))
+    product = F.aggregate(F.zip_with("own", "other", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda total, x: total + x)
+    return stored.join(users, "user_idx").join(videos, "video_idx").groupBy("user_id", "video_id").agg(
+        F.count("*").alias("rows"), F.bool_and(F.abs(product - F.col("prediction")) < 1e-4).alias("from_factors")
+    ).withColumn("as_evaluated", F.lit(as_evaluated))
 
 
 @query("als_cv", f"WITH {I.IX}, pt AS (SELECT unnest(range(0, 27)) AS point) SELECT point, true AS finite, true AS best_is_least, (SELECT count(DISTINCT user_id) FROM ix WHERE event_type <> 'skip') AS users FROM pt")
@@ -141,6 +149,37 @@ um AS (SELECT user_id, sum(hit) / 10.0::DOUBLE AS p, sum(hit) / n_actual::DOUBLE
   sum(hit / log2(rank + 1)) / list_sum(list_transform(range(1, least(n_actual, 10) + 1), lambda i: 1 / log2(i + 1))) AS nd FROM hs GROUP BY user_id, n_actual)"""
 
 
+_METRICS = """WITH sizes AS (SELECT user_id, count(*) AS n_actual FROM {actual} GROUP BY user_id),
+marked AS (SELECT p.user_id, p.rank, s.n_actual, CASE WHEN a.video_id IS NULL THEN 0 ELSE 1 END AS hit FROM {predicted} p JOIN sizes s ON p.user_id = s.user_id
+  LEFT JOIN {actual} a ON p.user_id = a.user_id AND p.video_id = a.video_id WHERE p.rank <= 10),
+running AS (SELECT *, sum(hit) OVER (PARTITION BY user_id ORDER BY rank) AS so_far FROM marked),
+ideal AS (SELECT n, (SELECT sum(1 / log2(i + 1)) FROM (SELECT explode(sequence(1, 10)) AS i) WHERE i <= n) AS best FROM (SELECT explode(sequence(1, 10)) AS n)),
+by_user AS (SELECT user_id, sum(hit) / 10D AS p, sum(hit) / CAST(n_actual AS DOUBLE) AS r, sum(hit * so_far / CAST(rank AS DOUBLE)) / least(n_actual, 10) AS a,
+  sum(hit / log2(rank + 1)) AS gain, least(n_actual, 10) AS n FROM running GROUP BY user_id, n_actual)
+SELECT count(*) AS users, avg(p) AS precision_at_k, avg(r) AS recall_at_k, avg(a) AS map_at_k, avg(gain / best) AS ndcg_at_k FROM by_user JOIN ideal USING (n)"""
+
+
+def _als_for_test_users(spark, sf):
+    train, test = _split(spark, sf)
+    actual = staged(evaluation.actual_items(test))
+    model = als.train(train.drop("event_id"))
+    return actual, staged(model.for_users(actual.select("user_id").distinct(), 10))
+
+
+@query("ranking_eval_als", f"""WITH {I.IX}, sp AS (SELECT *, {draw('split42', 'event_id')} < 0.8::DOUBLE AS train FROM ix)
+SELECT metric, (SELECT count(DISTINCT user_id) FROM sp WHERE NOT train AND user_id IN (SELECT user_id FROM sp WHERE train)) AS users, true AS recomputed, true AS as_evaluator
+FROM (SELECT unnest(['precision_at_k', 'recall_at_k', 'map_at_k', 'ndcg_at_k']) AS metric)""")
+def ranking_eval_als(spark, sf):
+    """The metrics of the model's lists for all test users it knows: those recomputed in SQL from the
+    stored lists, and those of the library's evaluator."""
+    actual, predicted = _als_for_test_users(spark, sf)
+    ours = evaluation.ranking_metrics(actual, predicted).first()
+    again = spark.sql(_METRICS, actual=actual, predicted=predicted).first()
+    theirs = evaluation.evaluator_metrics(actual, predicted)
+    rows = [(name, ours["users"], again["users"] == ours["users"] and abs(again[name] - ours[name]) < 1e-9, abs(theirs[name] - ours[name]) < 1e-9) for name in theirs]
+    return spark.createDataFrame(rows, "metric string, users bigint, recomputed boolean, as_evaluator boolean")
+
+
 def _popular_for_test_users(spark, sf):
     """The most frequent training videos, for every test user."""
     from clipsense.operators.serving import first_tier
@@ -227,22 +266,43 @@ def item_cosine_sparse_blocks(spark, sf):
     return similarity.item_cosine(I.purchases(spark, sf), threshold=0.15, limit=BLOCK_LIMIT)
 
 
-@query("item_factor_similarity", f"WITH {I.IX}, v AS (SELECT DISTINCT video_id FROM ix) SELECT video_id, least(10, (SELECT count(*) - 1 FROM v)) AS rows, true AS gapless, true AS exact FROM v")
+def _nearest(spark, model, found):
+    """Of each video: rows, gaps, whether the cosines are those of the factors, and how many of all others are nearer than the last."""
+    vectors = staged(model.item_vectors())
+    dot = F.aggregate(F.zip_with("value", "others", lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+    lasts = found.groupBy("video_id").agg(F.min("cosine").alias("last"), F.count("*").alias("rows"), _gapless())
+    # The check itself looks at every video against every block of all others, one array a block.
+    blocks = vectors.groupBy(F.pmod(F.xxhash64("id"), F.lit(64)).alias("block")).agg(F.collect_list(F.struct("id", F.col("value").alias("others"))).alias("block_rows"))
+    told = lasts.join(vectors, F.col("id") == F.col("video_id")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(63)).cast("array<bigint>")))
+    cosine = lambda row: F.aggregate(F.zip_with("value", row["others"], lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
+    nearer = F.size(F.filter("block_rows", lambda row: (row["id"] != F.col("video_id")) & (cosine(row) > F.col("last") + 1e-9)))
+    counts = told.join(blocks, "block").groupBy("video_id", "rows", "gapless").agg(F.sum(nearer).alias("nearer"))
+    shown = found.join(vectors.withColumnRenamed("id", "video_id"), "video_id").join(
+        vectors.select(F.col("id").alias("similar_id"), F.col("value").alias("others")), "similar_id"
+    )
+    exact = shown.groupBy("video_id").agg(F.bool_and(F.abs(dot - F.col("cosine")) < 1e-9).alias("exact"))
+    return counts.join(exact, "video_id")
+
+
+@query("item_factor_similarity", f"WITH {I.IX}, v AS (SELECT DISTINCT video_id FROM ix) SELECT video_id, least(10, (SELECT count(*) - 1 FROM v)) AS rows, true AS gapless, true AS exact, true AS nearest FROM v")
 def item_factor_similarity(spark, sf):
-    """The ten nearest of each video; their cosines are those of the factors, and no other video is nearer."""
+    """The ten nearest of each video; their cosines are those of the factors, and no other video is nearer than the last."""
+    model = als.train(_rows(spark, sf))
+    told = _nearest(spark, model, staged(similarity.item_factor_similarity(model)))
+    return told.select("video_id", "rows", "gapless", "exact", (F.col("nearer") <= F.col("rows") - 1).alias("nearest"))
+
+
+@query("item_factor_projection", f"WITH {I.IX}, v AS (SELECT DISTINCT video_id FROM ix) SELECT count(*) AS videos, true AS gapless, true AS exact, true AS recalled FROM v")
+def item_factor_projection(spark, sf):
+    """The nearest by random projections: their cosines are exact, and at least nine of ten are the nearest of all."""
     model = als.train(_rows(spark, sf))
-    found = similarity.item_factor_similarity(model)
-    lists = model.model.itemFactors.join(model.videos, F.col("id") == F.col("video_idx")).select("video_id", "features")
-    other = lists.select(F.col("video_id").alias("similar_id"), F.col("features").alias("others"))
-
-    def dot(a, b):
-        return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-
-    tenth = found.groupBy("video_id").agg(F.min("cosine").alias("last"), F.count("*").alias("rows"), _gapless())
-    shown = found.join(lists, "video_id").join(other, "similar_id")
-    cosine = dot("features", "others") / F.sqrt(dot("features", "features") * dot("others", "others"))
-    exact = shown.groupBy("video_id").agg(F.bool_and(F.abs(cosine - F.col("cosine")) < 1e-6).alias("exact"))
-    return tenth.join(exact, "video_id").select("video_id", "rows", "gapless", "exact")
+    found = staged(similarity.item_factor_projection(model))
+    every = staged(similarity.item_factor_similarity(model))
+    told = _nearest(spark, model, found)
+    last = every.groupBy("video_id").agg(F.min("cosine").alias("last"), F.count("*").alias("wanted"))
+    hits = last.join(found, "video_id", "left").groupBy("video_id", "wanted").agg(F.count_if(F.col("cosine") >= F.col("last") - 1e-9).alias("hits"))
+    recall = hits.agg(F.sum(F.least("hits", "wanted")) / F.sum("wanted")).first()[0]
+    return told.agg(F.count("*").alias("videos"), F.bool_and("gapless").alias("gapless"), F.bool_and("exact").alias("exact")).withColumn("recalled", F.lit(recall >= 0.9))
 
 
 @query("rec_als_itemcf", f"WITH {I.IX} SELECT user_id, least(20, (SELECT count(DISTINCT video_id) FROM ix)) AS rows, true AS gapless, true AS falling, true AS different, true AS exact FROM (SELECT DISTINCT user_id FROM ix)")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.evaluation import RankingEvaluator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clipsense.ml.ids import id_index
+from clipsense.session import staged
+
 
 def actual_items(test: DataFrame) -> DataFrame:
     """The distinct videos of each test user, as rows."""
@@ -59,3 +63,27 @@ def ranking_metrics(actual: DataFrame, predicted: DataFrame, k: int = 10) -> Dat
         F.avg("average_precision").alias("map_at_k"),
         F.avg("ndcg").alias("ndcg_at_k"),
     )
+
+
+def metric_lists(actual: DataFrame, predicted: DataFrame, k: int = 10) -> DataFrame:
+    """user_id, ``prediction`` and ``label`` as arrays of numbers, the form that the library's evaluator takes. Staged.
+
+    A user's label holds all their videos, as that form asks; ``ranking_metrics``
+    keeps them as rows.
+    """
+    numbers = staged(id_index(actual.select("video_id").unionByName(predicted.select("video_id")), "video_id", "number"))
+    number = F.col("number").cast("double")
+    ranked = F.array_sort(F.collect_list(F.struct("rank", number.alias("item"))))
+    lists = (
+        predicted.filter(F.col("rank") <= k).join(numbers, "video_id").groupBy("user_id")
+        .agg(F.transform(ranked, lambda x: x["item"]).alias("prediction"))
+    )
+    labels = actual.join(numbers, "video_id").groupBy("user_id").agg(F.collect_list(number).alias("label"))
+    return staged(lists.join(labels, "user_id"))
+
+
+def evaluator_metrics(actual: DataFrame, predicted: DataFrame, k: int = 10) -> dict[str, float]:
+    """The four metrics at k by the library's RankingEvaluator."""
+    rows = metric_lists(actual, predicted, k)
+    names = {"precisionAtK": "precision_at_k", "recallAtK": "recall_at_k", "meanAveragePrecisionAtK": "map_at_k", "ndcgAtK": "ndcg_at_k"}
+    return {ours: RankingEvaluator(metricName=theirs, k=k).evaluate(rows) for theirs, ours in names.items()}

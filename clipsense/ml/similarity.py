@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clipsense import fixed_values as V
 from clipsense.ml.als import ITEM_BLOCK, Recommender
+from clipsense.operators import projections
 from clipsense.operators.blocks import arrange, top_products
 from clipsense.operators.items import item_user_weights
 from clipsense.operators.neighbours import exclude_seen
@@ -37,6 +38,17 @@ def item_factor_similarity(recommender: Recommender, k: int = 10, limit: int = I
     )
 
 
+def item_factor_projection(recommender: Recommender, k: int = 10, recall: float = 0.95, limit: int = ITEM_BLOCK, told: dict | None = None) -> DataFrame:
+    """As ``item_factor_similarity``, from buckets of random projections: exact cosines, nearly all of the nearest.
+
+    ``recall`` is what the setting has to reach on a sample; ``told`` takes the setting.
+    """
+    items = staged(recommender.item_vectors())
+    return projections.nearest(items, recommender.model.rank, k, recall, limit, told).select(
+        F.col("left").alias("video_id"), F.col("right").alias("similar_id"), F.col("product").alias("cosine"), "rank",
+    )
+
+
 def by_similar_items(interactions: DataFrame, similar: DataFrame, n: int = 20) -> DataFrame:
     """Unseen items by the user's weights times the similarity to items seen."""
     both = similar.unionByName(

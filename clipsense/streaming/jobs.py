@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,13 +126,33 @@ class ProfileTables:
             df.write.mode("overwrite").parquet(f"{path}/{name}/{batch_folder(COMPACTED, 0)}")
 
 
+_SECONDS = {"second": 1, "minute": 60, "hour": 3_600, "day": 86_400, "week": 604_800}
+
+
+def seconds_of(interval: str) -> int:
+    """Seconds of an interval such as "24 hours"."""
+    number, unit = interval.split()
+    return int(number) * _SECONDS[unit.rstrip("s")]
+
+
 def trending_windows(events: DataFrame, length: str = "24 hours", slide: str | None = None, watermark: str = "1 hour") -> DataFrame:
-    """Sum of weights per video and time window; rows too late are dropped."""
-    window = F.window("event_time", length, slide) if slide else F.window("event_time", length)
+    """Sum of weights per video and time window; rows too late are dropped.
+
+    Sliding windows are put together from panes: events are summed once, by pane
+    and video, the pane being the longest time that both the slide and the
+    length are a multiple of; only the panes' sums, once closed, are copied to
+    the windows over them. Append mode.
+    """
+    timely = events.withWatermark("event_time", watermark)
+    number, weight = F.count("*"), F.sum("weight")
+    if slide:
+        pane = f"{math.gcd(seconds_of(length), seconds_of(slide))} seconds"
+        timely = timely.groupBy(F.window("event_time", pane).alias("pane"), "video_id").agg(number.alias("n"), weight.alias("weight"))
+        number = F.sum("n")
+    window = F.window(F.window_time("pane"), length, slide) if slide else F.window("event_time", length)
     return (
-        events.withWatermark("event_time", watermark)
-        .groupBy(window.alias("window"), "video_id")
-        .agg(F.count("*").alias("interaction_count"), F.sum("weight").alias("score"))
+        timely.groupBy(window.alias("window"), "video_id")
+        .agg(number.alias("interaction_count"), weight.alias("score"))
         .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "video_id", "interaction_count", "score")
     )
 

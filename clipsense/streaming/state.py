@@ -1,4 +1,12 @@
-"""Keyed state: the last videos of each user, with an idle timer."""
+"""Keyed state: the last videos of each user, with an idle timer.
+
+Spark keeps the state: a list of events, to which new ones are appended, and one
+row about it. The list is written anew only once it has grown to twice what is
+kept, so a batch writes what it brings, not what is there. A timer, which the
+user's next event moves, ends the state. Before the rows of a batch meet their
+user's state, each task keeps only the latest of every user, so that a hot user
+sends at most ``KEEP`` rows a batch of rows, not a history.
+"""
 
 from __future__ import annotations
 
@@ -7,14 +15,16 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from clipsense import fixed_values as V
 from clipsense.functions.rules import micros
 
 KEEP = 100
-_EVENT = "struct<event_us:bigint,video_id:string,weight:double>"
-_STATE = f"events array<{_EVENT}>, version bigint"
+#: The state store that keeps lists and timers.
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_EVENTS = "event_us bigint, video_id string, weight double"
+_ABOUT = "newest_us bigint, version bigint, held int, timer_ms bigint"
 _OUTPUT = "user_id string, event_us bigint, video_id string, weight double, pos int, n int, version bigint"
 _FIELDS = ["event_us", "video_id", "weight"]
 
@@ -31,41 +41,71 @@ def _after_last_pause(events: pd.DataFrame, ttl_us: int) -> pd.DataFrame:
     return events[(pauses > ttl_us).cumsum() == 0]
 
 
+def latest_of_each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The last KEEP rows of every user within each batch of rows; no other can be among the last of all."""
+    for rows in batches:
+        ordered = rows.sort_values(["event_us", "video_id"], ascending=[False, True], kind="stable")
+        yield ordered.groupby("user_id", sort=False, dropna=False).head(KEEP)
+
+
+class RecentVideos(StatefulProcessor):
+    """A user's last events; emits the live list, with a rising version, whenever it changes."""
+
+    def __init__(self, ttl_us: int):
+        self.ttl_us = ttl_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.events = handle.getListState("events", _EVENTS)
+        self.about = handle.getValueState("about", _ABOUT)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = _latest(pd.concat([chunk[_FIELDS] for chunk in rows]))
+        newest, version, held, timer = self.about.get() or (None, 0, 0, None)
+        old = pd.DataFrame([tuple(e) for e in self.events.get()] if held else [], columns=_FIELDS)
+        live = _latest(pd.concat([old, new]) if held else new).reset_index(drop=True)
+        if held + len(new) > 2 * KEEP:
+            self.events.put([tuple(e) for e in live.itertuples(index=False)])
+            held = len(live)
+        else:
+            self.events.appendList([tuple(e) for e in new.itertuples(index=False)])
+            held += len(new)
+        last = int(live["event_us"].iloc[0])
+        # Rises in a user's life, and from one life to the next, whose events are later by more than the timer.
+        version = max(version + 1, last)
+        expires = (last + self.ttl_us) // 1000
+        if expires != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(expires)
+        self.about.update((last, version, held, expires))
+        shown = _after_last_pause(live, self.ttl_us)
+        yield shown.assign(user_id=key[0], pos=range(1, len(shown) + 1), n=len(shown), version=version)[
+            ["user_id", *_FIELDS, "pos", "n", "version"]
+        ]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.events.clear()
+        self.about.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
 def recent_videos_state(events: DataFrame, ttl: int = V.RECENT_TTL, watermark: str = "1 hour") -> DataFrame:
-    """Emit a user's live list, with a rising version, whenever it changes.
+    """Emit a user's live list, with a rising version, whenever it changes; for append mode.
 
     The state is the last events by time. Which of them are live depends on
     these alone, so the order in which rows and batches arrive does not matter.
+    Lists and timers need the state store ``STORE``, which the session is set to.
     """
-    ttl_us = ttl * 1_000_000
-
-    def update(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        before, version = state.get if state.exists else ([], 0)
-        held = pd.DataFrame([tuple(e) for e in before], columns=_FIELDS)
-        for chunk in chunks:
-            held = _latest(pd.concat([held, chunk[_FIELDS]]) if len(held) else chunk[_FIELDS])
-        if held.empty:
-            return
-        # Rises in a user's life, and from one life to the next, whose events are later by more than the timer.
-        version = max(version + 1, int(held["event_us"].iloc[0]))
-        state.update(([tuple(e) for e in held.itertuples(index=False)], version))
-        expires_ms = int(held["event_us"].iloc[0] + ttl_us) // 1000
-        if expires_ms > state.getCurrentWatermarkMs():
-            state.setTimeoutTimestamp(expires_ms)
-        live = _after_last_pause(held.reset_index(drop=True), ttl_us)
-        yield live.assign(user_id=key[0], pos=range(1, len(live) + 1), n=len(live), version=version)[
-            ["user_id", *_FIELDS, "pos", "n", "version"]
-        ]
-
-    rows = events.withWatermark("event_time", watermark).select(
+    events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
+    rows = events.select(
         "user_id", micros(F.col("event_time")).alias("event_us"), "video_id", "weight", "event_time"
     )
-    return rows.groupBy("user_id").applyInPandasWithState(
-        update, _OUTPUT, _STATE, "append", GroupStateTimeout.EventTimeTimeout
-    )
+    kept = rows.mapInPandas(latest_of_each, rows.schema).withWatermark("event_time", watermark)
+    return kept.groupBy("user_id").transformWithStateInPandas(RecentVideos(ttl * 1_000_000), _OUTPUT, "append", "EventTime")
 
 
 def latest_lists(emitted: DataFrame) -> DataFrame:
