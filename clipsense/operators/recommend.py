@@ -7,56 +7,48 @@ from pyspark.sql import functions as F
 
 from clipsense import fixed_values as V
 from clipsense.functions.users import diversity_bonus, method_weight
-from clipsense.operators.neighbours import (
-    attach_video_stats,
-    candidates,
-    exclude_seen,
-    top_neighbours,
-)
+from clipsense.operators.neighbours import exclude_seen, top_neighbours
+from clipsense.operators.offers import best_offers
 from clipsense.operators.pairs import HOLDER_LIMIT, split_by_holders
 from clipsense.operators.ranking import top_per_key
 from clipsense.session import staged
 
 
-def _best(scored: DataFrame, n: int) -> DataFrame:
-    order = [F.col("final_score").desc_nulls_last(), F.col("video_id")]
-    return top_per_key(scored, "user_id", order, n).select("user_id", "video_id", "final_score", "rank")
-
-
-def _from_neighbours(neighbours, offered, interactions, quality, score: Column, n: int) -> DataFrame:
-    pairs = exclude_seen(candidates(neighbours, offered), interactions)
-    return _best(attach_video_stats(pairs, quality).withColumn("final_score", score), n)
-
-
-def by_likes(interactions: DataFrame, quality: DataFrame, n: int = 20, k: int = V.LIKE_NEIGHBOURS, limit: int = HOLDER_LIMIT) -> DataFrame:
-    """Liked by users with common likes, not seen yet."""
+def by_likes(interactions: DataFrame, quality: DataFrame, n: int = 20, k: int = V.LIKE_NEIGHBOURS, limit: int = HOLDER_LIMIT, **blocks) -> DataFrame:
+    """Liked by users with common likes, not seen yet. ``blocks`` are settings of ``best_offers``."""
     likes = interactions.filter(F.col("event_type") == "like")
-    score = F.col("events") * F.col("common_sum") * 0.7 + F.col("quality_score") * 0.3
-    return _from_neighbours(top_neighbours(likes, k, limit=limit), likes, interactions, quality, score, n)
+    return best_offers(top_neighbours(likes, k, limit=limit), likes, interactions, quality, likes_score, n, **blocks)
 
 
-def by_comments(interactions: DataFrame, quality: DataFrame, n: int = 20, k: int = V.COMMENT_NEIGHBOURS, limit: int = HOLDER_LIMIT) -> DataFrame:
+def by_comments(interactions: DataFrame, quality: DataFrame, n: int = 20, k: int = V.COMMENT_NEIGHBOURS, limit: int = HOLDER_LIMIT, **blocks) -> DataFrame:
     """Liked or commented by users with common comments, not seen yet."""
     comments = interactions.filter(F.col("event_type") == "comment")
     offered = interactions.filter(F.col("event_type").isin("like", "comment"))
-    score = F.col("events") * F.col("common_max") * 0.6 + F.col("quality_score") * 0.4
-    return _from_neighbours(top_neighbours(comments, k, limit=limit), offered, interactions, quality, score, n)
+    return best_offers(top_neighbours(comments, k, limit=limit), offered, interactions, quality, comments_score, n, **blocks)
 
 
 def completed_views(interactions: DataFrame, at_least: float) -> DataFrame:
     return interactions.filter((F.col("event_type") == "view") & (F.col("completion_rate") >= at_least))
 
 
-def by_watch(interactions: DataFrame, quality: DataFrame, n: int = 20, k: int = V.WATCH_NEIGHBOURS, limit: int = HOLDER_LIMIT) -> DataFrame:
+def by_watch(interactions: DataFrame, quality: DataFrame, n: int = 20, k: int = V.WATCH_NEIGHBOURS, limit: int = HOLDER_LIMIT, **blocks) -> DataFrame:
     """Watched through by users who watch the same videos through, not seen yet."""
     alike = completed_views(interactions, V.WATCH_SIMILAR_COMPLETION)
     offered = completed_views(interactions, V.WATCH_CANDIDATE_COMPLETION)
-    score = (
-        F.col("events") * F.col("common_max") * 0.5
-        + F.col("avg_completion") * 30
-        + F.col("quality_score") * 0.3
-    )
-    return _from_neighbours(top_neighbours(alike, k, limit=limit), offered, interactions, quality, score, n)
+    return best_offers(top_neighbours(alike, k, limit=limit), offered, interactions, quality, watch_score, n, **blocks)
+
+
+# Scores of columns and of arrays alike.
+def likes_score(events, common_sum, common_max, completion, quality):
+    return events * common_sum * 0.7 + quality * 0.3
+
+
+def comments_score(events, common_sum, common_max, completion, quality):
+    return events * common_max * 0.6 + quality * 0.4
+
+
+def watch_score(events, common_sum, common_max, completion, quality):
+    return events * common_max * 0.5 + completion * 30 + quality * 0.3
 
 
 def union_methods(likes: DataFrame, comments: DataFrame, watch: DataFrame) -> DataFrame:
