@@ -220,7 +220,7 @@ def set_links(sets: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK_
     ``sets`` has set_id and signatures, a row for each different set.
     """
     # One number for each of at most SLOTS slots.
-    slots = sets.select(F.explode("signatures").alias("signature")).groupBy((F.col("signature") % SLOTS).alias("slot")).count().toPandas()
+    slots = sets.select(F.explode("signatures").alias("signature")).groupBy(F.pmod("signature", F.lit(SLOTS)).alias("slot")).count().toPandas()
     counts = np.zeros(SLOTS, dtype=np.int64)
     counts[slots["slot"].to_numpy(dtype=np.int64)] = slots["count"]
     shared = sets.sparkSession.sparkContext.broadcast(counts)
@@ -245,39 +245,61 @@ def set_links(sets: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK_
     often = pairs.filter(F.col("low") >= F.col("high") * threshold - 1e-9).groupBy("a", "b", "low", "high").agg(
         F.count("*").alias("common")
     ).filter(F.col("common") >= F.least(F.lit(IN_COMMON), F.ceil(F.col("low") * threshold - 1e-9)))
-    one, two = (sets.select(F.col("set_id").alias(x), F.col("signatures").alias(f"{x}_set")) for x in "ab")
+    left, right = (sets.select(F.col("set_id").alias(x), F.col("signatures").alias(f"{x}_set")) for x in "ab")
     both = F.size(F.array_intersect("a_set", "b_set"))
-    near = often.join(one, "a").join(two, "b").filter(both / (F.col("low") + F.col("high") - both) >= threshold).select("a", "b")
+    near = often.join(left, "a").join(right, "b").filter(both / (F.col("low") + F.col("high") - both) >= threshold)
+    near = staged(near.select("a", "b"))
     hot = staged(
-        keys.join(sizes.filter(F.col("size") > few).select("signature"), "signature")
+        keys.join(sizes.filter(F.col("size") > few), "signature")
         .withColumn("kind", F.explode(F.array(F.col("own_kind"), F.col("own_kind") + 1)))
+        .select("set_id", "signature", "kind", "size")
     )
+    # Each set first meets the others under one key only, the one of fewest sets; copies of a text find each other there.
+    one = hot.groupBy("set_id").agg(F.min(F.struct("size", "signature")).alias("least")).select("set_id", "least.signature")
+    early = staged(_within_keys(hot.join(one, ["set_id", "signature"]), sets, threshold, block))
+    joined = staged(components(near.union(early), "a", "b"))
+    parts = hot.join(joined, F.col("set_id") == F.col("node"), "left").select(
+        "set_id", "signature", "kind", F.coalesce("component", "set_id").alias("part")
+    )
+    # Keys whose sets are all joined by now have nothing more to tell.
+    open_keys = parts.groupBy("signature", "kind").agg(F.min("part").alias("first"), F.max("part").alias("last")).filter("first < last")
+    late = _within_keys(parts.join(open_keys.select("signature", "kind"), ["signature", "kind"]), sets, threshold, block)
+    return near.union(early).union(late).distinct()
+
+
+def _within_keys(rows: DataFrame, sets: DataFrame, threshold: float, block: int) -> DataFrame:
+    """Links a, b between sets under one key (signature, kind); those of one ``part``, if given, need none.
+
+    A key is dealt to pairs of blocks; each pair is one row group, read in order.
+    """
+    if "part" not in rows.columns:
+        rows = rows.withColumn("part", F.col("set_id"))
     # Keys of the same sets are looked at once.
     at = ["signature", "kind"]
-    held = hot.groupBy(*at).agg(
-        F.count("*").alias("size"), F.bit_xor(F.xxhash64("set_id")).alias("one"), F.bit_xor(F.xxhash64("set_id", F.lit(1))).alias("two")
-    ).filter("size > 1")
-    many = held.groupBy("size", "one", "two").agg(F.min(F.struct(*at)).alias("at")).select("size", "at.*")
-    blocks = F.ceil(F.col("size") / block).cast("int")
+    held = rows.groupBy(*at).agg(
+        F.count("*").alias("held"), F.bit_xor(F.xxhash64("set_id")).alias("one"), F.bit_xor(F.xxhash64("set_id", F.lit(1))).alias("two")
+    ).filter("held > 1")
+    many = held.groupBy("held", "one", "two").agg(F.min(F.struct(*at)).alias("at")).select("held", "at.*")
+    blocks = F.ceil(F.col("held") / block).cast("int")
     own = F.pmod(F.xxhash64("set_id"), blocks).cast("int")
     other = F.explode(F.sequence(F.lit(0), blocks - 1))
-    dealt = hot.join(many, at).select("set_id", "signature", "kind", own.alias("own"), other.alias("other"))
+    dealt = rows.join(many, at).select("set_id", "part", "signature", "kind", own.alias("own"), other.alias("other"))
     placed = dealt.select(
-        "set_id", "signature", "kind", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+        "set_id", "part", "signature", "kind", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
     ).join(sets, "set_id")
     key = ["signature", "kind", "low", "high"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = (row for part in slices(batches) for row in zip(*(c.to_pylist() for c in part.columns)))
-        for _, group in groupby(rows, key=itemgetter(0, 1, 2, 3)):
-            held = sorted(((len(s), i, np.array(s)) for *_, i, s in group), key=itemgetter(0, 1))
-            links = spanning_links([s for *_, s in held], threshold)
+        lines = (row for part in slices(batches) for row in zip(*(c.to_pylist() for c in part.columns)))
+        for _, group in groupby(lines, key=itemgetter(0, 1, 2, 3)):
+            held = sorted(((len(s), i, part, np.array(s)) for *_, i, part, s in group), key=itemgetter(0, 1))
+            links = spanning_links([s for *_, s in held], threshold, [part for _, _, part, _ in held])
             yield pa.RecordBatch.from_arrays(
                 [pa.array([held[i][1] for i, _ in links], pa.int64()), pa.array([held[j][1] for _, j in links], pa.int64())], names=["a", "b"]
             )
 
-    found = placed.select(*key, "set_id", "signatures").repartition(*key).sortWithinPartitions(*key)
-    return found.mapInArrow(run, "a bigint, b bigint").union(near).distinct()
+    found = placed.select(*key, "set_id", "part", "signatures").repartition(*key).sortWithinPartitions(*key)
+    return found.mapInArrow(run, "a bigint, b bigint")
 
 
 def _prefix(n: int, threshold: float) -> int:
@@ -286,9 +308,10 @@ def _prefix(n: int, threshold: float) -> int:
     return n - least + min(IN_COMMON, least)
 
 
-def spanning_links(sets: list[np.ndarray], threshold: float) -> list[tuple[int, int]]:
-    """Links of a spanning forest of sets in order of length, by pruned Jaccard."""
-    root = list(range(len(sets)))
+def spanning_links(sets: list[np.ndarray], threshold: float, parts: list[int] | None = None) -> list[tuple[int, int]]:
+    """Links of a spanning forest of sets in order of length, by pruned Jaccard; sets of one part are joined from the start."""
+    first = {part: i for i, part in reversed(list(enumerate(parts or [])))}
+    root = [first[part] for part in parts] if parts else list(range(len(sets)))
 
     def find(x: int) -> int:
         while root[x] != x:
