@@ -8,7 +8,8 @@ taken as equally likely beforehand.
 
 The probabilities are fitted by expectation maximisation on at most
 ``SAMPLE_DOCS`` labelled documents of each language, taken in the order of a hash
-of the id from those whose crc32(id) mod 5 is not 0. Everything else covers all
+of the id from those whose crc32(id) mod 5 is not 0, of each the first
+``SAMPLE_CHARS`` characters; long words are fitted in overlapping stretches. Everything else covers all
 documents. What is sent to the tasks is one number for each piece and language.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0, and
@@ -41,8 +42,11 @@ ROUNDS = 3
 #: Pseudo-count of every piece, and probability of a character outside the vocabulary.
 SMOOTHING = 0.1
 OUTSIDE = 1e-7
-#: Words so long are summed with rescaling.
+#: Longer words are summed with rescaling, and fitted in stretches of that length which overlap.
 LONG_WORD = 40
+OVERLAP = 16
+#: Characters of a sample document that the fit reads.
+SAMPLE_CHARS = 50_000
 SMALL = 1e-150
 #: Numbers that a worker remembers for words at most.
 REMEMBERED = 3_200_000
@@ -97,11 +101,18 @@ def _rescaled(word: str, found: list[tuple[int, int, int]], table: list[float])
     return log(f[-1]) + shift
 
 
+def stretches(word: str) -> list[str]:
+    """A long word in stretches that overlap, so that a piece across a cut is whole in one of them."""
+    if len(word) <= LONG_WORD:
+        return [word]
+    return [word[at : at + LONG_WORD] for at in range(0, len(word) - OVERLAP, LONG_WORD - OVERLAP)]
+
+
 def fit(counts: Counter, path: str, rounds: int = ROUNDS) -> np.ndarray:
     """Piece probabilities from word counts: each round takes expected uses of pieces over all segmentations."""
     size = vocabulary_size(path)
     table = [1.0 / size] * size + [OUTSIDE]
-    words = [(marked(word), n, matches(marked(word), path)) for word, n in sorted(counts.items()) if len(word) < LONG_WORD]
+    words = [(part, n, matches(part, path)) for word, n in sorted(counts.items()) for part in stretches(marked(word))]
     for _ in range(rounds):
         uses = np.full(size + 1, SMOOTHING)
         for word, n, found in words:
@@ -123,7 +134,7 @@ def train(documents: DataFrame, path: str, sample_docs: int = SAMPLE_DOCS) -> tu
         F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
     )
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    sample = labelled.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample_docs).select("lang", "text")
+    sample = labelled.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= sample_docs).select("lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
 
     def fitted(table: pa.Table) -> pa.Table:
         counts = Counter(word for text in table.column("text").to_pylist() for word in split_words(text))

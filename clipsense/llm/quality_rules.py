@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 
 from clipsense.llm.texts import WHITE, per_row
 
-#: Phrases that mark a line as boilerplate, in lower case.
+#: Phrases that mark a line as boilerplate, in lower case: English, German, French, Spanish.
 BOILERPLATE = (
     "all rights reserved",
     "click here",
@@ -40,6 +40,33 @@ BOILERPLATE = (
     "terms of service",
     "terms of use",
     "use cookies",
+    "alle rechte vorbehalten",
+    "datenschutzerklärung",
+    "hier klicken",
+    "jetzt anmelden",
+    "nutzungsbedingungen",
+    "passwort vergessen",
+    "verwendet cookies",
+    "weiterlesen",
+    "zum inhalt springen",
+    "aller au contenu",
+    "cliquez ici",
+    "conditions générales",
+    "lire la suite",
+    "mentions légales",
+    "mot de passe oublié",
+    "politique de confidentialité",
+    "tous droits réservés",
+    "utilise des cookies",
+    "aviso legal",
+    "haga clic aquí",
+    "iniciar sesión",
+    "leer más",
+    "política de privacidad",
+    "saltar al contenido",
+    "términos de uso",
+    "todos los derechos reservados",
+    "utiliza cookies",
 )
 SEPARATORS = frozenset(["|", ">", "»", "•", "·", "/", "::"])
 SENTENCE_MARK = re.compile(r"[.,;:!?…。！？]")
@@ -50,9 +77,8 @@ LONG_LINE = 12
 MARKS_A_WORD = 0.5
 #: The most separators for each word of a line.
 SEPARATORS_A_WORD = 0.3
-#: The share of its word characters that a document must keep, unless it loses a few words only.
+#: The share of its word characters that a document must keep.
 LEAST_KEPT = 0.5
-FEW_WORDS = 20
 
 SCHEMA = (
     "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
@@ -96,7 +122,7 @@ def judge(doc_id: int | None, text: str | None) -> tuple:
     all_words: list[str] = []
     seen: set[str] = set()
     good: list[str] = []
-    dup_lines = lines = failed = kept_chars = lost_words = 0
+    dup_lines = lines = failed = kept_chars = 0
     for line in text.split("\n"):
         words = _split(line)
         if not words:
@@ -110,7 +136,6 @@ def judge(doc_id: int | None, text: str | None) -> tuple:
             seen.add(line)
         if line_fails(line, words):
             failed += 1
-            lost_words += len(words)
         else:
             good.append(line)
             kept_chars += sum(map(len, words))
@@ -122,7 +147,7 @@ def judge(doc_id: int | None, text: str | None) -> tuple:
     share = kept_chars / chars if chars else 0.0
     return (
         doc_id, n, chars, symbols, dup_lines, repeats, base_failed,
-        not base_failed and (share >= LEAST_KEPT or lost_words <= FEW_WORDS), lines, failed, share, "\n".join(good),
+        not base_failed and share >= LEAST_KEPT, lines, failed, share, "\n".join(good),
     )
 
 

@@ -165,14 +165,14 @@ l3 AS (SELECT *, n > 0 AND ((n >= 4 AND sep > {rules.SEPARATORS_A_WORD}::DOUBLE
   OR (n >= {rules.LONG_LINE} AND NOT regexp_matches(line, '{rules.SENTENCE_MARK.pattern}'))
   OR len(list_filter([{phrases}], lambda x: contains(lower(line), x))) > 0) AS failed FROM l2),
 l4 AS (SELECT doc_id, count(*) FILTER (n > 0) AS n_lines, count(*) FILTER (n > 0) - count(DISTINCT line) FILTER (n > 0) AS n_dup_lines, count(*) FILTER (failed) AS n_failed_lines,
-  coalesce(sum(n) FILTER (failed), 0) AS lost_words, coalesce(sum(list_sum(list_transform(w, lambda x: len(x)))) FILTER (n > 0 AND NOT failed), 0) AS kept_chars,
+  coalesce(sum(list_sum(list_transform(w, lambda x: len(x)))) FILTER (n > 0 AND NOT failed), 0) AS kept_chars,
   coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT failed), '') AS cleaned FROM l3 GROUP BY 1),
 b AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: len(x))), 0) AS BIGINT) AS word_chars,
-  CAST(len(regexp_extract_all(text, '{marks}')) AS BIGINT) AS n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, n_lines, n_failed_lines, lost_words, kept_chars, cleaned
+  CAST(len(regexp_extract_all(text, '{marks}')) AS BIGINT) AS n_symbols, n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, n_lines, n_failed_lines, kept_chars, cleaned
   FROM d JOIN l4 USING (doc_id) LEFT JOIN rp USING (doc_id)),
 s AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, CASE WHEN word_chars > 0 THEN kept_chars / CAST(word_chars AS DOUBLE) ELSE 0.0::DOUBLE END AS kept_share FROM b)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND (kept_share >= {rules.LEAST_KEPT}::DOUBLE OR lost_words <= {rules.FEW_WORDS}) AS kept, n_lines, n_failed_lines, kept_share, sha256(cleaned) AS cleaned_sha256 FROM s"""
+  NOT base_failed AND kept_share >= {rules.LEAST_KEPT}::DOUBLE AS kept, n_lines, n_failed_lines, kept_share, sha256(cleaned) AS cleaned_sha256 FROM s"""
 
 
 def _forest_sql(name: str, leaves: str) -> str:
