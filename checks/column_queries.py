@@ -13,8 +13,9 @@ from clipsense.functions import users as U
 from clipsense.functions import weights as W
 from clipsense.ml.ids import id_index, indexed
 from clipsense.operators import catalog as cat
-from clipsense.operators import loading, profiles
+from clipsense.operators import loading, profiles, search
 from clipsense.operators.recency import interaction_counter
+from clipsense.session import scratch_path
 from clipsense.streaming.jobs import with_processing_time
 
 
@@ -151,6 +152,24 @@ def search_catalog(spark, sf):
     return cat.search(I.catalog(spark, sf), "BOLT").select("video_id", "title", "category")
 
 
+#: Patterns that titles begin with, of so many characters, in capitals.
+_LENGTHS = (1, 2, 3, 4, 7, 12, 20)
+
+
+@query("search_catalog_indexed", f"""WITH {I.CAT}, p AS (SELECT upper(substr(title, 1, n)) AS pattern FROM (SELECT min(title) AS title FROM cat), (SELECT unnest({list(_LENGTHS)}) AS n))
+SELECT pattern, video_id FROM p, cat WHERE contains(lower(title), lower(pattern)) OR contains(lower(video_id), lower(pattern)) OR contains(lower(category), lower(pattern))""")
+def search_catalog_indexed(spark, sf):
+    """Patterns of 1 to 20 characters by the posting table."""
+    videos, path = I.catalog(spark, sf), scratch_path(spark, "postings")
+    search.write_postings(videos, path)
+    index, title = spark.read.parquet(path), videos.agg(F.min("title")).first()[0]
+    found = None
+    for pattern in (title[:n].upper() for n in _LENGTHS):
+        rows = search.search_indexed(index, videos, pattern).select(F.lit(pattern).alias("pattern"), "video_id")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 @query("comment_length", f"WITH {I.COM} SELECT user_id, video_id, length(comment_content) AS comment_length FROM com")
 def comment_length(spark, sf):
     text = F.col("comment_content")

@@ -12,6 +12,8 @@ from clipsense.operators.profiles import full_user_profile
 from clipsense.session import scratch_path
 from clipsense.sinks import serving, tables
 from clipsense.sources import events, files, media, normalise
+from clipsense.sources.collection import JsonCollection
+from clipsense.streaming import jobs
 
 
 def _lines(df, *columns, sep="\t"):
@@ -104,6 +106,41 @@ def src_collection(spark, sf):
     return files.collection(spark, path, "videos").select("video_id", "title", "likes", "views")
 
 
+_PLACES = f"WITH {I.IX} SELECT event_id, user_id, video_id, event_type, watch_time FROM ix WHERE event_type IN ('like', 'share') AND event_id >= 100"
+_DOCUMENT = "event_id bigint, event_type string, user_id string, video_id string, watch_time double"
+
+
+def _documents(spark, sf):
+    """All events as JSON documents in eight files, and a broken one of each event in a ninth."""
+    path = written(all_messages(spark, sf), "documents", 8)
+    all_messages(spark, sf).select(F.substring("value", 1, 20).alias("value")).coalesce(1).write.mode("append").text(path)
+    spark.dataSource.register(JsonCollection)
+    return path
+
+
+def _wanted(documents):
+    return documents.filter(F.col("event_type").isin("like", "share") & (F.col("event_id") >= 100))
+
+
+@query("src_collection_json", _PLACES)
+def src_collection_json(spark, sf):
+    """The connector's batch form, two files a partition; the source takes the filter over."""
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    read = spark.read.format("json_collection").schema(_DOCUMENT).option("files", 2).load(_documents(spark, sf))
+    return _wanted(read).select("event_id", "user_id", "video_id", "event_type", "watch_time")
+
+
+@query("src_collection_stream", _PLACES)
+def src_collection_stream(spark, sf):
+    """The connector's stream form, three files a batch."""
+    read = spark.readStream.format("json_collection").schema(_DOCUMENT).option("files_per_batch", 3).load(_documents(spark, sf))
+    path, checkpoint = scratch_path(spark, "stream"), scratch_path(spark, "progress")
+    running = jobs.run(_wanted(read), path, checkpoint, "collection")
+    running.processAllAvailable()
+    running.stop()
+    return spark.read.schema(_DOCUMENT).parquet(path)
+
+
 @query("src_first_existing", f"WITH {I.CAT} SELECT video_id, title FROM cat")
 def src_first_existing(spark, sf):
     path = scratch_path(spark, "candidates")

@@ -6,13 +6,15 @@ from pyspark.sql import functions as F
 
 from checks import inputs as I
 from checks.column_queries import PROFILE, profile_sql, visit_profiles
-from checks.inputs import r, t
+from checks.inputs import draw, r, t
 from checks.registry import ORACLES, query
 from clipsense import fixed_values as V
-from clipsense.ml.ids import id_index
+from clipsense.functions.rules import hash_fraction
+from clipsense.ml.ids import extended_index, id_index
 from clipsense.operators import catalog as cat
 from clipsense.operators import items, loading, neighbours, profiles
 from clipsense.operators.recency import interaction_counter, recent_interactions, video_counters
+from clipsense.session import staged
 
 #: Holders of a feature beyond which the second entry of a pair query takes blocks.
 BLOCK_LIMIT = 8
@@ -159,6 +161,23 @@ def id_index_query(spark, sf):
     return parts[0].unionByName(parts[1])
 
 
+@query("id_index_grown", f"""WITH {I.IX}, k AS (SELECT user_id, bool_or({draw('first', 'event_id')} < 0.1::DOUBLE) AS known FROM ix GROUP BY 1),
+n AS (SELECT count(*) FILTER (known) AS n_known, count(*) AS n_all FROM k)
+SELECT user_id, known, true AS placed, n_all AS ids, n_all - 1 AS last FROM k, n""")
+def id_index_grown(spark, sf):
+    """A tenth of the events comes first, then all: ids of the first load are kept, new ones follow without a gap."""
+    ix = I.interactions(spark, sf)
+    first = staged(id_index(ix.filter(hash_fraction("first", F.col("event_id")) < 0.1), "user_id", "idx"))
+    grown = staged(extended_index(first, ix, "user_id", "idx"))
+    before = first.withColumnRenamed("idx", "was")
+    n_known = first.count()
+    ends = grown.agg(F.count_distinct("idx").alias("ids"), F.max("idx").alias("last")).first()
+    placed = F.coalesce(F.col("idx") == F.col("was"), F.col("idx") >= n_known)
+    return grown.join(before, "user_id", "left").select(
+        "user_id", F.col("was").isNotNull().alias("known"), placed.alias("placed"), F.lit(ends["ids"]).alias("ids"), F.lit(ends["last"]).alias("last")
+    )
+
+
 # ----------------------------------------------------------- aggregations
 
 _STATS = "video_id, view_count, like_count, comment_count, share_count"

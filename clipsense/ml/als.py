@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from clipsense import fixed_values as V
 from clipsense.functions.rules import hash_fraction
-from clipsense.ml.ids import id_index, indexed
+from clipsense.ml.ids import extended_index, id_index, indexed
 from clipsense.operators.blocks import arrange, top_products
 from clipsense.operators.serving import first_tier
 from clipsense.session import scratch_path, staged
@@ -114,23 +114,26 @@ def estimator(label: str = "weight", **settings) -> ALS:
     )
 
 
-def prepare(rows: DataFrame, label: str = "weight") -> tuple[DataFrame, DataFrame, DataFrame]:
+def prepare(rows: DataFrame, label: str = "weight", known: Recommender | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Indexed ratings and both id tables, written once to the shared folder.
 
+    The ids of a ``known`` model stay as they are, new ones are added behind them.
+
     ALS passes over its input many times, and both the ids and the ratings
     have to be the same in each pass.
     """
     spark = rows.sparkSession
     path = scratch_path(spark, "ratings")
-    id_index(rows, "user_id", "user_idx").write.parquet(f"{path}/users")
-    id_index(rows, "video_id", "video_idx").write.parquet(f"{path}/videos")
+    for table, key, name in (("users", "user_id", "user_idx"), ("videos", "video_id", "video_idx")):
+        ids = extended_index(getattr(known, table), rows, key, name) if known else id_index(rows, key, name)
+        ids.write.parquet(f"{path}/{table}")
     users, videos = spark.read.parquet(f"{path}/users"), spark.read.parquet(f"{path}/videos")
     indexed(rows, users, videos).select("user_idx", "video_idx", label).write.parquet(f"{path}/rows")
     return spark.read.parquet(f"{path}/rows"), users, videos
 
 
-def train(rows: DataFrame, label: str = "weight", **settings) -> Recommender:
-    ratings, users, videos = prepare(rows, label)
+def train(rows: DataFrame, label: str = "weight", known: Recommender | None = None, **settings) -> Recommender:
+    ratings, users, videos = prepare(rows, label, known)
     return Recommender(estimator(label, **settings).fit(ratings), users, videos)
 
 

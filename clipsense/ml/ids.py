@@ -30,3 +30,16 @@ def id_index(df: DataFrame, key: str, name: str, digits: int = PREFIX_DIGITS) ->
 def indexed(df: DataFrame, users: DataFrame, videos: DataFrame) -> DataFrame:
     """Add both ids; rows with an unknown user or video are dropped."""
     return df.join(users, "user_id").join(videos, "video_id")
+
+
+def extended_index(known: DataFrame, df: DataFrame, key: str, name: str, digits: int = PREFIX_DIGITS) -> DataFrame:
+    """The known ids as they are, and numbers behind them, without gaps, for keys that are new.
+
+    ``known`` (key, name) must be stored, as a saved model has it; new keys are
+    numbered like those of ``id_index``, from the first number that is free.
+    """
+    new = id_index(df.join(known.select(key), key, "left_anti"), key, name, digits)
+    first = known.agg(F.coalesce(F.max(name) + 1, F.lit(0)).cast("int").alias("_first"))
+    # One row.
+    behind = new.join(F.broadcast(first)).select(key, (F.col(name) + F.col("_first")).cast("int").alias(name))
+    return known.select(key, F.col(name).cast("int").alias(name)).unionByName(behind)

@@ -250,3 +250,28 @@ def test_closest_factors_are_brute_force(tastes):
     for i, name in enumerate(names):
         assert sorted(got[name]) == pytest.approx(sorted(np.delete(products[i], i))[-5:], abs=1e-9)
     assert sum(counts) < 0.7 * len(names) * (len(names) / 20)
+
+
+@pytest.mark.parametrize("bucket", [2000, 3])
+def test_projections_find_nearly_all_neighbours(spark, monkeypatch, bucket):
+    """Near groups on a sphere; with a small bound on buckets nearly all go through blocks, and none is lost."""
+    from clipsense.operators import projections
+
+    monkeypatch.setattr(projections, "BUCKET", bucket)
+    monkeypatch.setattr(projections, "SAMPLE", 60)
+    draw = np.random.default_rng(3)
+    points = np.repeat(draw.normal(size=(40, 12)), 8, axis=0) + 0.15 * draw.normal(size=(320, 12))
+    points /= np.sqrt((points**2).sum(axis=1, keepdims=True))
+    vectors = staged(spark.createDataFrame([(f"i{k:04}", p.tolist()) for k, p in enumerate(points)], "id string, value array<double>"))
+    told_by = {}
+    found = {}
+    for r in projections.nearest(vectors, 12, 4, limit=64, told=told_by).collect():
+        found.setdefault(r["left"], []).append((r["right"], r["product"]))
+    products, hits = points @ points.T, 0
+    for k in range(320):
+        exact = np.sort(np.delete(products[k], k))[-4:]
+        mine = found.get(f"i{k:04}", [])
+        assert all(p == pytest.approx(products[k, int(name[1:])]) for name, p in mine)
+        hits += sum(p >= exact[0] - 1e-9 for _, p in mine)
+    assert hits >= 0.9 * 4 * 320
+    assert told_by["width"] is None or told_by["tables"] >= 1

@@ -154,3 +154,44 @@ def test_last_list_of_each_user_can_be_read_back(spark, tmp_path):
     finish(jobs.run(df, str(tmp_path / "out"), str(tmp_path / "c"), "lists", once=True))
     last = latest_lists(spark.read.schema(df.schema).parquet(str(tmp_path / "out"))).orderBy("user_id", "pos").collect()
     assert [(r.user_id, r.video_id) for r in last if r.user_id != "other"] == [("u", "6"), ("v", "5")]
+
+
+def test_state_goes_on_after_a_restart(spark, tmp_path):
+    """A second run with the same checkpoint knows the list of the first, and rewrites it only when it has doubled."""
+    folder = tmp_path / "in"
+    first = [line(i, "u", f"{i:03}", f"2024-01-01T00:{i // 60:02}:{i % 60:02}") for i in range(150)]
+    emitted = []
+
+    def keep(batch, batch_id):
+        emitted.append([r.video_id for r in batch.orderBy("pos").collect()])
+
+    def go(df):
+        finish(jobs.run_batches(df, keep, str(tmp_path / "c"), "restart_state", once=True))
+
+    go(recent_videos_state(stream(spark, folder, [first[:90], first[90:]])))
+    rows = [x for x in emitted if x]
+    assert rows[-1] == [f"{i:03}" for i in range(149, 49, -1)]
+    import os
+
+    path = folder / "2.txt"
+    path.write_text(line(500, "u", "new", "2024-01-01T03:00:00"), encoding="utf-8")
+    os.utime(path, (1_700_000_010, 1_700_000_010))
+    values = events.file_topic(spark, str(folder), files_per_batch=1)
+    again = events.timed(values.select(F.from_json("value", SHAPE).alias("d")).select("d.*"))
+    emitted.clear()
+    go(recent_videos_state(again.withColumn("weight", event_weight(F.col("event_type"), F.col("completion_rate")))))
+    assert [x for x in emitted if x][-1] == ["new", *[f"{i:03}" for i in range(149, 50, -1)]]
+
+
+def test_panes_make_one_state_row_a_pane_and_video(spark, tmp_path):
+    """Ten events of a video in one hour: one pane, and one row in each of the 24 windows over it."""
+    rows = [line(i, "u", "1", f"2024-01-01T00:{i:02}:00") for i in range(10)]
+    late = [line(90 + k, "u", "2", f"202{5 + k}-01-01T00:00:00") for k in range(2)]
+    df = jobs.trending_windows(stream(spark, tmp_path / "in", [rows, late[:1], late[1:]]), slide="1 hour")
+    out = str(tmp_path / "out")
+    query = jobs.run(df, out, str(tmp_path / "c"), "panes", once=True)
+    finish(query)
+    found = spark.read.schema(df.schema).parquet(out).filter("video_id = '1'").collect()
+    assert len(found) == 24 and {(r.interaction_count, r.score) for r in found} == {(10, 50.0)}
+    first = [p for p in query.recentProgress if p["stateOperators"]][0]["stateOperators"]
+    assert max(op["numRowsUpdated"] for op in first) == 1
