@@ -12,7 +12,7 @@ from clipsense.operators.profiles import full_user_profile
 from clipsense.session import scratch_path
 from clipsense.sinks import serving, tables
 from clipsense.sources import events, files, media, normalise
-from clipsense.sources.collection import JsonCollection
+from clipsense.sources.collection import register
 from clipsense.streaming import jobs
 
 
@@ -114,7 +114,7 @@ def _documents(spark, sf):
     """All events as JSON documents in eight files, and a broken one of each event in a ninth."""
     path = written(all_messages(spark, sf), "documents", 8)
     all_messages(spark, sf).select(F.substring("value", 1, 20).alias("value")).coalesce(1).write.mode("append").text(path)
-    spark.dataSource.register(JsonCollection)
+    register(spark)
     return path
 
 
@@ -125,7 +125,6 @@ def _wanted(documents):
 @query("src_collection_json", _PLACES)
 def src_collection_json(spark, sf):
     """The connector's batch form, two files a partition; the source takes the filter over."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     read = spark.read.format("json_collection").schema(_DOCUMENT).option("files", 2).load(_documents(spark, sf))
     return _wanted(read).select("event_id", "user_id", "video_id", "event_type", "watch_time")
 

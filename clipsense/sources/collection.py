@@ -1,6 +1,6 @@
 """A collection of JSON documents in a folder as a data source of its own.
 
-    spark.dataSource.register(JsonCollection)
+    register(spark)
     spark.read.format("json_collection").schema(...).load(folder)
     spark.readStream.format("json_collection").schema(...).load(folder)
 
@@ -12,7 +12,8 @@ it has seen: new documents come in files whose names follow those before, at mos
 so paths may be of any store that these know. Broken lines give a row of nulls in
 ``PERMISSIVE`` mode and are left out in ``DROPMALFORMED``, the default.
 
-Filters need ``spark.sql.python.filterPushdown.enabled``.
+``register`` also turns on ``spark.sql.python.filterPushdown.enabled``, without which
+Spark takes no source that pushes filters down.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from collections.abc import Iterable, Iterator
 from datetime import date, datetime
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import (
     DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition,
@@ -188,3 +190,8 @@ class JsonCollection(DataSource):
 
     def streamReader(self, schema: T.StructType) -> StreamReader:
         return StreamReader(schema, dict(self.options))
+
+
+def register(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    spark.dataSource.register(JsonCollection)
