@@ -70,19 +70,20 @@ AROUND = ".,;:!?\"'()[]{}«»“”„…"
 
 def signatures(text: str, chain: int = CHAIN, distance: int = DISTANCE) -> np.ndarray:
     """The sorted set of a text's 32-bit signatures."""
-    words = [w.strip(AROUND) for w in text.lower().split()]
-    anchors = [i for i, w in enumerate(words) if w in COMMON_WORDS]
-    content = [i for i, w in enumerate(words) if w and w not in COMMON_WORDS]
-    found = []
-    at, last = 0, len(content)
-    reach = chain * distance
-    for anchor in anchors:
-        while at < last and content[at] < anchor:
-            at += 1
-        if at + reach > last:
-            break
-        spot = [words[i] for i in content[at + distance - 1 : at + reach : distance]]
-        found.append(zlib.crc32(" ".join([words[anchor], *spot]).encode()))
+    anchors: list[tuple[str, int]] = []
+    content: list[str] = []
+    for word in text.lower().split():
+        word = word.strip(AROUND)
+        if word in COMMON_WORDS:
+            anchors.append((word, len(content)))
+        elif word:
+            content.append(word)
+    reach, crc = chain * distance, zlib.crc32
+    last = len(content) - reach
+    if chain == 2 and distance == 1:
+        found = [crc(f"{anchor} {content[at]} {content[at + 1]}".encode()) for anchor, at in anchors if at <= last]
+    else:
+        found = [crc(" ".join([anchor, *content[at + distance - 1 : at + reach : distance]]).encode()) for anchor, at in anchors if at <= last]
     if not found:
         found = [zlib.crc32(text.encode())]
     return np.unique(np.array(found, dtype="u4"))
@@ -319,14 +320,16 @@ def spanning_links(sets: list[np.ndarray], threshold: float, parts: list[int] |
             x = root[x]
         return x
 
-    links = []
-    for i, shorter in enumerate(sets):
-        for j in range(i + 1, len(sets)):
-            if len(shorter) < threshold * len(sets[j]) - 1e-9:
+    links, held = [], [frozenset(s.tolist()) for s in sets]
+    for i, shorter in enumerate(held):
+        for j in range(i + 1, len(held)):
+            if len(shorter) < threshold * len(held[j]) - 1e-9:
                 break
-            if find(i) != find(j) and likeness(shorter, sets[j]) >= threshold:
-                root[find(i)] = find(j)
-                links.append((i, j))
+            if find(i) != find(j):
+                common = len(shorter & held[j])
+                if common / (len(shorter) + len(held[j]) - common) >= threshold:
+                    root[find(i)] = find(j)
+                    links.append((i, j))
     return links
 
 
