@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from clipsense.llm import language_id, mixing, packing, secret_scan, simhash
 from clipsense.llm.queries import documents
-from clipsense.session import staged
+from clipsense.session import forget, staged
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -57,8 +57,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages one after the other to all documents."""
-    docs = documents(spark, sf_dir)
+    """Apply the stages one after the other to all documents; a table is deleted when the next one is written."""
+    docs, before = documents(spark, sf_dir), None
     for _, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir.rstrip("/")))
+        if before is not None:
+            forget(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir.rstrip("/"))
