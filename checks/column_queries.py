@@ -125,10 +125,11 @@ def _holey(spark, sf):
 _HOLEY = f"{I.IX}, holey AS (SELECT event_id, event_type, user_id, CASE WHEN event_type <> 'skip' THEN video_id END AS video_id FROM ix)"
 
 
-@query("validate_events", f"WITH {_HOLEY} SELECT event_id, video_id IS NOT NULL AS valid FROM holey")
+@query("validate_events", f"WITH {_HOLEY} SELECT event_id, video_id IS NOT NULL AS valid, true AS stamped FROM holey")
 def validate_events(spark, sf):
-    valid, rejected = loading.validate(_holey(spark, sf))
-    return valid.withColumn("valid", F.lit(True)).unionByName(rejected.withColumn("valid", F.lit(False))).select("event_id", "valid")
+    valid, rejected = loading.validate(_holey(spark, sf), F.current_timestamp())
+    every = valid.withColumn("valid", F.lit(True)).unionByName(rejected.withColumn("valid", F.lit(False)))
+    return every.select("event_id", "valid", (F.col("received_at") <= F.current_timestamp()).alias("stamped"))
 
 
 @query("route_events", f"""WITH {I.IX} SELECT event_id, CASE WHEN event_type = 'view' THEN 'user-views'

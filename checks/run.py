@@ -11,7 +11,7 @@ import duckdb
 
 from checks import load_all
 from checks.registry import ORACLES, QUERIES
-from clipsense.session import build_session
+from clipsense.session import build_session, clean_up
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -87,6 +87,7 @@ def main() -> None:
         mark = "ok  " if found is None else "FAIL"
         print(f"{mark} {name} {time.time() - start:.1f}s {'' if name in ORACLES else '(rows)'} {found or ''}", flush=True)
     print(f"{failed} failed")
+    clean_up(spark)
     spark.stop()
 
 

@@ -68,8 +68,10 @@ def share_events(views: DataFrame) -> DataFrame:
     return _sampled(views, "share", V.SHARE_SAMPLE)
 
 
-def validate(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Events with all required fields, and the others."""
+def validate(events: DataFrame, received_at: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """Events with all required fields, and the others; both with the time of their arrival, if it is given."""
+    if received_at is not None:
+        events = events.withColumn("received_at", received_at)
     return events.filter(has_required_fields()), events.filter(~has_required_fields())
 
 

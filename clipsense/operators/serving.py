@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipsense.operators.ranking import top_per_key
+from clipsense.session import staged
 
 _COLUMNS = ("user_id", "video_id", "score", "method", "tier")
 
@@ -25,7 +26,8 @@ def first_tier(users: DataFrame, tiers: list[tuple[str, DataFrame]], shared: lis
     for number, (method, recs) in enumerate(tiers):
         part = _tier(recs, method, number)
         own = part if own is None else own.unionByName(part)
-    own = own.join(users.select("user_id"), "user_id", "left_semi")
+    # Read for the rows and for the users without any; a list of a model is a whole product.
+    own = staged(own.join(users.select("user_id"), "user_id", "left_semi"))
     lowest = F.min("tier").over(Window.partitionBy("user_id"))
     served = own.withColumn("lowest", lowest).filter("tier = lowest").select(*_COLUMNS)
     lists = [
