@@ -91,6 +91,7 @@ TABLE = CELLS | frozenset(("table", "tbody", "tfoot", "thead", "tr"))
 #: All else ends an open head.
 IN_HEAD = SILENT | frozenset(("base", "link", "meta"))
 
+_TAG = re.compile(r"<(?:/?[a-zA-Z]|[!?])")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 _PARTS = re.compile(r"[^a-z]+")
 _DIGITS = re.compile(r"[0-9]+")
@@ -129,6 +130,9 @@ class Page(HTMLParser):
         self.in_block: list[Counter[str]] = [Counter()]  # open other elements of each open block
         self.text: list[str] = []
         self.linked = 0
+        cut = html.rfind("<")
+        if cut >= 0 and ">" not in html[cut:] and _TAG.match(html, cut):  # a tag that the page's end cuts off is none
+            html = html[:cut]
         self.feed(html)
         self.close()
         self._flush()
@@ -187,6 +191,8 @@ class Page(HTMLParser):
         return any(map(_boiler_name, names))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.open["title"] or self.open["textarea"]:  # what looks like a tag there is text
+            return
         if self.open["head"] and tag not in IN_HEAD:
             self._end(("head",))
         _, container, block, silent = self.stack[-1]
@@ -221,6 +227,8 @@ class Page(HTMLParser):
         self.handle_starttag(tag, attrs)  # a slash ends no element in HTML
 
     def handle_endtag(self, tag: str) -> None:
+        if (self.open["title"] or self.open["textarea"]) and not (tag in ("title", "textarea") and self.open[tag]):
+            return
         if tag in BLOCKS:
             if not self.stack[-1][3]:
                 self._flush()

@@ -104,16 +104,17 @@ def test_containers_without_names_of_their_own():
 
 def test_the_host_decides_against_a_long_page_of_replies(spark):
     """One page's unnamed replies are longer than its article; the other pages of the host know better."""
+    short = "The short article, told in a few words. " * 8
     page = "<body><div class='c post-{}'><p>{}</p></div><div class='z'><p>{}</p></div></body>"
     rows = [(i, f"https://A.example/{i}?x", page.format(i, LONG, "Ok.")) for i in range(9)]
-    rows.append((9, "http://u:p@a.EXAMPLE:80/9", page.format(9, "The short article.", LONG * 5)))
+    rows.append((9, "http://u:p@a.EXAMPLE:80/9", page.format(9, short, LONG * 5)))
     alone = [(10, None, rows[9][2]), (11, "no url", rows[9][2]), (12, "https://b.example", rows[9][2])]
     df = table(spark, rows + alone)
     paths = {r["host"]: r["paths"] for r in html_extraction.host_paths(df).collect()}
     assert paths == {"a.example": ["div.c.post-#", "div.z"], "b.example": ["div.z"]}
     for size in (10**6, 0):  # winners broadcast, and met by host and salt
         got = {r["page_id"]: r["text"] for r in html_extraction.extract(df, broadcast_bytes=size).collect()}
-        assert got[9] == "The short article." and all(got[i] == LONG.strip() for i in range(9))
+        assert got[9] == short.strip() and all(got[i] == LONG.strip() for i in range(9))
         assert got[10] == got[11] == got[12] == (LONG * 5).strip()
 
 
