@@ -3,7 +3,8 @@
 Every line is judged by itself: punctuation (a long line without any sentence
 mark, or one that is mostly marks), navigation (menus and tables of short cells
 between separators) and boilerplate (fixed phrases). Failed lines are removed;
-a document that loses too much of its text that way is rejected as a whole.
+a document that loses too much of its text that way is rejected as a whole, unless
+a single line of several is all it loses (a licence or a notice beside a short text).
 Base counts of the whole text are returned besides.
 
 Defined cases: a null text has no words and is not kept; lines without a word
@@ -147,7 +148,7 @@ def judge(doc_id: int | None, text: str | None) -> tuple:
     share = kept_chars / chars if chars else 0.0
     return (
         doc_id, n, chars, symbols, dup_lines, repeats, base_failed,
-        not base_failed and share >= LEAST_KEPT, lines, failed, share, "\n".join(good),
+        not base_failed and (share >= LEAST_KEPT or failed == 1 < lines), lines, failed, share, "\n".join(good),
     )
 
 

@@ -172,7 +172,7 @@ b AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum
   FROM d JOIN l4 USING (doc_id) LEFT JOIN rp USING (doc_id)),
 s AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, CASE WHEN word_chars > 0 THEN kept_chars / CAST(word_chars AS DOUBLE) ELSE 0.0::DOUBLE END AS kept_share FROM b)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND kept_share >= {rules.LEAST_KEPT}::DOUBLE AS kept, n_lines, n_failed_lines, kept_share, sha256(cleaned) AS cleaned_sha256 FROM s"""
+  NOT base_failed AND (kept_share >= {rules.LEAST_KEPT}::DOUBLE OR (n_failed_lines = 1 AND n_lines > 1)) AS kept, n_lines, n_failed_lines, kept_share, sha256(cleaned) AS cleaned_sha256 FROM s"""
 
 
 def _forest_sql(name: str, leaves: str) -> str:
