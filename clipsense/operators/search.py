@@ -27,9 +27,15 @@ def grams(text: Column) -> Column:
 
 
 def postings(catalog: DataFrame, columns: tuple[str, ...] = COLUMNS) -> DataFrame:
-    """gram and video_id, each pair once."""
-    every = F.array_distinct(F.flatten(F.array(*[grams(F.lower(F.coalesce(c, F.lit("")))) for c in columns])))
-    return catalog.select("video_id", F.explode(every).alias("gram")).distinct()
+    """gram and video_id, each pair once.
+
+    Rows of one video meet while they are texts, so that no task keeps the pairs to compare them.
+    """
+    tasks = int(catalog.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    texts = F.array(*[F.lower(F.coalesce(c, F.lit(""))) for c in columns])
+    rows = catalog.select("video_id", texts.alias("texts")).repartition(tasks, "video_id").groupBy("video_id").agg(F.flatten(F.collect_set("texts")).alias("texts"))
+    every = F.array_distinct(F.flatten(F.transform("texts", grams)))
+    return rows.select("video_id", F.explode(every).alias("gram"))
 
 
 def write_postings(catalog: DataFrame, path: str, columns: tuple[str, ...] = COLUMNS) -> None:
