@@ -2,8 +2,9 @@
 
 Spark keeps the state: a list of events, to which new ones are appended, and one
 row about it. The list is written anew only once it has grown to twice what is
-kept, so a batch writes what it brings, not what is there. A timer, which the
-user's next event moves, ends the state. Before the rows of a batch meet their
+kept, so a batch writes what it brings, not what is there. A timer ends the state;
+if the user has later events when it goes off, it is set anew for the last of them.
+Users are many and a user's rows few, so they are handled as plain tuples. Before the rows of a batch meet their
 user's state, each task keeps only the latest of every user, so that a hot user
 sends at most ``KEEP`` rows a batch of rows, not a history.
 """
@@ -11,9 +12,10 @@ sends at most ``KEEP`` rows a batch of rows, not a history.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -26,19 +28,25 @@ STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 _EVENTS = "event_us bigint, video_id string, weight double"
 _ABOUT = "newest_us bigint, version bigint, held int, timer_ms bigint"
 _OUTPUT = "user_id string, event_us bigint, video_id string, weight double, pos int, n int, version bigint"
-_FIELDS = ["event_us", "video_id", "weight"]
+_Listed = Row("user_id", "event_us", "video_id", "weight", "pos", "n", "version")
 
 
-def _latest(events: pd.DataFrame) -> pd.DataFrame:
+def _newest_first(event: tuple) -> tuple:
+    """Order by time, the newest first, then by video; nulls come last."""
+    return event[0] is None, -(event[0] or 0), event[1] is None, event[1] or ""
+
+
+def _latest(events: list[tuple]) -> list[tuple]:
     """Last KEEP events by time, newest first."""
-    ordered = events.sort_values(["event_us", "video_id"], ascending=[False, True], kind="stable")
-    return ordered.head(KEEP)
+    return sorted(events, key=_newest_first)[:KEEP]
 
 
-def _after_last_pause(events: pd.DataFrame, ttl_us: int) -> pd.DataFrame:
+def _after_last_pause(events: list[tuple], ttl_us: int) -> list[tuple]:
     """Newest events up to the first pause longer than the timer."""
-    pauses = -events["event_us"].diff().fillna(0)
-    return events[(pauses > ttl_us).cumsum() == 0]
+    for place, (later, earlier) in enumerate(pairwise(events), 1):
+        if earlier[0] is not None and later[0] - earlier[0] > ttl_us:
+            return events[:place]
+    return events
 
 
 def latest_of_each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -59,34 +67,39 @@ class RecentVideos(StatefulProcessor):
         self.events = handle.getListState("events", _EVENTS)
         self.about = handle.getValueState("about", _ABOUT)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = _latest(pd.concat([chunk[_FIELDS] for chunk in rows]))
-        newest, version, held, timer = self.about.get() or (None, 0, 0, None)
-        old = pd.DataFrame([tuple(e) for e in self.events.get()] if held else [], columns=_FIELDS)
-        live = _latest(pd.concat([old, new]) if held else new).reset_index(drop=True)
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        new = _latest([(r.event_us, r.video_id, r.weight) for r in rows])
+        _, version, held, timer = self.about.get() or (None, 0, 0, None)
+        live = _latest([tuple(e) for e in self.events.get()] + new) if held else new
         if held + len(new) > 2 * KEEP:
-            self.events.put([tuple(e) for e in live.itertuples(index=False)])
+            self.events.put(live)
             held = len(live)
         else:
-            self.events.appendList([tuple(e) for e in new.itertuples(index=False)])
+            self.events.appendList(new)
             held += len(new)
-        last = int(live["event_us"].iloc[0])
+        last = live[0][0]
         # Rises in a user's life, and from one life to the next, whose events are later by more than the timer.
         version = max(version + 1, last)
-        expires = (last + self.ttl_us) // 1000
-        if expires != timer:
-            if timer is not None:
-                self.handle.deleteTimer(timer)
-            self.handle.registerTimer(expires)
-        self.about.update((last, version, held, expires))
+        if timer is None:
+            timer = self._expires(last)
+            self.handle.registerTimer(timer)
+        self.about.update((last, version, held, timer))
         shown = _after_last_pause(live, self.ttl_us)
-        yield shown.assign(user_id=key[0], pos=range(1, len(shown) + 1), n=len(shown), version=version)[
-            ["user_id", *_FIELDS, "pos", "n", "version"]
-        ]
+        for pos, event in enumerate(shown, 1):
+            yield _Listed(key[0], *event, pos, len(shown), version)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.events.clear()
-        self.about.clear()
+    def _expires(self, last: int) -> int:
+        return (last + self.ttl_us) // 1000
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        newest, version, held, _ = self.about.get()
+        expires = self._expires(newest)
+        if expires > timerValues.getCurrentWatermarkInMs():
+            self.handle.registerTimer(expires)
+            self.about.update((newest, version, held, expires))
+        else:
+            self.events.clear()
+            self.about.clear()
         return iter([])
 
     def close(self) -> None:
@@ -105,7 +118,7 @@ def recent_videos_state(events: DataFrame, ttl: int = V.RECENT_TTL, watermark: s
         "user_id", micros(F.col("event_time")).alias("event_us"), "video_id", "weight", "event_time"
     )
     kept = rows.mapInPandas(latest_of_each, rows.schema).withWatermark("event_time", watermark)
-    return kept.groupBy("user_id").transformWithStateInPandas(RecentVideos(ttl * 1_000_000), _OUTPUT, "append", "EventTime")
+    return kept.groupBy("user_id").transformWithState(RecentVideos(ttl * 1_000_000), _OUTPUT, "append", "EventTime")
 
 
 def latest_lists(emitted: DataFrame) -> DataFrame:

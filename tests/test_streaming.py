@@ -195,3 +195,68 @@ def test_panes_make_one_state_row_a_pane_and_video(spark, tmp_path):
     assert len(found) == 24 and {(r.interaction_count, r.score) for r in found} == {(10, 50.0)}
     first = [p for p in query.recentProgress if p["stateOperators"]][0]["stateOperators"]
     assert max(op["numRowsUpdated"] for op in first) == 1
+
+
+class _Held:
+    """One state of one user, and how often it was written."""
+
+    def __init__(self):
+        self.value, self.writes = [], 0
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value, self.writes = value, self.writes + 1
+
+    put = update
+
+    def appendList(self, rows):
+        self.update(self.value + rows)
+
+    def clear(self):
+        self.value = []
+
+
+class _Handle:
+    def __init__(self):
+        self.events, self.about, self.timers, self.moved = _Held(), _Held(), [], 0
+
+    def getListState(self, name, schema):
+        return self.events
+
+    def getValueState(self, name, schema):
+        return self.about
+
+    def registerTimer(self, ms):
+        self.timers.append(ms)
+
+    def deleteTimer(self, ms):
+        self.moved += 1
+
+
+class _Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_a_users_batch_moves_no_timer_and_a_later_event_keeps_the_state():
+    """The timer is set once in a user's life, and anew only when it goes off too early."""
+    from pyspark.sql import Row
+
+    from clipsense.streaming.state import RecentVideos
+
+    handle, user = _Handle(), RecentVideos(10_000_000)
+    user.init(handle)
+    for second in range(4):
+        rows = [Row(event_us=second * 1_000_000 + i, video_id=str(i), weight=1.0) for i in range(2)]
+        out = list(user.handleInputRows(("u",), iter(rows), None))
+    assert [(r.video_id, r.pos, r.n) for r in out][:2] == [("1", 1, 8), ("0", 2, 8)]
+    assert handle.timers == [10_000] and handle.moved == 0 and handle.events.writes == 4
+    assert list(user.handleExpiredTimer(("u",), _Clock(10_500), None)) == []
+    assert handle.timers == [10_000, 13_000] and len(handle.events.value) == 8
+    assert list(user.handleExpiredTimer(("u",), _Clock(13_500), None)) == []
+    assert handle.events.value == [] and handle.about.value == []
