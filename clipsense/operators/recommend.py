@@ -164,15 +164,21 @@ def _first_of_groups(prefs: DataFrame, items: DataFrame, interactions: DataFrame
     within reach the first n items and as many as the user has seen are enough.
     """
     kinds = items.groupBy("tags").agg(F.count("*").alias("size"))
-    kind_tags = kinds.select("tags", "size", F.explode(F.split("tags", ",")).alias("feature"))
-    seen = interactions.select("user_id", "video_id").distinct().join(items, "video_id")
+    # Stored, so that its size is known: a small table goes to the users' rows, which are then sent once, by user.
+    kind_tags = staged(kinds.select("tags", "size", F.explode(F.split("tags", ",")).alias("feature")))
+    seen = interactions.select("user_id", "video_id").filter(F.col("user_id").isNotNull()).distinct().join(items, "video_id")
     seen_kinds = seen.groupBy("user_id", "tags").agg(F.count("*").alias("seen"))
+    none = F.lit(None).cast("bigint")
     scored = (
         prefs.join(kind_tags, "feature")
         .groupBy("user_id", "tags")
         .agg(F.sum("tag_count").alias("score"), F.max("size").alias("size"))
-        .join(seen_kinds, ["user_id", "tags"], "left")
-        .withColumn("seen", F.coalesce("seen", F.lit(0)))
+        .withColumn("seen", none)
+        .unionByName(seen_kinds.select("user_id", "tags", none.alias("score"), none.alias("size"), "seen"))
+        .repartition("user_id")
+        .groupBy("user_id", "tags")
+        .agg(F.max("score").alias("score"), F.max("size").alias("size"), F.coalesce(F.max("seen"), F.lit(0)).alias("seen"))
+        .filter(F.col("size").isNotNull())
         .withColumn("unseen", F.col("size") - F.col("seen"))
     )
     better = Window.partitionBy("user_id").orderBy(F.col("score").desc()).rangeBetween(
@@ -188,7 +194,7 @@ def _first_of_groups(prefs: DataFrame, items: DataFrame, interactions: DataFrame
     # Each user asks for their own places of a group, so a hot user opens no group further for others.
     asked = reachable.select("user_id", "tags", "score", F.explode(F.sequence(F.lit(1), (n + F.col("seen")).cast("int"))).alias("place"))
     depth = n + (seen_kinds.agg(F.max("seen").alias("most")).first()["most"] or 0)
-    places = top_per_key(items, "tags", ["video_id"], depth, "place")
+    places = staged(top_per_key(items, "tags", ["video_id"], depth, "place"))
     return asked.join(places, ["tags", "place"]).select("user_id", "video_id", "score")
 
 
