@@ -161,7 +161,9 @@ def _first_of_groups(prefs: DataFrame, items: DataFrame, interactions: DataFrame
     """The items of each user's best tag groups that can be among the first n.
 
     A group is out of reach once better groups hold n unseen items. Of a group
-    within reach the first n items and as many as the user has seen are enough.
+    within reach the first n items and as many as the user has seen are enough,
+    and of all these the first n and as many as the user has seen in any of the
+    groups; the others do not leave the task.
     """
     kinds = items.groupBy("tags").agg(F.count("*").alias("size"))
     # Stored, so that its size is known: a small table goes to the users' rows, which are then sent once, by user.
@@ -189,13 +191,15 @@ def _first_of_groups(prefs: DataFrame, items: DataFrame, interactions: DataFrame
         scored.withColumn("up_to_here", F.sum("unseen").over(better))
         .withColumn("same_score", F.sum("unseen").over(peers))
         .filter((F.col("up_to_here") - F.col("same_score") < n) & (F.col("unseen") > 0))
-        .select("user_id", "tags", "score", "seen")
+        .select("user_id", "tags", "score", "seen", (n + F.sum("seen").over(Window.partitionBy("user_id"))).alias("kept"))
     )
     # Each user asks for their own places of a group, so a hot user opens no group further for others.
-    asked = reachable.select("user_id", "tags", "score", F.explode(F.sequence(F.lit(1), (n + F.col("seen")).cast("int"))).alias("place"))
+    asked = reachable.select("user_id", "tags", "score", "kept", F.explode(F.sequence(F.lit(1), (n + F.col("seen")).cast("int"))).alias("place"))
     depth = n + (seen_kinds.agg(F.max("seen").alias("most")).first()["most"] or 0)
     places = staged(top_per_key(items, "tags", ["video_id"], depth, "place"))
-    return asked.join(places, ["tags", "place"]).select("user_id", "video_id", "score")
+    first = F.row_number().over(Window.partitionBy("user_id").orderBy(F.col("score").desc(), "video_id"))
+    found = asked.join(places, ["tags", "place"]).withColumn("first", first)
+    return found.filter(F.col("first") <= F.col("kept")).select("user_id", "video_id", "score")
 
 
 def mixed(parts: dict[str, tuple[DataFrame, float]], n: int = 20) -> DataFrame:
