@@ -35,7 +35,8 @@ def file_topic(spark: SparkSession, path: str, files_per_batch: int | None = Non
 
 
 def _parse(values: DataFrame, schema: T.StructType) -> DataFrame:
-    return values.select(F.col("value"), F.from_json("value", schema).alias("data"))
+    """Exploded, a value is parsed once; a projection would be copied into the filter, and parse anew for each field there."""
+    return values.select(F.col("value"), F.explode(F.array(F.from_json("value", schema))).alias("data"))
 
 
 def _empty(schema: T.StructType) -> Column:
