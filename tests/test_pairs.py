@@ -68,6 +68,35 @@ def test_similar_pairs_equals_brute_force(spark, seed, limit):
         assert row["product"] == pytest.approx(cosines[row["left"], row["right"]])
 
 
+@pytest.mark.parametrize("large", [10_000, 2])
+def test_similar_pairs_by_bounds(spark, monkeypatch, large):
+    """Pairs are looked for by bounds; large entities go in parts, null and zero cells give nothing."""
+    monkeypatch.setattr(pairs, "PLAIN_PAIRS", 0)
+    monkeypatch.setattr(pairs, "LARGE", large)
+    random.seed(5)
+    rows = {(f"e{random.randrange(60):02}", f"f{int(random.paretovariate(0.7)) % 40}"): random.choice([-2.0, 0.0, 1.0, 3.0, 40.0]) for _ in range(500)}
+    rows = [(e, f, v) for (e, f), v in rows.items()] + [("e00", None, 2.0), (None, "f1", 2.0), ("e01", "f99", None)]
+    unit = pairs.unit_cells(spark.createDataFrame(rows, SCHEMA)).cache()
+    _, products = brute_products([tuple(r) for r in unit.collect() if r["feature"] is not None and r["value"] is not None])
+    expected = {k: p for k, p in products.items() if k[0] < k[1] and p >= 0.3}
+    found = pairs.similar_pairs(unit, 0.3, 1000).collect()
+    assert len(found) == len(expected) > 100
+    assert {(r["left"], r["right"]): r["product"] for r in found} == pytest.approx(expected)
+
+
+def test_only_close_pairs_go_on(spark, monkeypatch):
+    """Without a heavy feature no join makes a row for each pair, and what goes on are the pairs that are close."""
+    rows = [(f"e{i:03}", f"f{f}", 1.0) for i in range(400) for f in random.Random(i // 2).sample(range(60), 8)]
+    cells = pairs.staged(pairs.unit_cells(spark.createDataFrame(rows, SCHEMA)))
+    sizes = pairs.staged(cells.groupBy("entity").count().toDF("entity", "cells"))
+    likely = {tuple(sorted(r)) for r in pairs.likely_pairs(cells, sizes, 0.45, 4).collect()}
+    monkeypatch.setattr(pairs, "PLAIN_PAIRS", 0)
+    monkeypatch.setattr(pairs, "light_products", None)
+    found = {(r["left"], r["right"]) for r in pairs.similar_pairs(cells, 0.45, 1000).collect()}
+    assert {(f"e{i:03}", f"e{i + 1:03}") for i in range(0, 400, 2)} <= found <= likely
+    assert len(likely) < 1.2 * len(found) + 50
+
+
 @pytest.mark.parametrize("limit", [4, 1000])
 def test_all_products_equals_brute_force(spark, limit):
     rows = cells_with_hot_features(7)
