@@ -40,9 +40,9 @@ BLOCK_ROWS = 2_048
 SUMMARY_CELLS = 4_000_000
 SUMMARY_FEATURES = 1_024
 #: Askers that meet a block in one task, and those of them that are multiplied at once.
-CHUNK = 4_096
+CHUNK = 2_048
 PAIRS_CHUNK = 1_024
-SLICE = 1_024
+SLICE = 256
 #: Features multiplied at once.
 FEATURES = 4_096
 #: Vectors are multiplied cell by cell if a matrix has so many times the products, and so many at once.

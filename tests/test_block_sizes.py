@@ -69,3 +69,9 @@ def test_pairs_of_heavy_features_are_not_shuffled(spark):
 
 def test_tasks_that_keep_the_best_hold_no_more_askers_with_more_rows():
     assert blocks.CHUNK <= 4_096 and blocks.PAIRS_CHUNK <= blocks.CHUNK
+
+
+def test_products_made_at_once_are_some_megabytes():
+    """A worker's memory is that of one slice of askers and a block, some copies of their products, and the rows found."""
+    assert blocks.SLICE * blocks.BLOCK_ROWS * 8 <= 4 * 2**20
+    assert blocks.SLICE <= blocks.PAIRS_CHUNK <= blocks.CHUNK <= 2_048
