@@ -132,7 +132,7 @@ def sink_console(spark, sf):
     running.awaitTermination()
     done = [p for p in running.recentProgress if p["numInputRows"]]
     return spark.createDataFrame(
-        [(sum(p["numInputRows"] for p in done), sum(p["sink"]["numOutputRows"] for p in done))], "rows bigint, shown bigint"
+        [(sum(p["numInputRows"] for p in done), sum(p["observedMetrics"][jobs.CONSOLE_ROWS]["rows"] for p in done))], "rows bigint, shown bigint"
     )
 
 

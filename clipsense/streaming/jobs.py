@@ -47,12 +47,25 @@ def run_batches(df: DataFrame, handle, checkpoint: str, name: str, mode: str = "
     return writer.foreachBatch(handle).start()
 
 
+#: The name under which the console's progress reports count the rows of a batch.
+CONSOLE_ROWS = "console"
+
+
 def run_console(df: DataFrame, checkpoint: str, name: str, rows: int = 5, once: bool = False) -> StreamingQuery:
-    """Print the first rows of each batch in full."""
-    writer = df.writeStream.queryName(name).outputMode("append").option("checkpointLocation", checkpoint)
-    if once:
-        writer = writer.trigger(availableNow=True)
-    return writer.format("console").option("truncate", "false").option("numRows", rows).start()
+    """Print the first rows of each batch in full; a progress report's ``observedMetrics`` count all of them.
+
+    Every row of a batch is read, but a task sends only its first ones: the console
+    format of the library gathers whole batches in the driver.
+    """
+
+    def show(batch: DataFrame, batch_id: int) -> None:
+        place = F.monotonically_increasing_id()
+        first = batch.withColumn("_place", place).orderBy("_place").limit(rows + 1).drop("_place")
+        print(f"{'-' * 43}\nBatch: {batch_id}\n{'-' * 43}")
+        first.show(rows, truncate=False)
+
+    counted = df.observe(CONSOLE_ROWS, F.count(F.lit(1)).alias("rows"))
+    return run_batches(counted, show, checkpoint, name, once=once)
 
 
 def batch_folder(run: str, batch_id: int) -> str:
